@@ -76,3 +76,133 @@ for _key, _col in [("visit_total", "total_visitas"), ("visit_conversion", "tasa_
                 .select("id_cliente", c))
 query("visit_features")(lambda s, d: features.build_visit_features(fixtures.interacciones(s, d)))
 query("customer_360")(c360)
+
+# --- sources, sinks, previews (2.1) -------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions.columns import na_normalise  # noqa: E402
+from ..operators import dataset, encoding, lookups  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
+from ..sources import csv as csv_source  # noqa: E402
+from ..sources import sinks  # noqa: E402
+from . import rules  # noqa: E402
+
+
+def _na_normalise(spark, sf_dir):
+    return csv_source.normalise_na(fixtures.clientes(spark, sf_dir))
+
+
+query("na_normalise")(_na_normalise)
+
+
+def visit_table(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    c = customer360.build_customer_360(cleaning.clean_clientes(r.clientes), r.transacciones,
+                                       r.interacciones)
+    return dataset.build_visit_dataset(r.interacciones, c)
+
+
+@query("step_counts")
+def _step_counts(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    cl = cleaning.clean_clientes(r.clientes)
+    c = customer360.build_customer_360(cl, r.transacciones, r.interacciones)
+    vd, _ = dataset.build_visit_dataset(r.interacciones, c)
+    steps = [("clientes", r.clientes), ("transacciones", r.transacciones),
+             ("interacciones", r.interacciones), ("clientes_clean", cl),
+             ("customer_360", c), ("visit_dataset", vd)]
+    out = None
+    for name, df in steps:
+        part = df.agg(F.count(F.lit(1)).alias("filas")).select(
+            F.lit(name).alias("tabla"), "filas", F.lit(len(df.columns)).alias("columnas"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+query("head_c360")(lambda s, d: c360(s, d).orderBy("id_cliente").limit(5))
+
+
+@query("fill_numeric")
+def _fill_numeric(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    cl = cleaning.clean_clientes(r.clientes)
+    joined = (cl.join(features.build_tx_features(r.transacciones), "id_cliente", "left")
+                .join(features.build_visit_features(r.interacciones), "id_cliente", "left"))
+    return customer360.fill_numeric(joined.select(*customer360.C360_COLUMNS))
+
+
+@query("lookup_client")
+def _lookup_client(spark, sf_dir):
+    """Every customer id asked for by a visit, with its profile or a not-found flag."""
+    r = raw(spark, sf_dir)
+    c = customer360.build_customer_360(cleaning.clean_clientes(r.clientes), r.transacciones,
+                                       r.interacciones)
+    asked = r.interacciones.select("id_cliente").where(F.col("id_cliente").isNotNull()).distinct()
+    prof = customer360.dedupe_by_key(c).select("id_cliente", "zona_geografica", "frequency",
+                                               "monetary_total", F.lit(1).alias("_hit"))
+    return (asked.join(prof, "id_cliente", "left")
+                 .select("id_cliente", F.coalesce("_hit", F.lit(0)).alias("encontrado"),
+                         "zona_geografica", "frequency", "monetary_total"))
+
+
+def _sink(spark, sf_dir, which):
+    r = raw(spark, sf_dir)
+    base = scratch_dir(spark, f"sink-{sinks.new_run_id()}")
+    cl = cleaning.clean_clientes(r.clientes)
+    if which == "clean":
+        sinks.save_processed(base, cl, r.transacciones, r.interacciones)
+        return sinks.row_counts(spark, base, ["clientes_clean", "transacciones_clean",
+                                              "interacciones_clean"])
+    c = customer360.build_customer_360(cl, r.transacciones, r.interacciones)
+    sinks.write_table(c, base, "customer_360")
+    if which == "c360":
+        return sinks.row_counts(spark, base, ["customer_360"])
+    # scan: column pruning + predicate pushdown into the written parquet
+    return (sinks.read_table(spark, base, "customer_360")
+                 .where(F.col("frequency") > 0).select("id_cliente", "frequency", "monetary_total"))
+
+
+query("sink_clean")(lambda s, d: _sink(s, d, "clean"))
+query("sink_c360")(lambda s, d: _sink(s, d, "c360"))
+query("scan_c360")(lambda s, d: _sink(s, d, "scan"))
+
+# --- lookups (2.5) --------------------------------------------------------------
+query("visit_join")(lambda s, d: dataset.visit_join(raw(s, d).interacciones, c360(s, d)))
+query("next_category")(lambda s, d: lookups.next_category(
+    c360(s, d).select("id_cliente", "categoria_favorita")))
+
+
+def _rule_segments(spark, sf_dir):
+    return c360(spark, sf_dir).select("id_cliente", rules.segment_rule().alias("segmento_id"))
+
+
+query("segment_name")(lambda s, d: lookups.segment_name(_rule_segments(s, d)))
+query("playbook")(lambda s, d: lookups.playbook(lookups.segment_name(_rule_segments(s, d)))
+                  .select("id_cliente", "segmento_nombre", "lectura", "estrategia"))
+query("reason_label")(lambda s, d: lookups.reason_label(
+    raw(s, d).interacciones.select("id_interaccion", "motivo_visita")))
+
+# --- training table (2.6) ---------------------------------------------------------
+query("date_weekday")(lambda s, d: dataset.date_parts(raw(s, d).interacciones)
+                      .select("id_interaccion", "dia_semana"))
+query("date_month")(lambda s, d: dataset.date_parts(raw(s, d).interacciones)
+                    .select("id_interaccion", "mes"))
+query("date_payday")(lambda s, d: dataset.date_parts(raw(s, d).interacciones)
+                     .select("id_interaccion", "es_quincena"))
+
+
+@query("ordinal_fit")
+def _ordinal_fit(spark, sf_dir):
+    joined = dataset.date_parts(dataset.visit_join(raw(spark, sf_dir).interacciones, c360(spark, sf_dir)))
+    return encoding.fit_dictionary(joined)
+
+
+@query("ordinal_apply")
+def _ordinal_apply(spark, sf_dir):
+    joined = dataset.visit_join(raw(spark, sf_dir).interacciones, c360(spark, sf_dir))
+    d = encoding.fit_dictionary(joined)
+    return encoding.apply_dictionary(joined, d).select("id_interaccion", *encoding.CAT_COLS)
+
+
+query("visit_dataset")(lambda s, d: visit_table(s, d)[0])
+query("target_rate")(lambda s, d: dataset.target_rate(visit_table(s, d)[0]))

@@ -154,3 +154,124 @@ for _key, _col in [("visit_total", "total_visitas"), ("visit_conversion", "tasa_
     oracle(_key, *VISIT_CTES)(f"SELECT id_cliente, {_col} FROM visit_features")
 oracle("visit_features", *VISIT_CTES)("SELECT * FROM visit_features")
 oracle("customer_360", *C360_CTES)("SELECT * FROM customer_360")
+
+# --- sources, previews ----------------------------------------------------------
+_NA_LIST = ", ".join("'" + s + "'" for s in __import__("vitrina.functions.columns", fromlist=["x"]).NA_STRINGS)
+
+
+def _na(col: str) -> str:
+    return f"CASE WHEN {col} IN ({_NA_LIST}) THEN NULL ELSE {col} END AS {col}"
+
+
+oracle("na_normalise")(
+    f"SELECT {_na('id_cliente')}, {_na('zona_geografica')}, antiguedad_meses, score_credito_interno, "
+    f"{_na('celular_contacto')}, {_na('email_contacto')} FROM clientes")
+
+VJ = """
+vj AS (
+  SELECT i.id_interaccion, i.id_cliente, i.id_tienda, i.fecha_visita, i.motivo_visita, i.compro_en_visita,
+    c.antiguedad_meses, c.score_credito_interno, c.tiene_celular_valido, c.tiene_email_valido,
+    c.recency_dias, c.frequency, c.monetary_total, c.monetary_avg, c.diversidad_categorias,
+    c.total_visitas, c.tasa_conversion_hist, c.visitas_servicio_tecnico, c.visitas_cotizacion,
+    c.visitas_reclamo, c.zona_geografica
+  FROM interacciones i LEFT JOIN customer_360 c ON i.id_cliente = c.id_cliente
+)"""
+DICT = """
+dict AS (
+  SELECT 'zona_geografica' AS columna, valor, CAST(row_number() OVER (ORDER BY valor) - 1 AS INTEGER) AS codigo
+  FROM (SELECT DISTINCT zona_geografica AS valor FROM vj WHERE zona_geografica IS NOT NULL)
+  UNION ALL
+  SELECT 'motivo_visita', valor, CAST(row_number() OVER (ORDER BY valor) - 1 AS INTEGER)
+  FROM (SELECT DISTINCT motivo_visita AS valor FROM vj WHERE motivo_visita IS NOT NULL)
+  UNION ALL
+  SELECT 'id_tienda', valor, CAST(row_number() OVER (ORDER BY valor) - 1 AS INTEGER)
+  FROM (SELECT DISTINCT id_tienda AS valor FROM vj WHERE id_tienda IS NOT NULL)
+)"""
+CODED = """
+coded AS (
+  SELECT vj.*,
+    CASE WHEN vj.zona_geografica IS NULL THEN 0 ELSE coalesce(dz.codigo, -1) END AS zona_code,
+    CASE WHEN vj.motivo_visita IS NULL THEN 0 ELSE coalesce(dm.codigo, -1) END AS motivo_code,
+    CASE WHEN vj.id_tienda IS NULL THEN 0 ELSE coalesce(dt.codigo, -1) END AS tienda_code
+  FROM vj
+  LEFT JOIN dict dz ON dz.columna = 'zona_geografica' AND dz.valor = vj.zona_geografica
+  LEFT JOIN dict dm ON dm.columna = 'motivo_visita' AND dm.valor = vj.motivo_visita
+  LEFT JOIN dict dt ON dt.columna = 'id_tienda' AND dt.valor = vj.id_tienda
+)"""
+WEEKDAY_SQL = "CAST(isodow(fecha_visita) - 1 AS INTEGER)"
+MONTH_SQL = "CAST(month(fecha_visita) AS INTEGER)"
+PAYDAY_SQL = "CAST(dayofmonth(fecha_visita) IN (14, 15, 16, 28, 29, 30, 31) AS INTEGER)"
+VD = f"""
+vd AS (
+  SELECT id_interaccion, zona_code AS zona_geografica,
+    coalesce(antiguedad_meses, 0) AS antiguedad_meses,
+    coalesce(score_credito_interno, 0) AS score_credito_interno,
+    coalesce(tiene_celular_valido, 0) AS tiene_celular_valido,
+    coalesce(tiene_email_valido, 0) AS tiene_email_valido,
+    coalesce(recency_dias, 0) AS recency_dias, coalesce(frequency, 0) AS frequency,
+    coalesce(monetary_total, 0) AS monetary_total, coalesce(monetary_avg, 0) AS monetary_avg,
+    coalesce(diversidad_categorias, 0) AS diversidad_categorias,
+    coalesce(total_visitas, 0) AS total_visitas,
+    coalesce(tasa_conversion_hist, 0) AS tasa_conversion_hist,
+    coalesce(visitas_servicio_tecnico, 0) AS visitas_servicio_tecnico,
+    coalesce(visitas_cotizacion, 0) AS visitas_cotizacion,
+    coalesce(visitas_reclamo, 0) AS visitas_reclamo,
+    motivo_code AS motivo_visita, tienda_code AS id_tienda,
+    {WEEKDAY_SQL} AS dia_semana, {MONTH_SQL} AS mes, {PAYDAY_SQL} AS es_quincena,
+    compro_en_visita
+  FROM coded
+)"""
+VD_CTES = C360_CTES + (VJ, DICT, CODED, VD)
+
+oracle("step_counts", *VD_CTES)("""
+SELECT 'clientes' AS tabla, count(*) AS filas, CAST(6 AS INTEGER) AS columnas FROM clientes
+UNION ALL SELECT 'transacciones', count(*), 6 FROM transacciones
+UNION ALL SELECT 'interacciones', count(*), 6 FROM interacciones
+UNION ALL SELECT 'clientes_clean', count(*), 6 FROM clientes_clean
+UNION ALL SELECT 'customer_360', count(*), 22 FROM customer_360
+UNION ALL SELECT 'visit_dataset', count(*), 22 FROM vd""")
+oracle("head_c360", *C360_CTES)("SELECT * FROM customer_360 ORDER BY id_cliente LIMIT 5")
+oracle("fill_numeric", *C360_CTES)("SELECT * FROM customer_360")
+oracle("lookup_client", *C360_CTES)("""
+SELECT a.id_cliente, CASE WHEN c.id_cliente IS NULL THEN 0 ELSE 1 END AS encontrado,
+  c.zona_geografica, c.frequency, c.monetary_total
+FROM (SELECT DISTINCT id_cliente FROM interacciones WHERE id_cliente IS NOT NULL) a
+LEFT JOIN customer_360 c ON a.id_cliente = c.id_cliente""")
+
+# --- lookups ---------------------------------------------------------------------
+oracle("visit_join", *C360_CTES, VJ)("SELECT * FROM vj")
+_TRANS = dims.values_sql(dims.CATEGORY_TRANSITIONS, ["categoria", "next_cat"])
+oracle("next_category", *C360_CTES)(f"""
+SELECT c.id_cliente, c.categoria_favorita, coalesce(t.next_cat, '{dims.DEFAULT_NEXT_CATEGORY}') AS next_best_category
+FROM customer_360 c LEFT JOIN {_TRANS} ON c.categoria_favorita = t.categoria""")
+_NAMES = dims.values_sql(dims.SEGMENT_NAMES, ["sid", "sname"])
+SEG_RULE = f"""
+seg AS (
+  SELECT s.id_cliente, s.segmento_id, coalesce(t.sname, concat('Segmento ', CAST(s.segmento_id AS STRING))) AS segmento_nombre
+  FROM (SELECT id_cliente, {{rule}} AS segmento_id FROM customer_360) s
+  LEFT JOIN {_NAMES} ON s.segmento_id = t.sid
+)"""
+oracle("segment_name", *C360_CTES, SEG_RULE.replace("{rule}", "CAST(antiguedad_meses % 7 AS INT)"))(
+    "SELECT * FROM seg")
+_PB = dims.values_sql(dims.SEGMENT_PLAYBOOK, ["seg", "lec", "est"])
+oracle("playbook", *C360_CTES, SEG_RULE.replace("{rule}", "CAST(antiguedad_meses % 7 AS INT)"))(f"""
+SELECT s.id_cliente, s.segmento_nombre, coalesce(t.lec, '{dims.DEFAULT_PLAYBOOK[0]}') AS lectura,
+  coalesce(t.est, '{dims.DEFAULT_PLAYBOOK[1]}') AS estrategia
+FROM seg s LEFT JOIN {_PB} ON s.segmento_nombre = t.seg""")
+_LAB = dims.values_sql(dims.VISIT_REASON_LABELS, ["m", "l"])
+oracle("reason_label")(f"""
+SELECT i.id_interaccion, i.motivo_visita, coalesce(t.l, i.motivo_visita) AS motivo_label,
+  lower(coalesce(t.l, i.motivo_visita)) AS motivo_label_lower
+FROM interacciones i LEFT JOIN {_LAB} ON i.motivo_visita = t.m""")
+
+# --- training table ---------------------------------------------------------------
+oracle("date_weekday")(f"SELECT id_interaccion, {WEEKDAY_SQL} AS dia_semana FROM interacciones")
+oracle("date_month")(f"SELECT id_interaccion, {MONTH_SQL} AS mes FROM interacciones")
+oracle("date_payday")(f"SELECT id_interaccion, {PAYDAY_SQL} AS es_quincena FROM interacciones")
+oracle("ordinal_fit", *C360_CTES, VJ, DICT)("SELECT * FROM dict")
+oracle("ordinal_apply", *C360_CTES, VJ, DICT, CODED)(
+    "SELECT id_interaccion, zona_code AS zona_geografica, motivo_code AS motivo_visita, "
+    "tienda_code AS id_tienda FROM coded")
+oracle("visit_dataset", *VD_CTES)("SELECT * FROM vd")
+oracle("target_rate", *VD_CTES)(
+    "SELECT avg(compro_en_visita) AS target_rate, count(*) AS n_obs FROM vd")
