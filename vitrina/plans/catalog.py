@@ -206,3 +206,52 @@ def _ordinal_apply(spark, sf_dir):
 
 query("visit_dataset")(lambda s, d: visit_table(s, d)[0])
 query("target_rate")(lambda s, d: dataset.target_rate(visit_table(s, d)[0]))
+
+# --- profiling and quality (2.13) ----------------------------------------------
+from ..functions.columns import EMAIL_PATTERN, PHONE_PATTERN  # noqa: E402
+from ..operators import profiling  # noqa: E402
+
+DQ_COMPLETENESS_COLS = ["id_cliente", "celular_contacto", "email_contacto", "score_credito_interno"]
+DQ_PATTERNS = {"celular_contacto": PHONE_PATTERN, "email_contacto": EMAIL_PATTERN}
+
+
+def _clientes_na(spark, sf_dir):
+    return csv_source.normalise_na(fixtures.clientes(spark, sf_dir))
+
+
+query("dq_completeness")(lambda s, d: profiling.completeness(_clientes_na(s, d), DQ_COMPLETENESS_COLS))
+query("dq_validity")(lambda s, d: profiling.validity(_clientes_na(s, d), DQ_PATTERNS))
+query("dq_uniqueness")(lambda s, d: profiling.uniqueness(_clientes_na(s, d), "id_cliente"))
+query("dq_report")(lambda s, d: profiling.quality_report(_clientes_na(s, d), DQ_COMPLETENESS_COLS,
+                                                         DQ_PATTERNS, "id_cliente"))
+query("id_coverage")(lambda s, d: profiling.distinct_ids(
+    {"clientes": raw(s, d).clientes, "transacciones": raw(s, d).transacciones,
+     "interacciones": raw(s, d).interacciones}))
+query("id_intersection")(lambda s, d: profiling.ids_in_all(
+    [raw(s, d).clientes, raw(s, d).transacciones, raw(s, d).interacciones]))
+
+
+@query("value_counts")
+def _value_counts(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return profiling.value_counts({
+        "zona_geografica": r.clientes.select("zona_geografica"),
+        "categoria_producto": r.transacciones.select("categoria_producto"),
+        "medio_pago": r.transacciones.select("medio_pago"),
+        "motivo_visita": r.interacciones.select("motivo_visita"),
+        "compro_en_visita": r.interacciones.select("compro_en_visita"),
+    })
+
+
+query("histogram")(lambda s, d: profiling.histogram(raw(s, d).clientes, "antiguedad_meses")
+                   .unionByName(profiling.histogram(raw(s, d).clientes, "score_credito_interno")))
+query("monthly_counts")(lambda s, d: profiling.monthly_counts(raw(s, d).transacciones, "fecha_compra",
+                                                              "id_transaccion"))
+query("conversion_by_reason")(lambda s, d: profiling.rate_by(raw(s, d).interacciones, "motivo_visita",
+                                                             "compro_en_visita", "tasa_conversion"))
+
+
+@query("correlation")
+def _correlation(spark, sf_dir):
+    c = c360(spark, sf_dir)
+    return profiling.correlation_matrix(c, customer360.numeric_columns(c))

@@ -275,3 +275,94 @@ oracle("ordinal_apply", *C360_CTES, VJ, DICT, CODED)(
 oracle("visit_dataset", *VD_CTES)("SELECT * FROM vd")
 oracle("target_rate", *VD_CTES)(
     "SELECT avg(compro_en_visita) AS target_rate, count(*) AS n_obs FROM vd")
+
+# --- profiling and quality ---------------------------------------------------------
+_NA_CLIENTES = f"""
+cna AS (
+  SELECT {_na('id_cliente')}, {_na('zona_geografica')}, antiguedad_meses, score_credito_interno,
+    {_na('celular_contacto')}, {_na('email_contacto')} FROM clientes
+)"""
+
+
+def _problem_sql(col: str) -> str:
+    c = f"CAST({col} AS VARCHAR)"
+    return f"({c} IS NULL OR lower({c}) = 'null' OR regexp_matches({c}, '^\\s*$'))"
+
+
+_COMP = " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, 1 - count(*) FILTER (WHERE {_problem_sql(c)}) / count(*) AS completitud FROM cna"
+    for c in ["id_cliente", "celular_contacto", "email_contacto", "score_credito_interno"])
+_VALID = (f"SELECT 'celular_contacto' AS variable, avg({PHONE_SQL}) AS validez FROM cna UNION ALL "
+          f"SELECT 'email_contacto', avg({EMAIL_SQL}) FROM cna")
+_UNIQ = ("SELECT 'id_cliente' AS variable, 1 - (sum(n) - count(*)) / sum(n) AS unicidad "
+         "FROM (SELECT id_cliente, count(*) AS n FROM cna GROUP BY id_cliente)")
+oracle("dq_completeness", _NA_CLIENTES)(_COMP)
+oracle("dq_validity", _NA_CLIENTES)(_VALID)
+oracle("dq_uniqueness", _NA_CLIENTES)(_UNIQ)
+oracle("dq_report", _NA_CLIENTES, f"comp AS ({_COMP})", f"val AS ({_VALID})", f"uniq AS ({_UNIQ})")("""
+SELECT comp.variable, comp.completitud, val.validez, uniq.unicidad
+FROM comp LEFT JOIN val ON comp.variable = val.variable LEFT JOIN uniq ON comp.variable = uniq.variable""")
+oracle("id_coverage")("""
+SELECT 'clientes' AS tabla, count(DISTINCT id_cliente) AS n_ids FROM clientes
+UNION ALL SELECT 'transacciones', count(DISTINCT id_cliente) FROM transacciones
+UNION ALL SELECT 'interacciones', count(DISTINCT id_cliente) FROM interacciones""")
+oracle("id_intersection")("""
+SELECT count(*) AS n_ids_en_todas FROM (
+  SELECT id_cliente FROM clientes WHERE id_cliente IS NOT NULL
+  INTERSECT SELECT id_cliente FROM transacciones WHERE id_cliente IS NOT NULL
+  INTERSECT SELECT id_cliente FROM interacciones WHERE id_cliente IS NOT NULL)""")
+oracle("value_counts")(" UNION ALL ".join(
+    f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS valor, count(*) AS n FROM {t} "
+    f"WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c, t in [("zona_geografica", "clientes"), ("categoria_producto", "transacciones"),
+                 ("medio_pago", "transacciones"), ("motivo_visita", "interacciones"),
+                 ("compro_en_visita", "interacciones")]))
+
+
+def _hist_sql(col: str, bins: int = 15) -> str:
+    return f"""
+SELECT '{col}' AS variable, s.bin, st.lo + s.bin * st.w AS desde, st.lo + (s.bin + 1) * st.w AS hasta,
+  coalesce(c.n, 0) AS n
+FROM (SELECT min(CAST({col} AS DOUBLE)) AS lo, max(CAST({col} AS DOUBLE)) AS hi,
+        (max(CAST({col} AS DOUBLE)) - min(CAST({col} AS DOUBLE))) / {bins} AS w FROM clientes) st
+CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(0, {bins})) s
+LEFT JOIN (
+  SELECT CASE WHEN st2.hi = st2.lo THEN 0
+    ELSE least(CAST(floor((CAST(x.{col} AS DOUBLE) - st2.lo) / ((st2.hi - st2.lo) / {bins})) AS INTEGER), {bins - 1}) END AS bin,
+    count(*) AS n
+  FROM clientes x, (SELECT min(CAST({col} AS DOUBLE)) AS lo, max(CAST({col} AS DOUBLE)) AS hi FROM clientes) st2
+  WHERE x.{col} IS NOT NULL GROUP BY 1) c ON c.bin = s.bin"""
+
+
+oracle("histogram")(_hist_sql("antiguedad_meses") + "\nUNION ALL" + _hist_sql("score_credito_interno"))
+oracle("monthly_counts")("""
+SELECT CAST(m.mes AS DATE) AS mes, coalesce(c.n, 0) AS n
+FROM (SELECT unnest(generate_series(min(date_trunc('month', fecha_compra)), max(date_trunc('month', fecha_compra)),
+        INTERVAL 1 MONTH)) AS mes FROM transacciones) m
+LEFT JOIN (SELECT date_trunc('month', fecha_compra) AS mes, count(id_transaccion) AS n FROM transacciones
+           WHERE fecha_compra IS NOT NULL GROUP BY 1) c ON c.mes = m.mes""")
+oracle("conversion_by_reason")("""
+SELECT motivo_visita, avg(compro_en_visita) AS tasa_conversion FROM interacciones
+WHERE motivo_visita IS NOT NULL GROUP BY motivo_visita""")
+
+C360_NUMERIC = ["antiguedad_meses", "score_credito_interno", "tiene_celular_valido", "tiene_email_valido",
+                "recency_dias", "frequency", "monetary_total", "monetary_avg", "ticket_max",
+                "diversidad_categorias", "usa_credito_propio", "total_visitas", "tasa_conversion_hist",
+                "visitas_servicio_tecnico", "visitas_cotizacion", "visitas_reclamo", "visitas_pago_cuota",
+                "dias_desde_ultima_visita"]
+
+
+def _corr_sql(columns) -> str:
+    aggs = [f"stddev_pop(CAST({c} AS DOUBLE)) AS s_{i}" for i, c in enumerate(columns)]
+    rows = []
+    for i in range(len(columns)):
+        for j in range(i + 1, len(columns)):
+            aggs.append(f"covar_pop(CAST({columns[j]} AS DOUBLE), CAST({columns[i]} AS DOUBLE)) AS c_{i}_{j}")
+            rows.append(f"SELECT '{columns[j]}' AS variable_a, '{columns[i]}' AS variable_b, "
+                        f"round_even(CASE WHEN s_{i} * s_{j} = 0 THEN NULL ELSE c_{i}_{j} / (s_{i} * s_{j}) END, 6)"
+                        f" AS correlacion FROM agg")
+    return f"agg AS (SELECT {', '.join(aggs)} FROM customer_360)", " UNION ALL ".join(rows)
+
+
+_CA, _CB = _corr_sql(C360_NUMERIC)
+oracle("correlation", *C360_CTES, _CA)(_CB)
