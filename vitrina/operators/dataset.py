@@ -49,13 +49,18 @@ def visit_join(visits: DataFrame, c360: DataFrame) -> DataFrame:
 
 
 def build_visit_dataset(visits: DataFrame, c360: DataFrame,
-                        dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Return (training table, fitted dictionary)."""
+                        dictionary: DataFrame | None = None,
+                        extra_cols: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Return (training table, fitted dictionary).
+
+    ``extra_cols`` keeps more visit columns (e.g. ``fecha_visita`` to order
+    the drift split) next to the key.
+    """
     joined = date_parts(visit_join(visits, c360))
     if dictionary is None:
         dictionary = fit_dictionary(joined, CAT_COLS)
     coded = apply_dictionary(joined, dictionary, CAT_COLS)
-    table = coded.select(KEY, *FEATURE_COLS, TARGET).fillna(0, subset=FEATURE_COLS)
+    table = coded.select(KEY, *extra_cols, *FEATURE_COLS, TARGET).fillna(0, subset=FEATURE_COLS)
     return table, dictionary
 
 

@@ -255,3 +255,57 @@ query("conversion_by_reason")(lambda s, d: profiling.rate_by(raw(s, d).interacci
 def _correlation(spark, sf_dir):
     c = c360(spark, sf_dir)
     return profiling.correlation_matrix(c, customer360.numeric_columns(c))
+
+# --- evaluation on the fixed score rule (2.9) ------------------------------------
+from ..operators import drift, evaluation  # noqa: E402
+
+
+def scored_visits(spark, sf_dir):
+    """(id_interaccion, y, score) with the fixed score rule over every visit."""
+    j = dataset.visit_join(raw(spark, sf_dir).interacciones, c360(spark, sf_dir))
+    return j.select("id_interaccion", F.col("compro_en_visita").alias("y"),
+                    rules.score_rule().alias("score"))
+
+
+query("auc")(lambda s, d: evaluation.auc(scored_visits(s, d)))
+query("roc_curve")(lambda s, d: evaluation.roc_curve(scored_visits(s, d)))
+query("pr_curve")(lambda s, d: evaluation.pr_curve(scored_visits(s, d)))
+query("avg_precision")(lambda s, d: evaluation.average_precision(scored_visits(s, d)))
+query("confusion")(lambda s, d: evaluation.confusion(scored_visits(s, d)))
+query("class_report")(lambda s, d: evaluation.class_report(scored_visits(s, d)))
+query("deciles")(lambda s, d: evaluation.deciles(scored_visits(s, d)))
+query("lift_by_decile")(lambda s, d: evaluation.lift_by_decile(evaluation.deciles(scored_visits(s, d))))
+query("top_lift")(lambda s, d: evaluation.top_lift(evaluation.deciles(scored_visits(s, d))))
+query("top_row")(lambda s, d: evaluation.top_row(scored_visits(s, d), "id_interaccion"))
+
+# --- drift between the two halves of the training table (2.12) -------------------
+DRIFT_NUMERIC = [c for c in dataset.FEATURE_COLS if c not in encoding.CAT_COLS]
+DRIFT_CATEGORICAL = list(encoding.CAT_COLS) + ["target"]
+
+
+def drift_frame(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    c = customer360.build_customer_360(cleaning.clean_clientes(r.clientes), r.transacciones,
+                                       r.interacciones)
+    vd, _ = dataset.build_visit_dataset(r.interacciones, c, extra_cols=("fecha_visita",))
+    vd = vd.withColumnRenamed(dataset.TARGET, "target")
+    return drift.split_halves(vd, ["fecha_visita", dataset.KEY])
+
+
+query("drift_split")(lambda s, d: drift_frame(s, d).select(dataset.KEY, "corte"))
+query("drift_ks")(lambda s, d: drift.ks_statistics(drift_frame(s, d), DRIFT_NUMERIC))
+query("drift_chi2")(lambda s, d: drift.chi2_statistics(drift_frame(s, d), DRIFT_CATEGORICAL))
+
+
+def drift_results(spark, sf_dir):
+    return drift.drift_table(drift_frame(spark, sf_dir), DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+
+
+query("drift_summary")(lambda s, d: drift.drift_summary(drift_results(s, d)))
+
+
+@query("drift_sink")
+def _drift_sink(spark, sf_dir):
+    path = scratch_dir(spark, f"drift-{sinks.new_run_id()}")
+    drift.write_drift(drift_results(spark, sf_dir), path)
+    return spark.read.parquet(path)

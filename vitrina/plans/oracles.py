@@ -366,3 +366,132 @@ def _corr_sql(columns) -> str:
 
 _CA, _CB = _corr_sql(C360_NUMERIC)
 oracle("correlation", *C360_CTES, _CA)(_CB)
+
+# --- evaluation on the fixed score rule -----------------------------------------------
+SCORED = """
+scored AS (
+  SELECT id_interaccion, compro_en_visita AS y,
+    0.5 * CAST(motivo_visita = 'cotizacion' AS DOUBLE) + 0.5 * coalesce(tasa_conversion_hist, 0) AS score
+  FROM vj
+)"""
+CS = """
+cs AS (
+  SELECT score, pos, neg,
+    sum(pos) OVER (ORDER BY score) AS cum_pos, sum(neg) OVER (ORDER BY score) AS cum_neg,
+    sum(pos) OVER () AS P, sum(neg) OVER () AS N
+  FROM (SELECT score, CAST(sum(y) AS BIGINT) AS pos, CAST(count(*) - sum(y) AS BIGINT) AS neg
+        FROM scored WHERE score IS NOT NULL GROUP BY score)
+),
+tf AS (SELECT score, pos, P, N, P - cum_pos + pos AS tps, N - cum_neg + neg AS fps FROM cs)"""
+EVAL_CTES = C360_CTES + (VJ, SCORED, CS)
+oracle("auc", *EVAL_CTES)(
+    "SELECT sum(pos * ((cum_neg - neg) + 0.5 * neg)) / (max(P) * max(N)) AS auc FROM cs")
+oracle("roc_curve", *EVAL_CTES)("""
+SELECT score AS threshold, fps / N AS fpr, tps / P AS tpr FROM tf
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+oracle("pr_curve", *EVAL_CTES)("""
+SELECT score AS threshold, CASE WHEN tps + fps = 0 THEN 0.0 ELSE tps / (tps + fps) END AS precision,
+  tps / P AS recall FROM tf
+UNION ALL SELECT NULL, 1.0, 0.0""")
+oracle("avg_precision", *EVAL_CTES)(
+    "SELECT sum((pos / P) * (tps / (tps + fps))) AS average_precision FROM tf")
+oracle("confusion", *C360_CTES, VJ, SCORED)("""
+SELECT a.y_real, b.y_pred, coalesce(c.n, 0) AS n
+FROM (VALUES (0), (1)) a(y_real) CROSS JOIN (VALUES (0), (1)) b(y_pred)
+LEFT JOIN (SELECT y AS y_real, CAST(score > 0.5 AS INTEGER) AS y_pred, count(*) AS n FROM scored GROUP BY 1, 2) c
+  ON a.y_real = c.y_real AND b.y_pred = c.y_pred""")
+oracle("class_report", *C360_CTES, VJ, SCORED, """
+m AS (
+  SELECT count(*) FILTER (WHERE y = 0 AND score <= 0.5) AS n00, count(*) FILTER (WHERE y = 0 AND score > 0.5) AS n01,
+         count(*) FILTER (WHERE y = 1 AND score <= 0.5) AS n10, count(*) FILTER (WHERE y = 1 AND score > 0.5) AS n11
+  FROM scored
+)""", """
+pc AS (
+  SELECT 'No compra' AS clase,
+    CASE WHEN n00 + n10 = 0 THEN 0.0 ELSE n00 / (n00 + n10) END AS precision,
+    CASE WHEN n00 + n01 = 0 THEN 0.0 ELSE n00 / (n00 + n01) END AS recall,
+    CASE WHEN (n00 + n01) + (n00 + n10) = 0 THEN 0.0 ELSE 2 * n00 / ((n00 + n01) + (n00 + n10)) END AS f1_score,
+    n00 + n01 AS support, n00 + n01 + n10 + n11 AS total, 0 AS k FROM m
+  UNION ALL
+  SELECT 'Compra',
+    CASE WHEN n11 + n01 = 0 THEN 0.0 ELSE n11 / (n11 + n01) END,
+    CASE WHEN n11 + n10 = 0 THEN 0.0 ELSE n11 / (n11 + n10) END,
+    CASE WHEN (n11 + n10) + (n11 + n01) = 0 THEN 0.0 ELSE 2 * n11 / ((n11 + n10) + (n11 + n01)) END,
+    n11 + n10, n00 + n01 + n10 + n11, 1 FROM m
+)""")("""
+SELECT clase, precision, recall, f1_score, support FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT (n00 + n11) / (n00 + n01 + n10 + n11) FROM m), max(total) FROM pc
+UNION ALL SELECT 'macro avg',
+  (max(precision) FILTER (WHERE k = 0) + max(precision) FILTER (WHERE k = 1)) / 2,
+  (max(recall) FILTER (WHERE k = 0) + max(recall) FILTER (WHERE k = 1)) / 2,
+  (max(f1_score) FILTER (WHERE k = 0) + max(f1_score) FILTER (WHERE k = 1)) / 2, max(total) FROM pc
+UNION ALL SELECT 'weighted avg',
+  (max(precision * support) FILTER (WHERE k = 0) + max(precision * support) FILTER (WHERE k = 1)) / max(total),
+  (max(recall * support) FILTER (WHERE k = 0) + max(recall * support) FILTER (WHERE k = 1)) / max(total),
+  (max(f1_score * support) FILTER (WHERE k = 0) + max(f1_score * support) FILTER (WHERE k = 1)) / max(total),
+  max(total) FROM pc""")
+DEC = """
+edges AS (
+  SELECT list_sort(list_distinct(quantile_cont(score, [0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5,
+    0.6000000000000001, 0.7000000000000001, 0.8, 0.9, 1.0]))) AS ed FROM scored
+),
+dec AS (
+  SELECT s.id_interaccion, s.y, s.score, greatest(len(list_filter(e.ed, lambda x: x < s.score)) - 1, 0) AS decil
+  FROM scored s CROSS JOIN edges e
+)"""
+oracle("deciles", *C360_CTES, VJ, SCORED, DEC)("SELECT * FROM dec")
+oracle("lift_by_decile", *C360_CTES, VJ, SCORED, DEC)(
+    "SELECT decil, avg(y) AS tasa_compra, count(*) AS n FROM dec GROUP BY decil")
+oracle("top_lift", *C360_CTES, VJ, SCORED, DEC)("""
+SELECT b.baseline, t.tasa_top, t.tasa_top / b.baseline AS lift_top
+FROM (SELECT avg(y) AS baseline FROM dec) b,
+     (SELECT arg_max(r, decil) AS tasa_top FROM (SELECT decil, avg(y) AS r FROM dec GROUP BY decil)) t""")
+oracle("top_row", *C360_CTES, VJ, SCORED)(
+    "SELECT * FROM scored ORDER BY score DESC, id_interaccion ASC LIMIT 1")
+
+# --- drift ------------------------------------------------------------------------------
+DRIFT_NUMERIC_COLS = ["antiguedad_meses", "score_credito_interno", "tiene_celular_valido", "tiene_email_valido",
+                      "recency_dias", "frequency", "monetary_total", "monetary_avg", "diversidad_categorias",
+                      "total_visitas", "tasa_conversion_hist", "visitas_servicio_tecnico", "visitas_cotizacion",
+                      "visitas_reclamo", "dia_semana", "mes", "es_quincena"]
+DRIFT_CAT_COLS = ["zona_geografica", "motivo_visita", "id_tienda", "target"]
+SPLIT = """
+vdx AS (
+  SELECT vd.*, vd.compro_en_visita AS target, c.fecha_visita AS fecha_orden
+  FROM vd JOIN coded c ON vd.id_interaccion = c.id_interaccion
+),
+split AS (
+  SELECT vdx.*, CASE WHEN row_number() OVER (ORDER BY fecha_orden, id_interaccion) <= (SELECT count(*) FROM vdx) // 2
+    THEN 'referencia' ELSE 'actual' END AS corte
+  FROM vdx
+)"""
+
+
+def _long_sql(cols) -> str:
+    body = " UNION ALL ".join(f"SELECT corte, '{c}' AS columna, CAST({c} AS DOUBLE) AS valor FROM split"
+                              for c in cols)
+    return f"""
+lc AS (
+  SELECT columna, valor, count(*) FILTER (WHERE corte = 'referencia') AS n_ref,
+    count(*) FILTER (WHERE corte = 'actual') AS n_cur
+  FROM ({body}) WHERE valor IS NOT NULL GROUP BY columna, valor
+)"""
+
+
+oracle("drift_split", *VD_CTES, SPLIT)("SELECT id_interaccion, corte FROM split")
+oracle("drift_ks", *VD_CTES, SPLIT, _long_sql(DRIFT_NUMERIC_COLS))("""
+SELECT columna, max(abs(c1 / N1 - c2 / N2)) AS statistic, CAST(max(N1) AS BIGINT) AS n_ref,
+  CAST(max(N2) AS BIGINT) AS n_cur
+FROM (SELECT columna, sum(n_ref) OVER (PARTITION BY columna ORDER BY valor) AS c1,
+        sum(n_cur) OVER (PARTITION BY columna ORDER BY valor) AS c2,
+        sum(n_ref) OVER (PARTITION BY columna) AS N1, sum(n_cur) OVER (PARTITION BY columna) AS N2 FROM lc)
+GROUP BY columna""")
+oracle("drift_chi2", *VD_CTES, SPLIT, _long_sql(DRIFT_CAT_COLS))("""
+SELECT columna,
+  round_even(sum(CASE WHEN e = 0 THEN (CASE WHEN n_cur = 0 THEN 0.0 ELSE CAST('inf' AS DOUBLE) END)
+      ELSE (n_cur - e) * (n_cur - e) / e END), 9) AS statistic,
+  count(*) - 1 AS dof
+FROM (SELECT columna, n_ref, CAST(n_cur AS DOUBLE) AS n_cur,
+        n_ref * (CAST(sum(n_cur) OVER (PARTITION BY columna) AS DOUBLE) / sum(n_ref) OVER (PARTITION BY columna)) AS e
+      FROM lc)
+GROUP BY columna""")
