@@ -77,32 +77,44 @@ def global_row_number(df: DataFrame, order_cols: list[str], alias: str = "rn",
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],
+                    group_cols: list[str] | None = None,
                     num_partitions: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy's default) of ``col``, exactly.
 
-    Work is linear: values are counted per distinct value, the counts get
-    running totals, and each requested rank is found by a range join of the
-    (len(probs)-row, broadcast) probe table against the value ranges.
-    Returns rows (p, quantile).
+    Work is linear: values are counted per distinct value (per group), the
+    counts get running totals, and each requested rank is found by joining
+    the probe table (groups x probs rows, broadcast: only use few groups,
+    e.g. segments) against the value ranges, so the big side never shuffles
+    and a hot group costs nothing extra. Returns rows (*groups, p, quantile).
     """
     spark = df.sparkSession
-    counts = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
+    g = list(group_cols or [])
+    counts = (df.where(F.col(col).isNotNull())
+                .groupBy(*g, F.col(col).cast("double").alias("v"))
                 .agg(F.count(F.lit(1)).alias("c")))
-    cum = prefix_sums(counts, ["v"], ["c"], num_partitions=num_partitions)
-    ranges = cum.select("v", (F.col("cum_c") - F.col("c")).alias("lo"), F.col("cum_c").alias("hi"))
-    n = counts.agg(F.sum("c").alias("n"))
-    probes = (spark.createDataFrame([(float(p),) for p in probs], "p double")
-                   .crossJoin(n)
-                   .select("p", (F.col("p") * (F.col("n") - 1)).alias("h"))
-                   .select("p", "h", F.floor("h").cast("long").alias("j")))
-    probes = probes.select("p", "h", "j", (F.col("j") + 1).alias("j1"))
-    pb = F.broadcast(probes)
-    a = ranges.join(pb, (F.col("j") >= F.col("lo")) & (F.col("j") < F.col("hi"))).select(
-        "p", "h", "j", "j1", F.col("v").alias("a"))
-    b = ranges.join(pb, (F.col("j1") >= F.col("lo")) & (F.col("j1") < F.col("hi"))).select(
-        "p", F.col("v").alias("b"))
+    cum = prefix_sums(counts, ["v"], ["c"], group_cols=g, num_partitions=num_partitions)
+    ranges = cum.select(*g, "v", (F.col("cum_c") - F.col("c")).alias("lo"), F.col("cum_c").alias("hi"))
+    sizes = counts.groupBy(*g).agg(F.sum("c").alias("n")) if g else counts.agg(F.sum("c").alias("n"))
+    probe_p = spark.createDataFrame([(float(p),) for p in probs], "p double")
+    probes = (sizes.crossJoin(F.broadcast(probe_p))
+                   .select(*g, "p", (F.col("p") * (F.col("n") - 1)).alias("h"))
+                   .select(*g, "p", "h", F.floor("h").cast("long").alias("j"))
+                   .select(*g, "p", "h", "j", (F.col("j") + 1).alias("j1")))
+    pa = F.broadcast(probes.alias("pa"))
+
+    def pick(rank_col: str, value_alias: str) -> DataFrame:
+        cond = (F.col(f"pa.{rank_col}") >= F.col("r.lo")) & (F.col(f"pa.{rank_col}") < F.col("r.hi"))
+        for k in g:
+            cond = cond & F.col(f"pa.{k}").eqNullSafe(F.col(f"r.{k}"))
+        return ranges.alias("r").join(pa, cond).select(
+            *[F.col(f"pa.{k}").alias(k) for k in g], F.col("pa.p").alias("p"), F.col("pa.h").alias("h"),
+            F.col("pa.j").alias("j"), F.col("r.v").alias(value_alias))
+
+    a = pick("j", "a")
+    b = pick("j1", "b").select(*[F.col(k).alias(f"_b_{k}") for k in g], F.col("p").alias("_b_p"), "b")
     t = F.col("h") - F.col("j")
     diff = F.col("b") - F.col("a")
     lerp = F.when(t >= 0.5, F.col("b") - diff * (F.lit(1.0) - t)).otherwise(F.col("a") + diff * t)
-    return (a.join(b, "p", "left")
-             .select("p", F.when(F.col("b").isNull(), F.col("a")).otherwise(lerp).alias("quantile")))
+    cond = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in g + ["p"]]
+    return (a.join(b, cond, "left")
+             .select(*g, "p", F.when(F.col("b").isNull(), F.col("a")).otherwise(lerp).alias("quantile")))

@@ -309,3 +309,67 @@ def _drift_sink(spark, sf_dir):
     path = scratch_dir(spark, f"drift-{sinks.new_run_id()}")
     drift.write_drift(drift_results(spark, sf_dir), path)
     return spark.read.parquet(path)
+
+# --- segmentation (2.7) -------------------------------------------------------------
+from ..operators import segmentation  # noqa: E402
+
+# Small search settings for the registered queries (the pipeline defaults are
+# the reference's: 10 restarts, k = 2..7).
+Q_N_INIT = 2
+Q_K = 5
+
+
+query("seg_scaled")(lambda s, d: segmentation.zscore(c360(s, d), digits=9))
+
+
+@query("kmeans_fit")
+def _kmeans_fit(spark, sf_dir):
+    c = c360(spark, sf_dir)
+    _, scaled = segmentation.prepare(c)
+    fit = segmentation.fit_kmeans(scaled, Q_K, n_init=Q_N_INIT)
+    centres = [(i, float(fit.inertia), [float(v) for v in ctr])
+               for i, ctr in enumerate(fit.model.clusterCenters())]
+    scaled.unpersist()
+    return spark.createDataFrame(centres, "cluster int, inertia double, centro array<double>")
+
+
+def _sweep(spark, sf_dir):
+    _, scaled = segmentation.prepare(c360(spark, sf_dir))
+    return segmentation.k_sweep(scaled, n_init=Q_N_INIT)
+
+
+query("k_sweep")(_sweep)
+query("best_k")(lambda s, d: segmentation.best_k(_sweep(s, d)))
+
+
+def segmented(spark, sf_dir, k=Q_K):
+    c = c360(spark, sf_dir)
+    model = segmentation.segment_model(c, k, n_init=Q_N_INIT)
+    return segmentation.assign_segments(c, model), model
+
+
+query("segments")(lambda s, d: segmented(s, d)[0].select("id_cliente", "segmento_id", "segmento_nombre"))
+
+
+def _rule_segmented(spark, sf_dir):
+    return lookups.segment_name(c360(spark, sf_dir).withColumn("segmento_id", rules.segment_rule()))
+
+
+query("segment_profile")(lambda s, d: segmentation.segment_profile(_rule_segmented(s, d)))
+query("segment_box")(lambda s, d: segmentation.segment_box(_rule_segmented(s, d)))
+
+
+@query("segment_map")
+def _segment_map(spark, sf_dir):
+    seg, model = segmented(spark, sf_dir)
+    feats = model.stages[0].transform(seg)
+    feats = model.stages[1].transform(feats)
+    return segmentation.segment_map(feats)[1]
+
+
+@query("sink_c360_seg")
+def _sink_c360_seg(spark, sf_dir):
+    seg, _ = segmented(spark, sf_dir)
+    base = scratch_dir(spark, f"seg-{sinks.new_run_id()}")
+    sinks.write_table(seg, base, "customer_360_seg")
+    return sinks.row_counts(spark, base, ["customer_360_seg"])

@@ -495,3 +495,52 @@ FROM (SELECT columna, n_ref, CAST(n_cur AS DOUBLE) AS n_cur,
         n_ref * (CAST(sum(n_cur) OVER (PARTITION BY columna) AS DOUBLE) / sum(n_ref) OVER (PARTITION BY columna)) AS e
       FROM lc)
 GROUP BY columna""")
+
+# --- segmentation (fixed segment rule) --------------------------------------------
+SEG_FEATURES = ["recency_dias", "frequency", "monetary_total", "monetary_avg", "total_visitas",
+                "tasa_conversion_hist", "usa_credito_propio", "diversidad_categorias",
+                "score_credito_interno", "antiguedad_meses"]
+_Z = ", ".join(
+    f"round_even((CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM customer_360)) / "
+    f"(SELECT CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END "
+    f"FROM customer_360), 9) AS {c}" for c in SEG_FEATURES)
+oracle("seg_scaled", *C360_CTES)(f"SELECT id_cliente, {_Z} FROM customer_360")
+_RULE_SEG = SEG_RULE.replace("{rule}", "CAST(antiguedad_meses % 7 AS INT)")
+oracle("segment_profile", *C360_CTES, _RULE_SEG)(
+    "SELECT s.segmento_nombre, " + ", ".join(f"round_even(avg(c.{c}), 2) AS {c}" for c in SEG_FEATURES) +
+    " FROM seg s JOIN customer_360 c ON s.id_cliente = c.id_cliente GROUP BY s.segmento_nombre")
+BOX_COLS = ["monetary_total", "frequency", "recency_dias", "tasa_conversion_hist"]
+_LONG_BOX = " UNION ALL ".join(
+    f"SELECT s.segmento_nombre, '{c}' AS variable, CAST(c.{c} AS DOUBLE) AS x "
+    f"FROM seg s JOIN customer_360 c ON s.id_cliente = c.id_cliente" for c in BOX_COLS)
+oracle("segment_box", *C360_CTES, _RULE_SEG, f"lb AS ({_LONG_BOX})", """
+rk AS (
+  SELECT segmento_nombre, variable, x,
+    row_number() OVER (PARTITION BY segmento_nombre, variable ORDER BY x) - 1 AS r,
+    count(*) OVER (PARTITION BY segmento_nombre, variable) AS n
+  FROM lb WHERE x IS NOT NULL
+)""", """
+pr AS (
+  SELECT g.segmento_nombre, g.variable, p.p, p.p * (g.n - 1) AS h, CAST(floor(p.p * (g.n - 1)) AS BIGINT) AS j
+  FROM (SELECT DISTINCT segmento_nombre, variable, n FROM rk) g CROSS JOIN (VALUES (0.25), (0.5), (0.75)) p(p)
+)""", """
+qv AS (
+  SELECT pr.segmento_nombre, pr.variable, pr.p,
+    CASE WHEN b.x IS NULL THEN a.x
+         WHEN pr.h - pr.j >= 0.5 THEN b.x - (b.x - a.x) * (1.0 - (pr.h - pr.j))
+         ELSE a.x + (b.x - a.x) * (pr.h - pr.j) END AS q
+  FROM pr JOIN rk a ON a.segmento_nombre = pr.segmento_nombre AND a.variable = pr.variable AND a.r = pr.j
+  LEFT JOIN rk b ON b.segmento_nombre = pr.segmento_nombre AND b.variable = pr.variable AND b.r = pr.j + 1
+)""", """
+fe AS (
+  SELECT segmento_nombre, variable, max(q) FILTER (WHERE p = 0.25) AS q1, max(q) FILTER (WHERE p = 0.5) AS mediana,
+    max(q) FILTER (WHERE p = 0.75) AS q3
+  FROM qv GROUP BY segmento_nombre, variable
+)""")("""
+SELECT fe.segmento_nombre, fe.variable, fe.q1, fe.mediana, fe.q3,
+  min(lb.x) FILTER (WHERE lb.x >= fe.q1 - 1.5 * (fe.q3 - fe.q1) AND lb.x <= fe.q3 + 1.5 * (fe.q3 - fe.q1)) AS bigote_inf,
+  max(lb.x) FILTER (WHERE lb.x >= fe.q1 - 1.5 * (fe.q3 - fe.q1) AND lb.x <= fe.q3 + 1.5 * (fe.q3 - fe.q1)) AS bigote_sup,
+  count(*) FILTER (WHERE NOT (lb.x >= fe.q1 - 1.5 * (fe.q3 - fe.q1) AND lb.x <= fe.q3 + 1.5 * (fe.q3 - fe.q1))) AS n_atipicos
+FROM fe JOIN lb ON lb.segmento_nombre = fe.segmento_nombre AND lb.variable = fe.variable
+WHERE lb.x IS NOT NULL
+GROUP BY fe.segmento_nombre, fe.variable, fe.q1, fe.mediana, fe.q3""")
