@@ -22,22 +22,36 @@ THRESHOLD = 0.5
 DECILE_PROBS = [i * 0.1 for i in range(10)] + [1.0]
 
 
-def score_counts(df: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
-    """Per distinct score: pos, neg, running totals ascending, and totals P, N."""
+def score_counts(df: DataFrame, score: str = "score", label: str = "y",
+                 group_cols: list[str] | None = None) -> DataFrame:
+    """Per distinct score: pos, neg, running totals ascending, and totals P, N.
+
+    With ``group_cols`` (e.g. a fold id) everything restarts per group.
+    """
+    g = list(group_cols or [])
     counts = (df.where(F.col(score).isNotNull())
-                .groupBy(F.col(score).cast("double").alias("score"))
+                .groupBy(*g, F.col(score).cast("double").alias("score"))
                 .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                      F.sum((1 - F.col(label)).cast("long")).alias("neg")))
-    cum = prefix_sums(counts, ["score"], ["pos", "neg"])
+    cum = prefix_sums(counts, ["score"], ["pos", "neg"], group_cols=g)
+    if g:
+        totals = counts.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+        return cum.join(F.broadcast(totals), g)
     totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return cum.crossJoin(F.broadcast(totals))
 
 
-def auc(df: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
-    """Tie-aware ROC AUC: sum over positives of (negatives below + half the tied)."""
-    sc = score_counts(df, score, label)
+def auc(df: DataFrame, score: str = "score", label: str = "y",
+        group_cols: list[str] | None = None) -> DataFrame:
+    """Tie-aware ROC AUC: sum over positives of (negatives below + half the tied).
+
+    Equals ``BinaryClassificationEvaluator(numBins=0)``; one row per group.
+    """
+    g = list(group_cols or [])
+    sc = score_counts(df, score, label, g)
     term = F.col("pos") * ((F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("neg"))
-    return sc.agg(F.try_divide(F.sum(term), F.max("P") * F.max("N")).alias("auc"))
+    agg = F.try_divide(F.sum(term), F.max("P") * F.max("N")).alias("auc")
+    return sc.groupBy(*g).agg(agg) if g else sc.agg(agg)
 
 
 def _tps_fps(sc: DataFrame) -> DataFrame:

@@ -373,3 +373,95 @@ def _sink_c360_seg(spark, sf_dir):
     base = scratch_dir(spark, f"seg-{sinks.new_run_id()}")
     sinks.write_table(seg, base, "customer_360_seg")
     return sinks.row_counts(spark, base, ["customer_360_seg"])
+
+# --- propensity model (2.8) and explanation (2.10) ---------------------------------
+from ..operators import explain, propensity  # noqa: E402
+
+# Query-sized budgets (the pipeline runs the reference's 50 trials x 5 folds
+# with 50..300 trees): few trees, few trials, two Shapley samples.
+Q_PARAMS = {"n_estimators": 20, "max_depth": 3, "learning_rate": 0.1}
+Q_TRIALS = 2
+Q_SEARCH_SPACE = dict(propensity.SEARCH_SPACE, n_estimators=(10, 30, "int"))
+Q_TREES_COMPARE = 20
+Q_SHAP_SAMPLES = 2
+
+
+def model_table(spark, sf_dir):
+    vd, _ = visit_table(spark, sf_dir)
+    return propensity.add_folds(vd)
+
+
+def fitted(spark, sf_dir):
+    tbl = model_table(spark, sf_dir)
+    return propensity.gbt_pipeline(Q_PARAMS).fit(tbl), tbl
+
+
+query("folds")(lambda s, d: model_table(s, d).select(dataset.KEY, dataset.TARGET, "fold"))
+query("cv_auc")(lambda s, d: propensity.cv_summary(propensity.cv_auc(
+    model_table(s, d), lambda: propensity.gbt_pipeline(Q_PARAMS))))
+
+
+@query("gbt_fit")
+def _gbt_fit(spark, sf_dir):
+    model, _ = fitted(spark, sf_dir)
+    return propensity.feature_importances(spark, model)
+
+
+@query("score")
+def _score(spark, sf_dir):
+    model, tbl = fitted(spark, sf_dir)
+    return propensity.score(model, tbl).select(dataset.KEY, dataset.TARGET, "score")
+
+
+def _hpo(spark, sf_dir):
+    tbl = model_table(spark, sf_dir)
+    trials = propensity.sample_params(Q_TRIALS, space=Q_SEARCH_SPACE)
+    return propensity.search(tbl, trials, parallelism=2)
+
+
+@query("hpo")
+def _hpo_query(spark, sf_dir):
+    res = _hpo(spark, sf_dir)
+    rows = [(i, {k: str(v) for k, v in p.items()}, v) for i, (p, v) in enumerate(res)]
+    return spark.createDataFrame(rows, "number int, params map<string,string>, auc_mean double")
+
+
+query("model_compare")(lambda s, d: propensity.compare_models(model_table(s, d), n_trees=Q_TREES_COMPARE))
+
+
+@query("model_roundtrip")
+def _model_roundtrip(spark, sf_dir):
+    """Save the pipeline, load it back, and compare the two score columns."""
+    from pyspark.ml import PipelineModel
+    model, tbl = fitted(spark, sf_dir)
+    path = scratch_dir(spark, f"model-{sinks.new_run_id()}")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    a = propensity.score(model, tbl).select(dataset.KEY, F.col("score").alias("a"))
+    b = propensity.score(loaded, tbl).select(dataset.KEY, F.col("score").alias("b"))
+    return a.join(b, dataset.KEY).agg(F.count(F.lit(1)).alias("n"),
+                                      F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
+
+
+@query("importance")
+def _importance(spark, sf_dir):
+    model, tbl = fitted(spark, sf_dir)
+    perm = explain.permutation_importance(model, tbl)
+    return perm.join(propensity.feature_importances(spark, model), "feature")
+
+
+def _shap(spark, sf_dir):
+    model, tbl = fitted(spark, sf_dir)
+    return explain.shapley(model, tbl, samples=Q_SHAP_SAMPLES), model, tbl
+
+
+query("shapley")(lambda s, d: _shap(s, d)[0])
+
+
+@query("explain_row")
+def _explain_row(spark, sf_dir):
+    phi, model, tbl = _shap(spark, sf_dir)
+    scored = propensity.score(model, tbl)
+    top = evaluation.top_row(scored, dataset.KEY)
+    base = scored.agg(F.avg("score").alias("base_value"))
+    return explain.explain_row(phi, top, base)

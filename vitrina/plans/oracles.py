@@ -544,3 +544,10 @@ SELECT fe.segmento_nombre, fe.variable, fe.q1, fe.mediana, fe.q3,
 FROM fe JOIN lb ON lb.segmento_nombre = fe.segmento_nombre AND lb.variable = fe.variable
 WHERE lb.x IS NOT NULL
 GROUP BY fe.segmento_nombre, fe.variable, fe.q1, fe.mediana, fe.q3""")
+
+# --- propensity: stratified folds ---------------------------------------------------
+oracle("folds", *VD_CTES)("""
+SELECT id_interaccion, compro_en_visita,
+  CAST((row_number() OVER (PARTITION BY compro_en_visita
+        ORDER BY md5(concat(id_interaccion, '42')), id_interaccion) - 1) % 5 AS INTEGER) AS fold
+FROM vd""")
