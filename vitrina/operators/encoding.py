@@ -31,14 +31,18 @@ def fit_dictionary(df: DataFrame, columns: list[str] = CAT_COLS) -> DataFrame:
 
 
 def apply_dictionary(df: DataFrame, dictionary: DataFrame,
-                     columns: list[str] = CAT_COLS) -> DataFrame:
-    """Replace each categorical column by its integer code."""
+                     columns: list[str] = CAT_COLS, null_code: int = NULL_CODE) -> DataFrame:
+    """Replace each categorical column by its integer code.
+
+    ``null_code`` is 0 when building the training table and -1 at serving
+    time (a missing value there is just another unseen value).
+    """
     out = df
     for c in columns:
         d = (dictionary.where(F.col("columna") == c)
                        .select(F.col("valor").alias(f"_v_{c}"), F.col("codigo").alias(f"_c_{c}")))
         out = (out.join(d, out[c].cast("string") == d[f"_v_{c}"], "left")
-                  .withColumn(c, F.when(F.col(c).isNull(), F.lit(NULL_CODE))
+                  .withColumn(c, F.when(F.col(c).isNull(), F.lit(null_code))
                                   .otherwise(F.coalesce(f"_c_{c}", F.lit(UNSEEN_CODE))).cast("int"))
                   .drop(f"_v_{c}", f"_c_{c}"))
     return out

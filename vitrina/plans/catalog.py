@@ -465,3 +465,84 @@ def _explain_row(spark, sf_dir):
     top = evaluation.top_row(scored, dataset.KEY)
     base = scored.agg(F.avg("score").alias("base_value"))
     return explain.explain_row(phi, top, base)
+
+# --- next-best-action (2.11) ----------------------------------------------------------
+from ..operators import scoring  # noqa: E402
+from ..streaming import nba_stream  # noqa: E402
+
+
+def _found_requests(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return scoring.lookup(r.interacciones, c360(spark, sf_dir))
+
+
+def rule_recommendations(spark, sf_dir):
+    """Recommendations with the fixed segment and score rules (exact checks)."""
+    looked = _found_requests(spark, sf_dir).where(F.col("encontrado") == 1)
+    seg = lookups.segment_name(looked.withColumn("segmento_id", rules.segment_rule()))
+    seg = seg.withColumnRenamed("segmento_nombre", "segmento").withColumn("score", rules.score_rule())
+    return scoring.finish(seg)
+
+
+query("nba_lookup")(lambda s, d: _found_requests(s, d).select("id_interaccion", "id_cliente", "encontrado",
+                                                              "error"))
+
+
+@query("nba_features")
+def _nba_features(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    c = c360(spark, sf_dir)
+    _, dictionary = dataset.build_visit_dataset(r.interacciones, c)
+    feats = scoring.serving_features(scoring.lookup(r.interacciones, c), dictionary)
+    return feats.select(dataset.KEY, *dataset.FEATURE_COLS)
+
+
+query("nba_level")(lambda s, d: rule_recommendations(s, d).select("id_interaccion", "score_compra_hoy", "nivel"))
+query("nba_action")(lambda s, d: rule_recommendations(s, d).select(
+    "id_interaccion", "segmento", "nivel", "next_best_category", "accion_recomendada"))
+query("opportunity")(lambda s, d: lookups.opportunity(rule_recommendations(s, d).select("id_interaccion", "nivel")))
+query("category_title")(lambda s, d: c360(s, d).select(
+    "id_cliente", "categoria_favorita", lookups.category_title("categoria_favorita").alias("categoria_titulo")))
+
+
+@query("advisor_card")
+def _advisor_card(spark, sf_dir):
+    card = scoring.advisor_card(rule_recommendations(spark, sf_dir))
+    return card.select("id_interaccion", "segmento", "lectura", "estrategia", "motivo_label_lower",
+                       "opp_title", "opp_subtitle", "categoria_sugerida", "categoria_historica")
+
+
+def serving_artifacts(spark, sf_dir):
+    """Customer 360, segmentation model, propensity model, encoder dictionary."""
+    r = raw(spark, sf_dir)
+    c = c360(spark, sf_dir)
+    seg_model = segmentation.segment_model(c, Q_K, n_init=Q_N_INIT)
+    vd, dictionary = dataset.build_visit_dataset(r.interacciones, c)
+    prop_model = propensity.gbt_pipeline(Q_PARAMS).fit(vd)
+    return c, seg_model, prop_model, dictionary
+
+
+@query("nba_segment")
+def _nba_segment(spark, sf_dir):
+    c, seg_model, _, _ = serving_artifacts(spark, sf_dir)
+    looked = _found_requests(spark, sf_dir).where(F.col("encontrado") == 1)
+    return segmentation.assign_segments(looked, seg_model).select("id_interaccion", "segmento_id",
+                                                                  "segmento_nombre")
+
+
+@query("nba_batch")
+def _nba_batch(spark, sf_dir):
+    c, seg_model, prop_model, dictionary = serving_artifacts(spark, sf_dir)
+    return scoring.recommend(raw(spark, sf_dir).interacciones, c, seg_model, prop_model, dictionary)
+
+
+@query("nba_stream")
+def _nba_stream(spark, sf_dir):
+    """Visits written as parquet files, scored by an availableNow stream."""
+    c, seg_model, prop_model, dictionary = serving_artifacts(spark, sf_dir)
+    base = scratch_dir(spark, f"stream-{sinks.new_run_id()}")
+    visits = raw(spark, sf_dir).interacciones
+    visits.repartition(4).write.mode("overwrite").parquet(f"{base}/source")
+    nba_stream.run_scoring_stream(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint",
+                                  c, seg_model, prop_model, dictionary, max_files_per_trigger=2)
+    return spark.read.parquet(f"{base}/sink")

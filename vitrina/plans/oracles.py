@@ -551,3 +551,81 @@ SELECT id_interaccion, compro_en_visita,
   CAST((row_number() OVER (PARTITION BY compro_en_visita
         ORDER BY md5(concat(id_interaccion, '42')), id_interaccion) - 1) % 5 AS INTEGER) AS fold
 FROM vd""")
+
+# --- next-best-action (fixed segment and score rules) ---------------------------------
+LK = """
+lk AS (
+  SELECT i.id_interaccion, i.id_cliente, i.id_tienda, i.fecha_visita, i.motivo_visita,
+    c.* EXCLUDE (id_cliente), c.id_cliente IS NOT NULL AS found
+  FROM interacciones i LEFT JOIN customer_360 c ON i.id_cliente = c.id_cliente
+)"""
+_TPL = dims.values_sql(dims.ACTION_TEMPLATES, ["seg", "tpl"])
+RR = f"""
+rr AS (
+  SELECT lk.id_interaccion, lk.id_cliente, lk.motivo_visita, lk.categoria_favorita,
+    coalesce(sn.sname, concat('Segmento ', CAST(CAST(lk.antiguedad_meses % 7 AS INT) AS STRING))) AS segmento,
+    0.5 * CAST(lk.motivo_visita = 'cotizacion' AS DOUBLE) + 0.5 * coalesce(lk.tasa_conversion_hist, 0) AS score
+  FROM lk LEFT JOIN {_NAMES.replace(' AS t(', ' AS sn(')} ON CAST(lk.antiguedad_meses % 7 AS INT) = sn.sid
+  WHERE lk.found
+),
+rec AS (
+  SELECT rr.*, CASE WHEN score > 0.6 THEN 'ALTO' WHEN score > 0.35 THEN 'MEDIO' ELSE 'BAJO' END AS nivel,
+    round_even(score, 3) AS score_compra_hoy,
+    coalesce(t.next_cat, '{dims.DEFAULT_NEXT_CATEGORY}') AS next_best_category
+  FROM rr LEFT JOIN {_TRANS} ON rr.categoria_favorita = t.categoria
+),
+act AS (
+  SELECT rec.*, replace(coalesce(a.tpl, '{dims.DEFAULT_ACTION}'), '{{cat}}', next_best_category)
+    || CASE WHEN nivel = 'BAJO' THEN '{dims.LOW_PRIORITY_SUFFIX}' ELSE '' END AS accion_recomendada
+  FROM rec LEFT JOIN {_TPL.replace(' AS t(', ' AS a(')} ON rec.segmento = a.seg
+)"""
+NBA_CTES = C360_CTES + (LK, RR)
+oracle("nba_lookup", *C360_CTES, LK)("""
+SELECT id_interaccion, id_cliente, CAST(found AS INTEGER) AS encontrado,
+  CASE WHEN found THEN NULL ELSE concat('Cliente ', coalesce(id_cliente, 'None'), ' no encontrado') END AS error
+FROM lk""")
+oracle("nba_features", *VD_CTES, LK)(f"""
+SELECT lk.id_interaccion,
+  CASE WHEN lk.zona_geografica IS NULL THEN -1 ELSE coalesce(dz.codigo, -1) END AS zona_geografica,
+  lk.antiguedad_meses, lk.score_credito_interno, lk.tiene_celular_valido, lk.tiene_email_valido,
+  lk.recency_dias, lk.frequency, lk.monetary_total, lk.monetary_avg, lk.diversidad_categorias,
+  lk.total_visitas, lk.tasa_conversion_hist, lk.visitas_servicio_tecnico, lk.visitas_cotizacion,
+  lk.visitas_reclamo,
+  CASE WHEN lk.motivo_visita IS NULL THEN -1 ELSE coalesce(dm.codigo, -1) END AS motivo_visita,
+  CASE WHEN lk.id_tienda IS NULL THEN -1 ELSE coalesce(dt.codigo, -1) END AS id_tienda,
+  {WEEKDAY_SQL} AS dia_semana, {MONTH_SQL} AS mes, {PAYDAY_SQL} AS es_quincena
+FROM lk
+LEFT JOIN dict dz ON dz.columna = 'zona_geografica' AND dz.valor = lk.zona_geografica
+LEFT JOIN dict dm ON dm.columna = 'motivo_visita' AND dm.valor = lk.motivo_visita
+LEFT JOIN dict dt ON dt.columna = 'id_tienda' AND dt.valor = lk.id_tienda
+WHERE lk.found""")
+oracle("nba_level", *NBA_CTES)("SELECT id_interaccion, score_compra_hoy, nivel FROM rec")
+oracle("nba_action", *NBA_CTES)(
+    "SELECT id_interaccion, segmento, nivel, next_best_category, accion_recomendada FROM act")
+_OPP = dims.values_sql(dims.OPPORTUNITY_MESSAGES, ["lv", "ttl", "sub"])
+_LOW = [r for r in dims.OPPORTUNITY_MESSAGES if r[0] == "BAJO"][0]
+oracle("opportunity", *NBA_CTES)(f"""
+SELECT rec.id_interaccion, rec.nivel, coalesce(t.ttl, '{_LOW[1]}') AS opp_title,
+  coalesce(t.sub, '{_LOW[2]}') AS opp_subtitle
+FROM rec LEFT JOIN {_OPP} ON rec.nivel = t.lv""")
+
+
+def _title_sql(col: str) -> str:
+    return (f"array_to_string(list_transform(string_split(replace({col}, '_', ' '), ' '), "
+            f"lambda w: upper(w[1]) || lower(w[2:])), ' ')")
+
+
+oracle("category_title", *C360_CTES)(
+    f"SELECT id_cliente, categoria_favorita, {_title_sql('categoria_favorita')} AS categoria_titulo "
+    "FROM customer_360")
+oracle("advisor_card", *NBA_CTES)(f"""
+SELECT act.id_interaccion, act.segmento,
+  coalesce(pb.lec, '{dims.DEFAULT_PLAYBOOK[0]}') AS lectura, coalesce(pb.est, '{dims.DEFAULT_PLAYBOOK[1]}') AS estrategia,
+  lower(coalesce(lb.l, act.motivo_visita)) AS motivo_label_lower,
+  coalesce(op.ttl, '{_LOW[1]}') AS opp_title, coalesce(op.sub, '{_LOW[2]}') AS opp_subtitle,
+  {_title_sql('act.next_best_category')} AS categoria_sugerida,
+  {_title_sql('act.categoria_favorita')} AS categoria_historica
+FROM act
+LEFT JOIN {_PB.replace(' AS t(', ' AS pb(')} ON act.segmento = pb.seg
+LEFT JOIN {_LAB.replace(' AS t(', ' AS lb(')} ON act.motivo_visita = lb.m
+LEFT JOIN {_OPP.replace(' AS t(', ' AS op(')} ON act.nivel = op.lv""")
