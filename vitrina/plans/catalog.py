@@ -546,3 +546,28 @@ def _nba_stream(spark, sf_dir):
     nba_stream.run_scoring_stream(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint",
                                   c, seg_model, prop_model, dictionary, max_files_per_trigger=2)
     return spark.read.parquet(f"{base}/sink")
+
+# --- run records and the whole flow (2.1: O-S10, O-S11, O-S13) ------------------------
+from . import training  # noqa: E402
+
+
+@query("run_log")
+def _run_log(spark, sf_dir):
+    tbl = model_table(spark, sf_dir)
+    cv = propensity.cv_summary(propensity.cv_auc(tbl, lambda: propensity.gbt_pipeline(Q_PARAMS))).first()
+    base = scratch_dir(spark, f"runs-{sinks.new_run_id()}")
+    return sinks.log_run(spark, base, "propension_compra_visita", Q_PARAMS, cv["auc_mean"], cv["auc_std"],
+                         f"{base}/models/propension")
+
+
+@query("trial_log")
+def _trial_log(spark, sf_dir):
+    base = scratch_dir(spark, f"trials-{sinks.new_run_id()}")
+    return sinks.log_trials(spark, base, sinks.new_run_id(), _hpo(spark, sf_dir))
+
+
+@query("run_summary")
+def _run_summary(spark, sf_dir):
+    cfg = training.FlowConfig(n_trials=Q_TRIALS, n_init=1, search_space=Q_SEARCH_SPACE, parallelism=2)
+    base = scratch_dir(spark, f"flow-{sinks.new_run_id()}")
+    return training.training_flow(spark, raw(spark, sf_dir), base, cfg)
