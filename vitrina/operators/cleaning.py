@@ -3,9 +3,9 @@
 Scale notes: the zone median is an *aggregate* (partial per partition, merged
 per zone) joined back, never a window partitioned by zone, which would put a
 whole zone (a third of all customers, say) into one task. The join side has
-one row per zone; Spark broadcasts it only when its estimated size is under
-``autoBroadcastJoinThreshold`` and falls back to a shuffle join otherwise.
-The global median is a one-row scalar, so it is broadcast explicitly.
+one row per zone; it is broadcast after its row count is checked
+(``bounded_broadcast``), else joined normally. The global median is a
+one-row scalar, so it is broadcast explicitly.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import EMAIL_PATTERN, PHONE_PATTERN, regex_flag
+from ..functions.sizing import bounded_broadcast
 
 
 def _median(col: str, exact: bool) -> Column:
@@ -39,7 +40,7 @@ def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
 
 def impute_zone(df: DataFrame, exact: bool = True) -> DataFrame:
     """Fill a missing score with its zone median; rows of null zone keep null."""
-    zm = zone_median(df, exact)
+    zm = bounded_broadcast(zone_median(df, exact))
     return (df.join(zm, "zona_geografica", "left")
               .withColumn("score_credito_interno",
                           F.coalesce("score_credito_interno", "mediana_zona"))

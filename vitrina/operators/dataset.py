@@ -56,8 +56,11 @@ def build_visit_dataset(visits: DataFrame, c360: DataFrame,
     ``extra_cols`` keeps more visit columns (e.g. ``fecha_visita`` to order
     the drift split) next to the key.
     """
+    # the joined visits feed both the dictionary fit and the coding: written
+    # once to the checkpoint folder instead of computing the join twice
     joined = date_parts(visit_join(visits, c360))
     if dictionary is None:
+        joined = joined.checkpoint()
         dictionary = fit_dictionary(joined, CAT_COLS)
     coded = apply_dictionary(joined, dictionary, CAT_COLS)
     table = coded.select(KEY, *extra_cols, *FEATURE_COLS, TARGET).fillna(0, subset=FEATURE_COLS)

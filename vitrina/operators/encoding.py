@@ -5,9 +5,9 @@ step is an aggregate (partial per partition), so only distinct values are
 shuffled; the ranking window runs per column over those distinct values.
 Apply: one left join per column against its dictionary; a null value gets 0
 (the reference's NaN code turned into 0 by ``fillna``) and an unseen value -1.
-The dictionaries are small but data-dependent, so their join strategy is left
-to Spark's size-checked broadcast threshold (AQE switches to broadcast at
-runtime when they are small, as they are for zones, reasons and stores).
+The dictionary is small but data-dependent, so it is broadcast only after its
+row count has been checked (``bounded_broadcast``); the visit side then keeps
+its partitioning instead of being shuffled once per coded column.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sizing import bounded_broadcast
+
 CAT_COLS = ["zona_geografica", "motivo_visita", "id_tienda"]
 UNSEEN_CODE = -1
 NULL_CODE = 0
@@ -37,6 +39,7 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame,
     ``null_code`` is 0 when building the training table and -1 at serving
     time (a missing value there is just another unseen value).
     """
+    dictionary = bounded_broadcast(dictionary)
     out = df
     for c in columns:
         d = (dictionary.where(F.col("columna") == c)

@@ -4,9 +4,9 @@ Each feature set is ONE ``groupBy('id_cliente').agg(...)``: every aggregate
 here (count, sum, max, mode, collect_set of a bounded category domain) has a
 partial form, so each map task ships at most one row per customer per
 partition and a customer holding a third of all rows costs no more shuffle
-than any other. The reference date (max over the whole table) is taken from
-the aggregated rows, so the table is scanned once; the exchange below it is
-reused by both branches.
+than any other. The reference date (max over the whole table) is a scalar
+aggregate without any shuffle (partial max per task, one final row), joined
+to the feature rows as a broadcast one-row table.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ def mode_lowest(col: str) -> Column:
     return F.mode(col, deterministic=True)
 
 
-def _with_reference(agg: DataFrame, last_col: str, ref_col: str) -> DataFrame:
-    ref = agg.agg(F.max(last_col).alias(ref_col))
+def _with_reference(agg: DataFrame, source: DataFrame, date_col: str, ref_col: str) -> DataFrame:
+    ref = source.agg(F.max(date_col).alias(ref_col))
     return agg.crossJoin(F.broadcast(ref))
 
 
@@ -64,7 +64,7 @@ def tx_aggregates(tx: DataFrame) -> DataFrame:
 
 
 def build_tx_features(tx: DataFrame) -> DataFrame:
-    agg = _with_reference(tx_aggregates(tx), "_ultima_compra", "_fecha_ref")
+    agg = _with_reference(tx_aggregates(tx), tx, "fecha_compra", "_fecha_ref")
     return (agg.where(F.col("id_cliente").isNotNull())
                .select(
                    "id_cliente",
@@ -88,7 +88,7 @@ def visit_aggregates(visits: DataFrame) -> DataFrame:
 
 
 def build_visit_features(visits: DataFrame) -> DataFrame:
-    agg = _with_reference(visit_aggregates(visits), "_ultima_visita", "_fecha_ref")
+    agg = _with_reference(visit_aggregates(visits), visits, "fecha_visita", "_fecha_ref")
     return (agg.where(F.col("id_cliente").isNotNull())
                .select("id_cliente", "total_visitas", "tasa_conversion_hist",
                        *[name for name, _ in VISIT_REASON_COUNTS],

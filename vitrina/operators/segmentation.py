@@ -11,6 +11,7 @@ Euclidean), never all pairs of rows.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -85,18 +86,31 @@ class KMeansFit:
     seed: int
 
 
+def _fit_one(scaled: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> KMeansFit:
+    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
+    model = km.fit(scaled)
+    return KMeansFit(k, model, float(model.summary.trainingCost), seed)
+
+
+def _run_parallel(jobs, parallelism: int):
+    """Run independent Spark ML fits from driver threads (Spark schedules the
+    concurrent jobs; results keep the submission order)."""
+    if parallelism <= 1:
+        return [j() for j in jobs]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda j: j(), jobs))
+
+
+def _best(fits: list[KMeansFit]) -> KMeansFit:
+    """Lowest within-cluster SS; the earliest seed on ties."""
+    return min(fits, key=lambda f: (f.inertia, f.seed))
+
+
 def fit_kmeans(scaled: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-               max_iter: int = MAX_ITER, tol: float = TOL) -> KMeansFit:
+               max_iter: int = MAX_ITER, tol: float = TOL, parallelism: int = 1) -> KMeansFit:
     """Best of ``n_init`` seeded K-Means runs (lowest within-cluster SS)."""
-    best = None
-    for i in range(n_init):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features",
-                    predictionCol="cluster")
-        model = km.fit(scaled)
-        cost = model.summary.trainingCost
-        if best is None or cost < best.inertia:
-            best = KMeansFit(k, model, cost, seed + i)
-    return best
+    jobs = [lambda s=seed + i: _fit_one(scaled, k, s, max_iter, tol) for i in range(n_init)]
+    return _best(_run_parallel(jobs, parallelism))
 
 
 def silhouette(model: KMeansModel, scaled: DataFrame) -> float:
@@ -106,12 +120,18 @@ def silhouette(model: KMeansModel, scaled: DataFrame) -> float:
 
 
 def k_sweep(scaled: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int = SEED,
-            max_iter: int = MAX_ITER) -> DataFrame:
-    """(k, inertia, silhouette) for every k: one small row per k."""
-    rows = []
-    for k in k_range:
-        f = fit_kmeans(scaled, k, n_init, seed, max_iter)
-        rows.append((int(k), float(f.inertia), float(silhouette(f.model, scaled))))
+            max_iter: int = MAX_ITER, parallelism: int = 4) -> DataFrame:
+    """(k, inertia, silhouette) for every k: one small row per k.
+
+    The len(k_range) x n_init fits are independent jobs on the persisted
+    scaled frame, submitted ``parallelism`` at a time.
+    """
+    ks = list(k_range)
+    jobs = [lambda k=k, s=seed + i: _fit_one(scaled, k, s, max_iter, TOL) for k in ks for i in range(n_init)]
+    fits = _run_parallel(jobs, parallelism)
+    best = [_best([f for f in fits if f.k == k]) for k in ks]
+    sils = _run_parallel([lambda f=f: silhouette(f.model, scaled) for f in best], parallelism)
+    rows = [(int(f.k), float(f.inertia), float(s)) for f, s in zip(best, sils)]
     return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -133,10 +153,10 @@ def stable_order(model: KMeansModel, columns: list[str] = SEGMENT_FEATURES,
 
 
 def segment_model(c360: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-                  max_iter: int = MAX_ITER) -> PipelineModel:
+                  max_iter: int = MAX_ITER, parallelism: int = 4) -> PipelineModel:
     """Assembler + scaler + K-Means as one persistable PipelineModel."""
     scaler_model, scaled = prepare(c360)
-    fit = fit_kmeans(scaled, k, n_init, seed, max_iter)
+    fit = fit_kmeans(scaled, k, n_init, seed, max_iter, parallelism=parallelism)
     scaled.unpersist()
     return PipelineModel(stages=list(scaler_model.stages) + [fit.model])
 

@@ -343,7 +343,7 @@ query("best_k")(lambda s, d: segmentation.best_k(_sweep(s, d)))
 
 
 def segmented(spark, sf_dir, k=Q_K):
-    c = c360(spark, sf_dir)
+    c = c360(spark, sf_dir).checkpoint()
     model = segmentation.segment_model(c, k, n_init=Q_N_INIT)
     return segmentation.assign_segments(c, model), model
 
@@ -387,8 +387,9 @@ Q_SHAP_SAMPLES = 2
 
 
 def model_table(spark, sf_dir):
+    """Training table with folds, checkpointed: every fit and fold reads it."""
     vd, _ = visit_table(spark, sf_dir)
-    return propensity.add_folds(vd)
+    return propensity.add_folds(vd).checkpoint()
 
 
 def fitted(spark, sf_dir):
@@ -513,9 +514,13 @@ def _advisor_card(spark, sf_dir):
 
 
 def serving_artifacts(spark, sf_dir):
-    """Customer 360, segmentation model, propensity model, encoder dictionary."""
+    """Customer 360, segmentation model, propensity model, encoder dictionary.
+
+    Customer 360 feeds several jobs (scaler, K-Means, training table, lookup),
+    so it is checkpointed once to the shared checkpoint folder.
+    """
     r = raw(spark, sf_dir)
-    c = c360(spark, sf_dir)
+    c = c360(spark, sf_dir).checkpoint()
     seg_model = segmentation.segment_model(c, Q_K, n_init=Q_N_INIT)
     vd, dictionary = dataset.build_visit_dataset(r.interacciones, c)
     prop_model = propensity.gbt_pipeline(Q_PARAMS).fit(vd)
