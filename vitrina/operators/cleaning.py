@@ -1,26 +1,42 @@
 """Customer cleaning: contact validity flags and credit-score imputation.
 
-Scale notes: the zone median is an *aggregate* (partial per partition, merged
-per zone) joined back, never a window partitioned by zone, which would put a
-whole zone (a third of all customers, say) into one task. The join side has
-one row per zone; it is broadcast after its row count is checked
-(``bounded_broadcast``), else joined normally. The global median is a
-one-row scalar, so it is broadcast explicitly.
+Scale notes: medians are exact but never gathered per group. A window
+partitioned by zone, or the ``median`` aggregate (a value -> count map per
+zone, merged in one task), would put a whole zone (a third of all customers,
+say) into one task. Instead ``ranking.exact_quantiles`` counts rows per
+(zone, score), takes range-partitioned running totals and picks the middle
+ranks with a join. The per-zone result has one row per zone; it is broadcast
+after its row count is checked (``bounded_broadcast``), else joined
+normally. The global median is a one-row scalar, so it is broadcast
+explicitly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import EMAIL_PATTERN, PHONE_PATTERN, regex_flag
 from ..functions.sizing import bounded_broadcast
+from .ranking import exact_quantiles
 
+SCORE = "score_credito_interno"
 
-def _median(col: str, exact: bool) -> Column:
-    # ``median`` interpolates like pandas; its state is a value -> count map,
-    # bounded by the distinct scores. ``exact=False`` switches to a sketch.
-    return F.median(col) if exact else F.percentile_approx(col, 0.5, 100000)
+
+def _median(df: DataFrame, col: str, group_cols: list[str], alias: str, exact: bool) -> DataFrame:
+    """Interpolated median of ``col`` per group (pandas semantics, nulls skipped).
+
+    ``exact=False`` switches to a bounded-memory sketch (``percentile_approx``).
+    """
+    if not exact:
+        agg = F.percentile_approx(col, 0.5, 100000).cast("double").alias(alias)
+        return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
+    q = exact_quantiles(df, col, [0.5], group_cols=group_cols)
+    if not group_cols:
+        return q.agg(F.max("quantile").alias(alias))    # always one row (null if no values)
+    # every group keeps a row, a group without values gets a null median
+    groups = df.select(*group_cols).distinct()
+    return groups.join(q.select(*group_cols, F.col("quantile").alias(alias)), group_cols, "left")
 
 
 def phone_flag(df: DataFrame) -> DataFrame:
@@ -33,9 +49,8 @@ def email_flag(df: DataFrame) -> DataFrame:
 
 def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
     """One row per non-null zone with the median score (null zone has none)."""
-    return (df.where(F.col("zona_geografica").isNotNull())
-              .groupBy("zona_geografica")
-              .agg(_median("score_credito_interno", exact).alias("mediana_zona")))
+    zoned = df.where(F.col("zona_geografica").isNotNull()).select("zona_geografica", SCORE)
+    return _median(zoned, SCORE, ["zona_geografica"], "mediana_zona", exact)
 
 
 def impute_zone(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -49,7 +64,7 @@ def impute_zone(df: DataFrame, exact: bool = True) -> DataFrame:
 
 def impute_global(df: DataFrame, exact: bool = True) -> DataFrame:
     """Fill what is still missing with the median of the (zone-imputed) column."""
-    gm = df.agg(_median("score_credito_interno", exact).alias("mediana_global"))
+    gm = _median(df.select(SCORE), SCORE, [], "mediana_global", exact)
     return (df.crossJoin(F.broadcast(gm))
               .withColumn("score_credito_interno",
                           F.coalesce("score_credito_interno", "mediana_global"))

@@ -83,10 +83,16 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
 
     Work is linear: values are counted per distinct value (per group), the
     counts get running totals, and each requested rank is found by joining
-    the probe table (groups x probs rows, broadcast: only use few groups,
-    e.g. segments) against the value ranges, so the big side never shuffles
-    and a hot group costs nothing extra. Returns rows (*groups, p, quantile).
+    the probe table (groups x probs rows) against the value ranges. Without
+    groups the probe table has ``len(probs)`` rows and is broadcast; with
+    groups its size depends on the data, so it is broadcast only after its
+    row count is checked (``bounded_broadcast``), else equi-joined on the
+    group keys. Either way no group's values are ever gathered in one task:
+    a hot group only adds rows to the range-partitioned running totals.
+    Returns rows (*groups, p, quantile).
     """
+    from ..functions.sizing import bounded_broadcast
+
     spark = df.sparkSession
     g = list(group_cols or [])
     counts = (df.where(F.col(col).isNotNull())
@@ -94,13 +100,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                 .agg(F.count(F.lit(1)).alias("c")))
     cum = prefix_sums(counts, ["v"], ["c"], group_cols=g, num_partitions=num_partitions)
     ranges = cum.select(*g, "v", (F.col("cum_c") - F.col("c")).alias("lo"), F.col("cum_c").alias("hi"))
-    sizes = counts.groupBy(*g).agg(F.sum("c").alias("n")) if g else counts.agg(F.sum("c").alias("n"))
+    # group sizes from the checkpointed running totals (no second scan of df)
+    sizes = cum.groupBy(*g).agg(F.sum("c").alias("n")) if g else cum.agg(F.sum("c").alias("n"))
     probe_p = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    probes = (sizes.crossJoin(F.broadcast(probe_p))
+    probes = (sizes.where(F.col("n") > 0).crossJoin(F.broadcast(probe_p))
                    .select(*g, "p", (F.col("p") * (F.col("n") - 1)).alias("h"))
                    .select(*g, "p", "h", F.floor("h").cast("long").alias("j"))
                    .select(*g, "p", "h", "j", (F.col("j") + 1).alias("j1")))
-    pa = F.broadcast(probes.alias("pa"))
+    pa = (bounded_broadcast(probes) if g else F.broadcast(probes)).alias("pa")
 
     def pick(rank_col: str, value_alias: str) -> DataFrame:
         cond = (F.col(f"pa.{rank_col}") >= F.col("r.lo")) & (F.col(f"pa.{rank_col}") < F.col("r.hi"))
