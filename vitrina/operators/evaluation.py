@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import exact_quantiles, prefix_sums
+from .ranking import exact_quantiles, prefix_sums_with_totals
 
 # Class names of the classification report and the decision
 # threshold of a hard prediction (class 1 when score > 0.5).
@@ -33,12 +33,11 @@ def score_counts(df: DataFrame, score: str = "score", label: str = "y",
                 .groupBy(*g, F.col(score).cast("double").alias("score"))
                 .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                      F.sum((1 - F.col(label)).cast("long")).alias("neg")))
-    cum = prefix_sums(counts, ["score"], ["pos", "neg"], group_cols=g)
-    if g:
-        totals = counts.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        return cum.join(F.broadcast(totals), g)
-    totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.crossJoin(F.broadcast(totals))
+    cum, totals = prefix_sums_with_totals(counts, ["score"], ["pos", "neg"], group_cols=g)
+    # totals: one row per group (e.g. per fold), taken from the helper's
+    # partition totals instead of a second aggregation of ``df``
+    totals = totals.select(*g, F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"))
+    return cum.join(F.broadcast(totals), g) if g else cum.crossJoin(F.broadcast(totals))
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "y",

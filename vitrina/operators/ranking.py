@@ -33,12 +33,14 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
-                group_cols: list[str] | None = None, num_partitions: int | None = None,
-                prefix: str = "cum_") -> DataFrame:
-    """Add ``cum_<c>`` = inclusive running sum of ``c`` in (group, order) order.
-
-    The order keys (with the group keys) must be unique per row.
+def prefix_sums_with_totals(df: DataFrame, order_cols: list[str], sum_cols: list[str],
+                            group_cols: list[str] | None = None, num_partitions: int | None = None,
+                            prefix: str = "cum_") -> tuple[DataFrame, DataFrame]:
+    """Running sums as in ``prefix_sums`` plus the per-group totals.
+
+    The totals (``*group_cols, tot_<c>``) come from the per-partition totals
+    of the checkpointed rows, a table of (partitions x groups) rows, so
+    callers never re-aggregate ``df`` (which would recompute its lineage).
     """
     group_cols = list(group_cols or [])
     keys = group_cols + list(order_cols)
@@ -56,6 +58,8 @@ def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
         before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*tot_keys, *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0))
                                          .alias(f"_o_{c}") for c in sum_cols])
+    tot_aggs = [F.sum(f"_t_{c}").alias(f"tot_{c}") for c in sum_cols]
+    group_totals = totals.groupBy(*group_cols).agg(*tot_aggs) if group_cols else totals.agg(*tot_aggs)
 
     # the local running sum restarts per partition and, with groups, per group
     # (rows of another group earlier in the same partition must not count)
@@ -63,17 +67,38 @@ def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                    .rowsBetween(Window.unboundedPreceding, 0))
     out = ranged.select("*", *[F.sum(c).over(local).alias(f"_l_{c}") for c in sum_cols])
     out = out.join(F.broadcast(offsets), tot_keys)
-    return out.select(*[F.col(c) for c in df.columns],
-                      *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
+    cum = out.select(*[F.col(c) for c in df.columns],
+                     *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
+    return cum, group_totals
+
+
+def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
+                group_cols: list[str] | None = None, num_partitions: int | None = None,
+                prefix: str = "cum_") -> DataFrame:
+    """Add ``cum_<c>`` = inclusive running sum of ``c`` in (group, order) order.
+
+    The order keys (with the group keys) must be unique per row.
+    """
+    return prefix_sums_with_totals(df, order_cols, sum_cols, group_cols, num_partitions, prefix)[0]
 
 
 def global_row_number(df: DataFrame, order_cols: list[str], alias: str = "rn",
                       group_cols: list[str] | None = None,
-                      num_partitions: int | None = None) -> DataFrame:
-    """1-based row number over (group, order); order keys must be unique."""
+                      num_partitions: int | None = None, total_alias: str | None = None) -> DataFrame:
+    """1-based row number over (group, order); order keys must be unique.
+
+    With ``total_alias`` every row also gets its group's row count (taken
+    from the helper's partition totals, not from a second pass over ``df``).
+    """
     ones = df.withColumn("_one", F.lit(1).cast("long"))
-    out = prefix_sums(ones, order_cols, ["_one"], group_cols, num_partitions)
-    return out.withColumnRenamed("cum__one", alias).drop("_one")
+    out, totals = prefix_sums_with_totals(ones, order_cols, ["_one"], group_cols, num_partitions)
+    out = out.withColumnRenamed("cum__one", alias).drop("_one")
+    if total_alias is None:
+        return out
+    totals = totals.withColumnRenamed("tot__one", total_alias)
+    g = list(group_cols or [])
+    # one row per group (few groups by design of the callers)
+    return out.join(F.broadcast(totals), g) if g else out.crossJoin(F.broadcast(totals))
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],
@@ -98,30 +123,29 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     counts = (df.where(F.col(col).isNotNull())
                 .groupBy(*g, F.col(col).cast("double").alias("v"))
                 .agg(F.count(F.lit(1)).alias("c")))
-    cum = prefix_sums(counts, ["v"], ["c"], group_cols=g, num_partitions=num_partitions)
+    cum, totals = prefix_sums_with_totals(counts, ["v"], ["c"], group_cols=g, num_partitions=num_partitions)
     ranges = cum.select(*g, "v", (F.col("cum_c") - F.col("c")).alias("lo"), F.col("cum_c").alias("hi"))
-    # group sizes from the checkpointed running totals (no second scan of df)
-    sizes = cum.groupBy(*g).agg(F.sum("c").alias("n")) if g else cum.agg(F.sum("c").alias("n"))
     probe_p = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    probes = (sizes.where(F.col("n") > 0).crossJoin(F.broadcast(probe_p))
-                   .select(*g, "p", (F.col("p") * (F.col("n") - 1)).alias("h"))
-                   .select(*g, "p", "h", F.floor("h").cast("long").alias("j"))
-                   .select(*g, "p", "h", "j", (F.col("j") + 1).alias("j1")))
+    probes = (totals.where(F.col("tot_c") > 0).crossJoin(F.broadcast(probe_p))
+                    .select(*g, "p", (F.col("p") * (F.col("tot_c") - 1)).alias("h"))
+                    .select(*g, "p", "h", F.floor("h").cast("long").alias("j"))
+                    .select(*g, "p", "h", "j", (F.col("j") + 1).alias("j1")))
     pa = (bounded_broadcast(probes) if g else F.broadcast(probes)).alias("pa")
 
-    def pick(rank_col: str, value_alias: str) -> DataFrame:
-        cond = (F.col(f"pa.{rank_col}") >= F.col("r.lo")) & (F.col(f"pa.{rank_col}") < F.col("r.hi"))
-        for k in g:
-            cond = cond & F.col(f"pa.{k}").eqNullSafe(F.col(f"r.{k}"))
-        return ranges.alias("r").join(pa, cond).select(
-            *[F.col(f"pa.{k}").alias(k) for k in g], F.col("pa.p").alias("p"), F.col("pa.h").alias("h"),
-            F.col("pa.j").alias("j"), F.col("r.v").alias(value_alias))
-
-    a = pick("j", "a")
-    b = pick("j1", "b").select(*[F.col(k).alias(f"_b_{k}") for k in g], F.col("p").alias("_b_p"), "b")
+    # ONE pass over the value ranges: a range holding rank j gives the lower
+    # value a, the one holding rank j + 1 the upper value b (b is missing
+    # when j is the last rank).
+    in_j = (F.col("pa.j") >= F.col("r.lo")) & (F.col("pa.j") < F.col("r.hi"))
+    in_j1 = (F.col("pa.j1") >= F.col("r.lo")) & (F.col("pa.j1") < F.col("r.hi"))
+    cond = in_j | in_j1
+    for k in g:
+        cond = cond & F.col(f"pa.{k}").eqNullSafe(F.col(f"r.{k}"))
+    hits = ranges.alias("r").join(pa, cond).select(
+        *[F.col(f"pa.{k}").alias(k) for k in g], F.col("pa.p").alias("p"), F.col("pa.h").alias("h"),
+        F.col("pa.j").alias("j"), F.when(in_j, F.col("r.v")).alias("_a"), F.when(in_j1, F.col("r.v")).alias("_b"))
+    picked = hits.groupBy(*g, "p").agg(F.max("h").alias("h"), F.max("j").alias("j"),
+                                       F.max("_a").alias("a"), F.max("_b").alias("b"))
     t = F.col("h") - F.col("j")
     diff = F.col("b") - F.col("a")
     lerp = F.when(t >= 0.5, F.col("b") - diff * (F.lit(1.0) - t)).otherwise(F.col("a") + diff * t)
-    cond = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in g + ["p"]]
-    return (a.join(b, cond, "left")
-             .select(*g, "p", F.when(F.col("b").isNull(), F.col("a")).otherwise(lerp).alias("quantile")))
+    return picked.select(*g, "p", F.when(F.col("b").isNull(), F.col("a")).otherwise(lerp).alias("quantile"))

@@ -71,11 +71,19 @@ def feature_stages(columns: list[str] = SEGMENT_FEATURES):
 
 
 def prepare(c360: DataFrame, columns: list[str] = SEGMENT_FEATURES) -> tuple[PipelineModel, DataFrame]:
-    """Fit the scaler; return it and the persisted (id, features) frame."""
+    """Fit the scaler; return it and the persisted (id, features) frame.
+
+    The frame is materialised here, before any fit: the sweep submits
+    several K-Means jobs at once, and a lazily persisted frame would be
+    computed by each of them until the first one had filled the cache.
+    Pass a checkpointed ``c360``, since the scaler fit and the transform
+    both read it.
+    """
     filled = c360.fillna(0, subset=columns)
     model = Pipeline(stages=feature_stages(columns)).fit(filled)
-    scaled = model.transform(filled).select("id_cliente", "features")
-    return model, scaled.persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = model.transform(filled).select("id_cliente", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    scaled.count()
+    return model, scaled
 
 
 @dataclass

@@ -324,7 +324,7 @@ query("seg_scaled")(lambda s, d: segmentation.zscore(c360(s, d), digits=9))
 
 @query("kmeans_fit")
 def _kmeans_fit(spark, sf_dir):
-    c = c360(spark, sf_dir)
+    c = c360(spark, sf_dir).checkpoint()
     _, scaled = segmentation.prepare(c)
     fit = segmentation.fit_kmeans(scaled, Q_K, n_init=Q_N_INIT)
     centres = [(i, float(fit.inertia), [float(v) for v in ctr])
@@ -334,7 +334,7 @@ def _kmeans_fit(spark, sf_dir):
 
 
 def _sweep(spark, sf_dir):
-    _, scaled = segmentation.prepare(c360(spark, sf_dir))
+    _, scaled = segmentation.prepare(c360(spark, sf_dir).checkpoint())
     return segmentation.k_sweep(scaled, n_init=Q_N_INIT)
 
 
