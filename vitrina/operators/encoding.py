@@ -2,7 +2,8 @@
 
 Fit: sorted distinct non-null values per column, 0-based codes. The distinct
 step is an aggregate (partial per partition), so only distinct values are
-shuffled; the ranking window runs per column over those distinct values.
+shuffled; the codes are row numbers per column from the range-partitioned
+helper of ``ranking``, so no column's values meet in one task.
 Apply: one left join per column against its dictionary; a null value gets 0
 (the reference's NaN code turned into 0 by ``fillna``) and an unseen value -1.
 The dictionary is small but data-dependent, so it is broadcast only after its
@@ -12,10 +13,11 @@ its partitioning instead of being shuffled once per coded column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import bounded_broadcast
+from .ranking import global_row_number
 
 CAT_COLS = ["zona_geografica", "motivo_visita", "id_tienda"]
 UNSEEN_CODE = -1
@@ -28,8 +30,10 @@ def fit_dictionary(df: DataFrame, columns: list[str] = CAT_COLS) -> DataFrame:
         F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in columns
     ])).alias("p")).select("p.columna", "p.valor")
     distinct = pairs.where(F.col("valor").isNotNull()).distinct()
-    w = Window.partitionBy("columna").orderBy("valor")
-    return distinct.withColumn("codigo", F.row_number().over(w) - 1)
+    # codes = rank within the column; the range-partitioned helper keeps a
+    # column with very many distinct values out of a single window task
+    ranked = global_row_number(distinct, ["valor"], alias="_rn", group_cols=["columna"])
+    return ranked.select("columna", "valor", (F.col("_rn") - 1).cast("int").alias("codigo"))
 
 
 def apply_dictionary(df: DataFrame, dictionary: DataFrame,
