@@ -11,6 +11,7 @@ Euclidean), never all pairs of rows.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,7 +96,26 @@ class KMeansFit:
     seed: int
 
 
+def mean_variance(scaled: DataFrame) -> float:
+    """Mean population variance of the feature columns (one summary job)."""
+    s = scaled.select(Summarizer.metrics("variance", "count").summary(F.col("features")).alias("s")).first()["s"]
+    n = int(s["count"])
+    return float(s["variance"].toArray().mean() * (n - 1) / n) if n > 1 else 0.0
+
+
+def center_tolerance(k: int, mean_var: float, tol: float = TOL) -> float:
+    """Spark's per-centre tolerance that matches the reference's relative ``tol``.
+
+    The reference stops when the SUM over centres of squared centre shifts is
+    at most ``tol x mean feature variance``; Spark stops when EVERY centre
+    moved by at most its ``tol`` (a distance). A per-centre distance of
+    sqrt(tol x mean_var / k) keeps the sum within the reference's bound.
+    """
+    return math.sqrt(tol * mean_var / k) if mean_var > 0 else tol
+
+
 def _fit_one(scaled: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> KMeansFit:
+    """One seeded K-Means run; ``tol`` is Spark's absolute per-centre distance."""
     km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
     model = km.fit(scaled)
     return KMeansFit(k, model, float(model.summary.trainingCost), seed)
@@ -116,8 +137,12 @@ def _best(fits: list[KMeansFit]) -> KMeansFit:
 
 def fit_kmeans(scaled: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
                max_iter: int = MAX_ITER, tol: float = TOL, parallelism: int = 1) -> KMeansFit:
-    """Best of ``n_init`` seeded K-Means runs (lowest within-cluster SS)."""
-    jobs = [lambda s=seed + i: _fit_one(scaled, k, s, max_iter, tol) for i in range(n_init)]
+    """Best of ``n_init`` seeded K-Means runs (lowest within-cluster SS).
+
+    ``tol`` is relative, as in the reference (see ``center_tolerance``).
+    """
+    eps = center_tolerance(k, mean_variance(scaled), tol)
+    jobs = [lambda s=seed + i: _fit_one(scaled, k, s, max_iter, eps) for i in range(n_init)]
     return _best(_run_parallel(jobs, parallelism))
 
 
@@ -135,7 +160,9 @@ def k_sweep(scaled: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int
     scaled frame, submitted ``parallelism`` at a time.
     """
     ks = list(k_range)
-    jobs = [lambda k=k, s=seed + i: _fit_one(scaled, k, s, max_iter, TOL) for k in ks for i in range(n_init)]
+    mv = mean_variance(scaled)
+    jobs = [lambda k=k, s=seed + i: _fit_one(scaled, k, s, max_iter, center_tolerance(k, mv))
+            for k in ks for i in range(n_init)]
     fits = _run_parallel(jobs, parallelism)
     best = [_best([f for f in fits if f.k == k]) for k in ks]
     sils = _run_parallel([lambda f=f: silhouette(f.model, scaled) for f in best], parallelism)
