@@ -139,3 +139,14 @@ def test_stream_equals_batch_and_drops_repeats(spark, trained):
     a = sorted(tuple(r) for r in streamed.select(*cols).collect())
     b = sorted(tuple(r) for r in batch.select(*cols).collect())
     assert a == b
+
+
+def test_replayed_stream_batch_is_written_once(spark):
+    base = scratch_dir(spark, "test-replay")
+    rows = spark.range(10).withColumnRenamed("id", "x")
+    nba_stream.write_batch(rows, f"{base}/sink", 0)
+    nba_stream.write_batch(rows.where("x < 4"), f"{base}/sink", 1)
+    nba_stream.write_batch(rows, f"{base}/sink", 0)          # batch 0 replayed
+    out = spark.read.parquet(f"{base}/sink")
+    assert out.where("batch_id = 0").count() == 10
+    assert out.where("batch_id = 1").count() == 4

@@ -5,7 +5,8 @@ to ``timestamp`` (the watermark needs it), drops repeated request ids within
 the watermark (``dropDuplicatesWithinWatermark``; state is bounded by the
 watermark, not by the stream's length), and each micro-batch is scored by the
 same batch code as ``scoring.recommend`` (stream-static join with Customer
-360) and appended to a parquet sink. Progress lives in the checkpoint folder,
+360) and written to its own ``batch_id`` partition of a parquet sink, so a
+micro-batch replayed after a failure overwrites itself (exactly-once output). Progress lives in the checkpoint folder,
 so a restarted query resumes where it stopped; ``availableNow`` processes
 what is there and stops.
 """
@@ -34,6 +35,17 @@ def visit_stream(spark: SparkSession, source_dir: str, watermark: str = WATERMAR
              .dropDuplicatesWithinWatermark(["id_interaccion"]))
 
 
+def write_batch(rows: DataFrame, sink_dir: str, batch_id: int) -> None:
+    """Write one micro-batch into its own ``batch_id`` partition.
+
+    Idempotent: a batch replayed after a failure replaces its partition
+    instead of appending its rows a second time.
+    """
+    (rows.withColumn("batch_id", F.lit(batch_id)).write
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(sink_dir))
+
+
 def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                        c360: DataFrame, seg_model: PipelineModel, prop_model: PipelineModel,
                        dictionary: DataFrame, watermark: str = WATERMARK,
@@ -44,7 +56,7 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, chec
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         visits = batch.withColumn("fecha_visita", F.col("fecha_visita").cast("timestamp_ntz"))
         rec = scoring.recommend(visits, c360, seg_model, prop_model, dictionary)
-        rec.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+        write_batch(rec, sink_dir, batch_id)
 
     q = (stream.writeStream.foreachBatch(score_batch)
                .option("checkpointLocation", checkpoint_dir)
