@@ -24,6 +24,35 @@ def test_global_row_number(spark):
     assert rn.where(F.col("rn") != F.col("k") + 1).count() == 0
 
 
+def test_grouped_row_number_with_null_group_and_totals(spark):
+    # a hot group (a third of the rows), a null group and more partitions than groups
+    df = spark.range(0, 6000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+               .when(F.col("id") % 11 == 0, F.lit(None))
+               .otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        ((F.col("id") * 7919) % 6000).alias("k"))
+    got = ranking.global_row_number(df, ["k"], alias="rn", group_cols=["g"], num_partitions=9,
+                                    total_alias="n")
+    w = Window.partitionBy("g").orderBy("k")
+    ref = (df.withColumn("rn_ref", F.row_number().over(w))
+             .withColumn("n_ref", F.count(F.lit(1)).over(Window.partitionBy("g"))))
+    assert got.count() == 6000
+    bad = got.join(ref, "id").where((F.col("rn") != F.col("rn_ref")) | (F.col("n") != F.col("n_ref")))
+    assert bad.count() == 0
+
+
+def test_exact_quantiles_by_group_match_numpy(spark):
+    rows = [("a", float(v)) for v in [1, 2, 4, 10]] + [("b", 5.0)] + [(None, float(v)) for v in [3, 9]] \
+        + [("c", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r["g"], r["p"]): r["quantile"]
+           for r in ranking.exact_quantiles(df, "x", [0.25, 0.5], group_cols=["g"]).collect()}
+    for g, vals in [("a", [1, 2, 4, 10]), ("b", [5]), (None, [3, 9])]:
+        for p in (0.25, 0.5):
+            assert got[(g, p)] == np.quantile(np.array(vals, dtype=float), p)
+    assert ("c", 0.5) not in got            # a group without values has no quantile
+
+
 def test_exact_quantiles_match_numpy(spark):
     vals = [1.0, 1.0, 1.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 7.5, 10.0, 10.0]
     df = spark.createDataFrame([(v,) for v in vals], "x double")

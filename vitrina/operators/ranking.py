@@ -11,8 +11,10 @@ helpers here instead:
    re-sample different boundaries and disagree with already computed offsets,
 3. total each partition (one row per partition), turn the totals into
    exclusive offsets with a window over that tiny table, and
-4. run the running-sum window *within* each range partition and add the
-   broadcast offset of its partition.
+4. add the broadcast offset of its partition to each row's position inside
+   its partition. Row numbers read that position from the sorted stage
+   itself (no further shuffle); general running sums use a window within
+   each range partition.
 
 With ``group_cols`` the totals restart per group (e.g. per column in the KS
 test): the global order is (group, keys) and each group's own offset is
@@ -33,6 +35,17 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _join_small(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``big`` joined with a small broadcast table on ``keys``, null-safe
+    (a null group is a group like any other), keys kept once."""
+    if not keys:
+        return big.crossJoin(F.broadcast(small))
+    renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                           *[c for c in small.columns if c not in keys])
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return big.join(F.broadcast(renamed), cond).drop(*[f"_k_{k}" for k in keys])
+
+
 def prefix_sums_with_totals(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                             group_cols: list[str] | None = None, num_partitions: int | None = None,
                             prefix: str = "cum_") -> tuple[DataFrame, DataFrame]:
@@ -66,7 +79,7 @@ def prefix_sums_with_totals(df: DataFrame, order_cols: list[str], sum_cols: list
     local = (Window.partitionBy("_pid", *group_cols).orderBy(*keys)
                    .rowsBetween(Window.unboundedPreceding, 0))
     out = ranged.select("*", *[F.sum(c).over(local).alias(f"_l_{c}") for c in sum_cols])
-    out = out.join(F.broadcast(offsets), tot_keys)
+    out = _join_small(out, offsets, tot_keys)
     cum = out.select(*[F.col(c) for c in df.columns],
                      *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
     return cum, group_totals
@@ -82,23 +95,45 @@ def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
     return prefix_sums_with_totals(df, order_cols, sum_cols, group_cols, num_partitions, prefix)[0]
 
 
+# low 33 bits of monotonically_increasing_id(): the row's index in its partition
+_LOCAL_INDEX_MASK = (1 << 33) - 1
+
+
 def global_row_number(df: DataFrame, order_cols: list[str], alias: str = "rn",
                       group_cols: list[str] | None = None,
                       num_partitions: int | None = None, total_alias: str | None = None) -> DataFrame:
     """1-based row number over (group, order); order keys must be unique.
 
-    With ``total_alias`` every row also gets its group's row count (taken
-    from the helper's partition totals, not from a second pass over ``df``).
+    Rows are range-partitioned and sorted on (group, order) once; in that
+    sorted stage ``monotonically_increasing_id`` numbers the rows of each
+    partition 0, 1, 2, ... in order, so no window (and no second shuffle)
+    is needed: row number = local index - local index of the group's first
+    row in the partition + rows of the group in earlier partitions + 1. The
+    numbered rows are checkpointed, so a retried task reads the same numbers
+    (the order keys are unique, so a recomputed sort gives them again).
+    With ``total_alias`` every row also gets its group's row count.
     """
-    ones = df.withColumn("_one", F.lit(1).cast("long"))
-    out, totals = prefix_sums_with_totals(ones, order_cols, ["_one"], group_cols, num_partitions)
-    out = out.withColumnRenamed("cum__one", alias).drop("_one")
+    g = list(group_cols or [])
+    keys = g + list(order_cols)
+    n = _num_partitions(df, num_partitions)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_li", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_INDEX_MASK))))
+    ranged = ranged.checkpoint(eager=True)
+
+    # per (partition, group): row count and first local index (tiny table)
+    stats = ranged.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_li").alias("_first"))
+    before = (Window.partitionBy(*g) if g else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select("_pid", *g, "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    rn = (F.col("_li") - F.col("_first") + F.col("_off") + 1).alias(alias)
+    out = _join_small(ranged, offsets, ["_pid", *g]).select(*[F.col(c) for c in df.columns], rn)
     if total_alias is None:
         return out
-    totals = totals.withColumnRenamed("tot__one", total_alias)
-    g = list(group_cols or [])
+    tot = F.sum("_cnt").alias(total_alias)
+    totals = stats.groupBy(*g).agg(tot) if g else stats.agg(tot)
     # one row per group (few groups by design of the callers)
-    return out.join(F.broadcast(totals), g) if g else out.crossJoin(F.broadcast(totals))
+    return _join_small(out, totals, g)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],
