@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sizing import bounded_broadcast
 from ..session import ensure_checkpoint_dir
 
 
@@ -35,15 +36,22 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _join_small(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """``big`` joined with a small broadcast table on ``keys``, null-safe
-    (a null group is a group like any other), keys kept once."""
+def _join_small(big: DataFrame, small: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
+    """``big`` joined with a per-partition / per-group table on ``keys``,
+    null-safe (a null group is a group like any other), keys kept once.
+
+    Without groups the small table has one row per partition and is
+    broadcast. With groups it has at most (groups + partitions) rows, since
+    each group covers a contiguous run of range partitions; it is broadcast
+    after its size is measured (``bounded_broadcast``), else shuffle-joined.
+    """
     if not keys:
         return big.crossJoin(F.broadcast(small))
     renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
+    renamed = bounded_broadcast(renamed) if grouped else F.broadcast(renamed)
     cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return big.join(F.broadcast(renamed), cond).drop(*[f"_k_{k}" for k in keys])
+    return big.join(renamed, cond).drop(*[f"_k_{k}" for k in keys])
 
 
 def prefix_sums_with_totals(df: DataFrame, order_cols: list[str], sum_cols: list[str],
@@ -79,7 +87,7 @@ def prefix_sums_with_totals(df: DataFrame, order_cols: list[str], sum_cols: list
     local = (Window.partitionBy("_pid", *group_cols).orderBy(*keys)
                    .rowsBetween(Window.unboundedPreceding, 0))
     out = ranged.select("*", *[F.sum(c).over(local).alias(f"_l_{c}") for c in sum_cols])
-    out = _join_small(out, offsets, tot_keys)
+    out = _join_small(out, offsets, tot_keys, bool(group_cols))
     cum = out.select(*[F.col(c) for c in df.columns],
                      *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
     return cum, group_totals
@@ -127,13 +135,13 @@ def global_row_number(df: DataFrame, order_cols: list[str], alias: str = "rn",
     before = (Window.partitionBy(*g) if g else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select("_pid", *g, "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     rn = (F.col("_li") - F.col("_first") + F.col("_off") + 1).alias(alias)
-    out = _join_small(ranged, offsets, ["_pid", *g]).select(*[F.col(c) for c in df.columns], rn)
+    out = _join_small(ranged, offsets, ["_pid", *g], bool(g)).select(*[F.col(c) for c in df.columns], rn)
     if total_alias is None:
         return out
     tot = F.sum("_cnt").alias(total_alias)
     totals = stats.groupBy(*g).agg(tot) if g else stats.agg(tot)
     # one row per group (few groups by design of the callers)
-    return _join_small(out, totals, g)
+    return _join_small(out, totals, g, bool(g))
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],
@@ -151,8 +159,6 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     a hot group only adds rows to the range-partitioned running totals.
     Returns rows (*groups, p, quantile).
     """
-    from ..functions.sizing import bounded_broadcast
-
     spark = df.sparkSession
     g = list(group_cols or [])
     counts = (df.where(F.col(col).isNotNull())
