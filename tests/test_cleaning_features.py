@@ -49,6 +49,29 @@ def test_zone_then_global_median(spark):
     assert out["h"] == 7.0
 
 
+def test_median_paths_agree(spark, monkeypatch):
+    """The one-pass median and the distributed exact quantiles give the same
+    imputed scores (a hot zone holds most rows; zone N has an even count)."""
+    rows = [(f"h{i}", "HOT", 1, float(i % 37) if i % 9 else None, None, None) for i in range(600)]
+    rows += [("a", "N", 1, 1.0, None, None), ("b", "N", 1, 2.0, None, None),
+             ("c", "N", 1, 4.0, None, None), ("d", "N", 1, 10.0, None, None),
+             ("e", "N", 1, None, None, None), ("f", "S", 1, None, None, None),
+             ("g", None, 1, None, None, None)]
+    df = _clientes(spark, rows)
+
+    def imputed():
+        out = cleaning.clean_clientes(df)
+        return {r["id_cliente"]: r["score_credito_interno"] for r in out.collect()}
+
+    one_pass = imputed()
+    monkeypatch.setattr(cleaning, "MEDIAN_MAP_MAX_DISTINCT", 0)
+    distributed = imputed()
+    assert one_pass == distributed
+    assert one_pass["e"] == 3.0
+    zm = {r["zona_geografica"]: r["mediana_zona"] for r in cleaning.zone_median(df).collect()}
+    assert zm == {"HOT": 18.0, "N": 3.0, "S": None}
+
+
 def _tx(spark, rows):
     return spark.createDataFrame(rows, "id_transaccion string, id_cliente string, fecha_compra timestamp_ntz, "
                                        "categoria_producto string, monto_pago double, medio_pago string")

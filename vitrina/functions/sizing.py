@@ -4,8 +4,9 @@ Catalyst cannot estimate the size of a table derived from big inputs (an
 encoder dictionary, the zone medians), so it plans a shuffle join and moves
 the big side through the network to meet a few rows. Here the small table is
 checkpointed (written once to ``spark.checkpoint.dir``, so the measurement
-and the join read the same rows and an executor loss does not recompute it)
-and measured in one job: its row count and its bytes (fixed-width columns by
+and the join read the same rows and an executor loss does not recompute it;
+skipped for tables already derived from checkpointed rows) and measured in
+one job: its row count and its bytes (fixed-width columns by
 their width, strings and binaries by their actual length). It is broadcast
 only when both are within the bounds; beyond them the join stays a regular
 (shuffle) join.
@@ -84,11 +85,19 @@ def table_size(df: DataFrame) -> tuple[int, int]:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if it is measured within the bounds, else as is."""
+                      max_bytes: int | None = None, checkpoint: bool = True) -> DataFrame:
+    """``df`` marked for broadcast if it is measured within the bounds, else as is.
+
+    ``checkpoint=False`` is for small tables derived from already
+    checkpointed rows by deterministic steps: measuring and joining them
+    recompute the same rows cheaply, so no extra write is needed.
+    """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    fixed = df.checkpoint(eager=True)
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
+        fixed = df.checkpoint(eager=True)
+    else:
+        fixed = df
     rows, size = table_size(fixed)
     limit = broadcast_byte_limit(spark) if max_bytes is None else max_bytes
     return F.broadcast(fixed) if rows <= max_rows and size <= limit else fixed

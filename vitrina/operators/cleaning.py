@@ -1,12 +1,13 @@
 """Customer cleaning: contact validity flags and credit-score imputation.
 
-Scale notes: medians are exact but never gathered per group. A window
-partitioned by zone, or the ``median`` aggregate (a value -> count map per
-zone, merged in one task), would put a whole zone (a third of all customers,
-say) into one task. Instead ``ranking.exact_quantiles`` counts rows per
-(zone, score), takes range-partitioned running totals and picks the middle
-ranks with a join. The per-zone result has one row per zone; it is broadcast
-after its row count is checked (``bounded_broadcast``), else joined
+Scale notes: medians are exact and never hold a group's rows in one task.
+A window partitioned by zone would put a whole zone (a third of all
+customers, say) into one task. The ``median`` aggregate only keeps a
+value -> count map per zone, so it is used when a guard job shows every zone
+has few distinct scores; otherwise ``ranking.exact_quantiles`` counts rows
+per (zone, score), takes range-partitioned running totals and picks the
+middle ranks with a join. The per-zone result has one row per zone; it is
+broadcast after its size is measured (``bounded_broadcast``), else joined
 normally. The global median is a one-row scalar, so it is broadcast
 explicitly.
 """
@@ -21,22 +22,43 @@ from ..functions.sizing import bounded_broadcast
 from .ranking import exact_quantiles
 
 SCORE = "score_credito_interno"
+# Fixed bound on distinct values per group for the one-pass ``median``
+# aggregate. Its state is a value -> count map per group, merged in one task,
+# so its memory is bounded by the group's DISTINCT values, not its rows.
+MEDIAN_MAP_MAX_DISTINCT = 200_000
+# relative error of the distinct-count guard, and the margin kept below the bound
+DISTINCT_RSD = 0.01
+DISTINCT_MARGIN = 1.1
+
+
+def max_distinct_per_group(df: DataFrame, col: str, group_cols: list[str]) -> int:
+    """Largest (approximate) number of distinct ``col`` values in one group."""
+    d = F.approx_count_distinct(col, DISTINCT_RSD).alias("d")
+    per = df.groupBy(*group_cols).agg(d) if group_cols else df.agg(d)
+    return int(per.agg(F.max("d")).first()[0] or 0)
 
 
 def _median(df: DataFrame, col: str, group_cols: list[str], alias: str, exact: bool) -> DataFrame:
     """Interpolated median of ``col`` per group (pandas semantics, nulls skipped).
 
-    ``exact=False`` switches to a bounded-memory sketch (``percentile_approx``).
+    Exact either way: when every group has few enough distinct values (one
+    guard job measures it), the ``median`` aggregate runs in one pass;
+    otherwise ``ranking.exact_quantiles`` counts (group, value) pairs, takes
+    range-partitioned running totals and picks the middle ranks, so no group
+    is gathered in one task. ``exact=False`` switches to a bounded-memory
+    sketch (``percentile_approx``). A group without values gets a null
+    median or no row.
     """
     if not exact:
         agg = F.percentile_approx(col, 0.5, 100000).cast("double").alias(alias)
         return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
+    if max_distinct_per_group(df, col, group_cols) * DISTINCT_MARGIN <= MEDIAN_MAP_MAX_DISTINCT:
+        agg = F.median(col).alias(alias)
+        return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
     q = exact_quantiles(df, col, [0.5], group_cols=group_cols)
     if not group_cols:
         return q.agg(F.max("quantile").alias(alias))    # always one row (null if no values)
-    # every group keeps a row, a group without values gets a null median
-    groups = df.select(*group_cols).distinct()
-    return groups.join(q.select(*group_cols, F.col("quantile").alias(alias)), group_cols, "left")
+    return q.select(*group_cols, F.col("quantile").alias(alias))
 
 
 def phone_flag(df: DataFrame) -> DataFrame:
@@ -47,15 +69,22 @@ def email_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("tiene_email_valido", regex_flag("email_contacto", EMAIL_PATTERN))
 
 
-def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per non-null zone with the median score (null zone has none)."""
+def _zone_medians(df: DataFrame, exact: bool) -> DataFrame:
+    """One row per zone that has a score: (zona_geografica, mediana_zona)."""
     zoned = df.where(F.col("zona_geografica").isNotNull()).select("zona_geografica", SCORE)
     return _median(zoned, SCORE, ["zona_geografica"], "mediana_zona", exact)
 
 
+def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
+    """One row per non-null zone with the median score (null when the zone
+    has no score; the null zone has no row)."""
+    zones = df.where(F.col("zona_geografica").isNotNull()).select("zona_geografica").distinct()
+    return zones.join(_zone_medians(df, exact), "zona_geografica", "left")
+
+
 def impute_zone(df: DataFrame, exact: bool = True) -> DataFrame:
     """Fill a missing score with its zone median; rows of null zone keep null."""
-    zm = bounded_broadcast(zone_median(df, exact))
+    zm = bounded_broadcast(_zone_medians(df, exact))
     return (df.join(zm, "zona_geografica", "left")
               .withColumn("score_credito_interno",
                           F.coalesce("score_credito_interno", "mediana_zona"))

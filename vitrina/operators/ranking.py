@@ -49,7 +49,8 @@ def _join_small(big: DataFrame, small: DataFrame, keys: list[str], grouped: bool
         return big.crossJoin(F.broadcast(small))
     renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
-    renamed = bounded_broadcast(renamed) if grouped else F.broadcast(renamed)
+    # derived from the checkpointed rows: measured without another checkpoint
+    renamed = bounded_broadcast(renamed, checkpoint=False) if grouped else F.broadcast(renamed)
     cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     return big.join(renamed, cond).drop(*[f"_k_{k}" for k in keys])
 
@@ -171,7 +172,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                     .select(*g, "p", (F.col("p") * (F.col("tot_c") - 1)).alias("h"))
                     .select(*g, "p", "h", F.floor("h").cast("long").alias("j"))
                     .select(*g, "p", "h", "j", (F.col("j") + 1).alias("j1")))
-    pa = (bounded_broadcast(probes) if g else F.broadcast(probes)).alias("pa")
+    pa = (bounded_broadcast(probes, checkpoint=False) if g else F.broadcast(probes)).alias("pa")
 
     # ONE pass over the value ranges: a range holding rank j gives the lower
     # value a, the one holding rank j + 1 the upper value b (b is missing
