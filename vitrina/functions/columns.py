@@ -6,7 +6,7 @@ Python UDF is needed anywhere in the row path.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Validity patterns for contact data (Python ``re.match``
@@ -76,3 +76,14 @@ def decimal_sum(col: Column | str) -> Column:
     """Money sum that does not depend on row order: cents as decimal, then double."""
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c.cast("decimal(18,2)")).cast("double")
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach every column of a one-row aggregate to every row of ``df``.
+
+    The aggregate becomes ONE scalar subquery (``DataFrame.scalar``): Spark
+    runs it once and inlines the value, so there is no join at all. An empty
+    input gives nulls (an aggregate without grouping always has one row).
+    """
+    s = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
+    return df.withColumns({c: s[c] for c in one_row.columns})

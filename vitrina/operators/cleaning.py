@@ -8,8 +8,7 @@ has few distinct scores; otherwise ``ranking.exact_quantiles`` counts rows
 per (zone, score), takes range-partitioned running totals and picks the
 middle ranks with a join. The per-zone result has one row per zone; it is
 broadcast after its size is measured (``bounded_broadcast``), else joined
-normally. The global median is a one-row scalar, so it is broadcast
-explicitly.
+normally. The global median is one value, used as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -94,10 +93,8 @@ def impute_zone(df: DataFrame, exact: bool = True) -> DataFrame:
 def impute_global(df: DataFrame, exact: bool = True) -> DataFrame:
     """Fill what is still missing with the median of the (zone-imputed) column."""
     gm = _median(df.select(SCORE), SCORE, [], "mediana_global", exact)
-    return (df.crossJoin(F.broadcast(gm))
-              .withColumn("score_credito_interno",
-                          F.coalesce("score_credito_interno", "mediana_global"))
-              .drop("mediana_global"))
+    # one value: a scalar subquery, run once and inlined
+    return df.withColumn(SCORE, F.coalesce(F.col(SCORE), gm.scalar()))
 
 
 CLEAN_COLUMNS = ["id_cliente", "zona_geografica", "antiguedad_meses", "score_credito_interno",

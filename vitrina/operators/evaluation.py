@@ -4,8 +4,8 @@ Curves and AUC are computed from counts per DISTINCT score: one aggregate
 (partial per partition), then running totals over the score order with the
 range-partitioned helper of ``ranking`` (no single-task window), so the cost
 is linear in the rows and the state is bounded by the distinct scores.
-Quantile bins use exact, distributed quantiles and a broadcast edge array of
-at most 11 values.
+Quantile bins use exact, distributed quantiles and an edge array of at most
+11 values inlined as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import with_scalars
 from .ranking import exact_quantiles, prefix_sums_with_totals
 
 # Class names of the classification report and the decision
@@ -37,7 +38,7 @@ def score_counts(df: DataFrame, score: str = "score", label: str = "y",
     # totals: one row per group (e.g. per fold), taken from the helper's
     # partition totals instead of a second aggregation of ``df``
     totals = totals.select(*g, F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"))
-    return cum.join(F.broadcast(totals), g) if g else cum.crossJoin(F.broadcast(totals))
+    return cum.join(F.broadcast(totals), g) if g else with_scalars(cum, totals)
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "y",
@@ -150,11 +151,14 @@ def decile_edges(df: DataFrame, score: str = "score") -> DataFrame:
 
 def deciles(df: DataFrame, score: str = "score") -> DataFrame:
     """Right-closed quantile bins like ``qcut(10, duplicates='drop')``."""
-    edges = decile_edges(df, score)
+    edges = decile_edges(df, score).scalar()        # one array of <= 11 values, inlined
     s = F.col(score)
-    return (df.crossJoin(F.broadcast(edges))
-              .withColumn("decil", F.greatest(F.size(F.filter("edges", lambda e: e < s)) - 1, F.lit(0)))
-              .drop("edges"))
+    # number of edges below the score (the array has at most len(DECILE_PROBS)
+    # entries; a subquery cannot sit inside a lambda, so the count is unrolled)
+    below = F.lit(0)
+    for i in range(len(DECILE_PROBS)):
+        below = below + F.when(F.try_element_at(edges, F.lit(i + 1)) < s, 1).otherwise(0)
+    return df.withColumn("decil", F.greatest(below - 1, F.lit(0)))
 
 
 def lift_by_decile(df: DataFrame, label: str = "y") -> DataFrame:
@@ -166,7 +170,7 @@ def top_lift(df: DataFrame, label: str = "y") -> DataFrame:
     by = lift_by_decile(df, label)
     base = df.agg(F.avg(label).alias("baseline"))
     top = by.agg(F.max_by("tasa_compra", "decil").alias("tasa_top"))
-    return top.crossJoin(base).select("baseline", "tasa_top",
+    return with_scalars(top, base).select("baseline", "tasa_top",
                                       F.try_divide("tasa_top", "baseline").alias("lift_top"))
 
 

@@ -5,8 +5,8 @@ here (count, sum, max, mode, collect_set of a bounded category domain) has a
 partial form, so each map task ships at most one row per customer per
 partition and a customer holding a third of all rows costs no more shuffle
 than any other. The reference date (max over the whole table) is a scalar
-aggregate without any shuffle (partial max per task, one final row), joined
-to the feature rows as a broadcast one-row table.
+aggregate without any shuffle (partial max per task, one final row), used
+as a scalar subquery: Spark runs it once and inlines the value.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ def mode_lowest(col: str) -> Column:
 
 
 def _with_reference(agg: DataFrame, source: DataFrame, date_col: str, ref_col: str) -> DataFrame:
-    ref = source.agg(F.max(date_col).alias(ref_col))
-    return agg.crossJoin(F.broadcast(ref))
+    # the table's max date as a scalar subquery (run once, inlined; no join)
+    return agg.withColumn(ref_col, source.agg(F.max(date_col)).scalar())
 
 
 def reference_date(df: DataFrame, date_col: str, alias: str = "fecha_ref") -> DataFrame:

@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import regex_flag
+from ..functions.columns import regex_flag, with_scalars
 
 BLANK_PATTERN = r"(?U)^\s*$"
 
@@ -94,7 +94,7 @@ def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
     vals = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
     stats = vals.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    binned = vals.crossJoin(F.broadcast(stats)).select(
+    binned = with_scalars(vals, stats).select(
         F.when(F.col("_hi") == F.col("_lo"), F.lit(0))
          .otherwise(F.least(F.floor((F.col("_x") - F.col("_lo")) / width).cast("int"), F.lit(bins - 1)))
          .alias("bin"))

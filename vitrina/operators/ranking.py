@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import with_scalars
 from ..functions.sizing import bounded_broadcast
 from ..session import ensure_checkpoint_dir
 
@@ -46,7 +47,7 @@ def _join_small(big: DataFrame, small: DataFrame, keys: list[str], grouped: bool
     after its size is measured (``bounded_broadcast``), else shuffle-joined.
     """
     if not keys:
-        return big.crossJoin(F.broadcast(small))
+        return with_scalars(big, small)        # one row: a scalar subquery
     renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
     # derived from the checkpointed rows: measured without another checkpoint
@@ -160,15 +161,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     a hot group only adds rows to the range-partitioned running totals.
     Returns rows (*groups, p, quantile).
     """
-    spark = df.sparkSession
     g = list(group_cols or [])
     counts = (df.where(F.col(col).isNotNull())
                 .groupBy(*g, F.col(col).cast("double").alias("v"))
                 .agg(F.count(F.lit(1)).alias("c")))
     cum, totals = prefix_sums_with_totals(counts, ["v"], ["c"], group_cols=g, num_partitions=num_partitions)
     ranges = cum.select(*g, "v", (F.col("cum_c") - F.col("c")).alias("lo"), F.col("cum_c").alias("hi"))
-    probe_p = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    probes = (totals.where(F.col("tot_c") > 0).crossJoin(F.broadcast(probe_p))
+    probe_p = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
+    probes = (totals.where(F.col("tot_c") > 0).select(*g, "tot_c", probe_p)
                     .select(*g, "p", (F.col("p") * (F.col("tot_c") - 1)).alias("h"))
                     .select(*g, "p", "h", F.floor("h").cast("long").alias("j"))
                     .select(*g, "p", "h", "j", (F.col("j") + 1).alias("j1")))

@@ -25,6 +25,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import with_scalars
 from . import lookups
 from .ranking import exact_quantiles
 
@@ -55,7 +56,7 @@ def zscore(df: DataFrame, columns: list[str] = SEGMENT_FEATURES, keep: list[str]
     filled = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
     stats = filled.agg(*[F.avg(c).alias(f"_m_{c}") for c in columns],
                        *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns])
-    out = filled.crossJoin(F.broadcast(stats))
+    out = with_scalars(filled, stats)
     z = {c: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
          for c in columns}
     if digits is not None:
