@@ -37,21 +37,45 @@ def max_distinct_per_group(df: DataFrame, col: str, group_cols: list[str]) -> in
     return int(per.agg(F.max("d")).first()[0] or 0)
 
 
-def _median(df: DataFrame, col: str, group_cols: list[str], alias: str, exact: bool) -> DataFrame:
+def _fits_one_pass(distinct: int) -> bool:
+    return distinct * DISTINCT_MARGIN <= MEDIAN_MAP_MAX_DISTINCT
+
+
+def median_guard(df: DataFrame, zone: str = "zona_geografica", col: str = SCORE) -> tuple[bool, bool]:
+    """(zone medians in one pass?, global median in one pass?) from ONE scan.
+
+    ``rollup`` gives the distinct scores per zone and over the whole table in
+    the same aggregation. Zone imputation adds at most one new distinct value
+    per zone, so the global bound is the overall count plus the zone count.
+    """
+    d = F.approx_count_distinct(col, DISTINCT_RSD)
+    r = (df.rollup(zone).agg(d.alias("d"), F.grouping(zone).alias("g"))
+           .agg(F.max(F.when(F.col("g") == 0, F.col("d"))).alias("per_zone"),
+                F.max(F.when(F.col("g") == 1, F.col("d"))).alias("overall"),
+                F.count_if(F.col("g") == 0).alias("zones"))
+           .first())
+    per_zone, overall, zones = int(r["per_zone"] or 0), int(r["overall"] or 0), int(r["zones"] or 0)
+    return _fits_one_pass(per_zone), _fits_one_pass(overall + zones)
+
+
+def _median(df: DataFrame, col: str, group_cols: list[str], alias: str, exact: bool,
+            one_pass: bool | None = None) -> DataFrame:
     """Interpolated median of ``col`` per group (pandas semantics, nulls skipped).
 
-    Exact either way: when every group has few enough distinct values (one
-    guard job measures it), the ``median`` aggregate runs in one pass;
-    otherwise ``ranking.exact_quantiles`` counts (group, value) pairs, takes
-    range-partitioned running totals and picks the middle ranks, so no group
-    is gathered in one task. ``exact=False`` switches to a bounded-memory
-    sketch (``percentile_approx``). A group without values gets a null
-    median or no row.
+    Exact either way: when every group has few enough distinct values (a
+    guard job measures it, unless ``one_pass`` already says), the ``median``
+    aggregate runs in one pass; otherwise ``ranking.exact_quantiles`` counts
+    (group, value) pairs, takes range-partitioned running totals and picks
+    the middle ranks, so no group is gathered in one task. ``exact=False``
+    switches to a bounded-memory sketch (``percentile_approx``). A group
+    without values gets a null median or no row.
     """
     if not exact:
         agg = F.percentile_approx(col, 0.5, 100000).cast("double").alias(alias)
         return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
-    if max_distinct_per_group(df, col, group_cols) * DISTINCT_MARGIN <= MEDIAN_MAP_MAX_DISTINCT:
+    if one_pass is None:
+        one_pass = _fits_one_pass(max_distinct_per_group(df, col, group_cols))
+    if one_pass:
         agg = F.median(col).alias(alias)
         return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
     q = exact_quantiles(df, col, [0.5], group_cols=group_cols)
@@ -68,10 +92,10 @@ def email_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("tiene_email_valido", regex_flag("email_contacto", EMAIL_PATTERN))
 
 
-def _zone_medians(df: DataFrame, exact: bool) -> DataFrame:
+def _zone_medians(df: DataFrame, exact: bool, one_pass: bool | None = None) -> DataFrame:
     """One row per zone that has a score: (zona_geografica, mediana_zona)."""
     zoned = df.where(F.col("zona_geografica").isNotNull()).select("zona_geografica", SCORE)
-    return _median(zoned, SCORE, ["zona_geografica"], "mediana_zona", exact)
+    return _median(zoned, SCORE, ["zona_geografica"], "mediana_zona", exact, one_pass)
 
 
 def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -81,18 +105,18 @@ def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
     return zones.join(_zone_medians(df, exact), "zona_geografica", "left")
 
 
-def impute_zone(df: DataFrame, exact: bool = True) -> DataFrame:
+def impute_zone(df: DataFrame, exact: bool = True, one_pass: bool | None = None) -> DataFrame:
     """Fill a missing score with its zone median; rows of null zone keep null."""
-    zm = bounded_broadcast(_zone_medians(df, exact))
+    zm = bounded_broadcast(_zone_medians(df, exact, one_pass))
     return (df.join(zm, "zona_geografica", "left")
               .withColumn("score_credito_interno",
                           F.coalesce("score_credito_interno", "mediana_zona"))
               .drop("mediana_zona"))
 
 
-def impute_global(df: DataFrame, exact: bool = True) -> DataFrame:
+def impute_global(df: DataFrame, exact: bool = True, one_pass: bool | None = None) -> DataFrame:
     """Fill what is still missing with the median of the (zone-imputed) column."""
-    gm = _median(df.select(SCORE), SCORE, [], "mediana_global", exact)
+    gm = _median(df.select(SCORE), SCORE, [], "mediana_global", exact, one_pass)
     # one value: a scalar subquery, run once and inlined
     return df.withColumn(SCORE, F.coalesce(F.col(SCORE), gm.scalar()))
 
@@ -103,8 +127,9 @@ CLEAN_COLUMNS = ["id_cliente", "zona_geografica", "antiguedad_meses", "score_cre
 
 def clean_clientes(df: DataFrame, exact: bool = True) -> DataFrame:
     """Flags instead of contacts, zone then global median for the score."""
+    zone_one_pass, global_one_pass = median_guard(df) if exact else (None, None)
     out = (df.transform(phone_flag)
              .transform(email_flag)
-             .transform(lambda d: impute_zone(d, exact))
-             .transform(lambda d: impute_global(d, exact)))
+             .transform(lambda d: impute_zone(d, exact, zone_one_pass))
+             .transform(lambda d: impute_global(d, exact, global_one_pass)))
     return out.select(*CLEAN_COLUMNS)
