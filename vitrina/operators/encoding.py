@@ -37,13 +37,17 @@ def fit_dictionary(df: DataFrame, columns: list[str] = CAT_COLS) -> DataFrame:
 
 
 def apply_dictionary(df: DataFrame, dictionary: DataFrame,
-                     columns: list[str] = CAT_COLS, null_code: int = NULL_CODE) -> DataFrame:
+                     columns: list[str] = CAT_COLS, null_code: int = NULL_CODE,
+                     sized: bool = False) -> DataFrame:
     """Replace each categorical column by its integer code.
 
     ``null_code`` is 0 when building the training table and -1 at serving
-    time (a missing value there is just another unseen value).
+    time (a missing value there is just another unseen value). ``sized``
+    says the dictionary already went through ``bounded_broadcast`` (a stream
+    sizes it once, not once per micro-batch).
     """
-    dictionary = bounded_broadcast(dictionary)
+    if not sized:
+        dictionary = bounded_broadcast(dictionary)
     out = df
     for c in columns:
         d = (dictionary.where(F.col("columna") == c)

@@ -41,12 +41,12 @@ def lookup(visits: DataFrame, c360: DataFrame) -> DataFrame:
                .drop("_found"))
 
 
-def serving_features(looked_up: DataFrame, dictionary: DataFrame) -> DataFrame:
+def serving_features(looked_up: DataFrame, dictionary: DataFrame, sized_dictionary: bool = False) -> DataFrame:
     """The 20 model features of each found request, coded with the saved
     dictionary (unseen or missing value -> -1, as at serving time)."""
     found = looked_up.where(F.col("encontrado") == 1).withColumn("_motivo", F.col("motivo_visita"))
     with_dates = date_parts(found)
-    coded = apply_dictionary(with_dates, dictionary, CAT_COLS, null_code=-1)
+    coded = apply_dictionary(with_dates, dictionary, CAT_COLS, null_code=-1, sized=sized_dictionary)
     return coded.fillna(0, subset=[c for c in FEATURE_COLS if c not in CAT_COLS])
 
 
@@ -75,10 +75,10 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def recommend(visits: DataFrame, c360: DataFrame, seg_model: PipelineModel, prop_model: PipelineModel,
-              dictionary: DataFrame) -> DataFrame:
+              dictionary: DataFrame, sized_dictionary: bool = False) -> DataFrame:
     """The full recommendation row for every request (errors included)."""
     looked = lookup(visits, c360)
-    feats = serving_features(looked, dictionary)
+    feats = serving_features(looked, dictionary, sized_dictionary)
     seg = assign_segments(feats, seg_model).withColumnRenamed("segmento_nombre", "segmento")
     scored = propensity_score(prop_model, seg).drop("motivo_visita").withColumnRenamed("_motivo", "motivo_visita")
     rec = finish(scored).select(*[c for c in RECOMMENDATION_COLS if c != "error"],
@@ -92,6 +92,24 @@ def recommend(visits: DataFrame, c360: DataFrame, seg_model: PipelineModel, prop
     return rec.unionByName(missing)
 
 
+def keyed_profiles(c360: DataFrame, path: str, table: str, buckets: int | None = None) -> DataFrame:
+    """Customer 360, deduplicated, written once as a table bucketed and
+    sorted by ``id_cliente`` (under ``path``, a folder in the shared
+    checkpoint directory), and read back.
+
+    A stream joins many small micro-batches to it. A left join cannot be
+    built on the small (left) side, so against a plain DataFrame every batch
+    would shuffle the whole profile table; the bucketed layout tells Spark
+    the table is already hash-partitioned on the key, so each batch shuffles
+    only its own visits (and the deduplication needs no shuffle either).
+    """
+    spark = c360.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (dedupe_by_key(c360).write.mode("overwrite").bucketBy(n, "id_cliente").sortBy("id_cliente")
+        .option("path", path).saveAsTable(table))
+    return spark.read.table(table)
+
+
 def advisor_card(rec: DataFrame) -> DataFrame:
     """What the advisor sees: playbook, reason label, opportunity text and
     display names of the categories, joined to each recommendation."""

@@ -17,7 +17,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sizing import bounded_broadcast
 from ..operators import scoring
+from ..session import scratch_dir
+from ..sources import sinks
 
 VISIT_STREAM_SCHEMA = ("id_interaccion string, id_cliente string, id_tienda string, "
                        "fecha_visita timestamp_ntz, motivo_visita string, compro_en_visita int")
@@ -50,12 +53,22 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, chec
                        c360: DataFrame, seg_model: PipelineModel, prop_model: PipelineModel,
                        dictionary: DataFrame, watermark: str = WATERMARK,
                        max_files_per_trigger: int | None = None) -> None:
-    """Run until every file present at start is scored (``availableNow``)."""
+    """Run until every file present at start is scored (``availableNow``).
+
+    The static sides are prepared once, before the first batch: Customer 360
+    as a table bucketed on the customer key (so a batch never re-shuffles
+    it) and the encoder dictionary with its broadcast size already checked.
+    """
+    run = sinks.new_run_id()
+    profiles = scoring.keyed_profiles(c360, scratch_dir(spark, f"profiles-{run}"),
+                                      "perfiles_" + run.replace("-", "_"))
+    sized_dictionary = bounded_broadcast(dictionary)
     stream = visit_stream(spark, source_dir, watermark, max_files_per_trigger)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         visits = batch.withColumn("fecha_visita", F.col("fecha_visita").cast("timestamp_ntz"))
-        rec = scoring.recommend(visits, c360, seg_model, prop_model, dictionary)
+        rec = scoring.recommend(visits, profiles, seg_model, prop_model, sized_dictionary,
+                                sized_dictionary=True)
         write_batch(rec, sink_dir, batch_id)
 
     q = (stream.writeStream.foreachBatch(score_batch)
