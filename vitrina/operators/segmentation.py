@@ -122,9 +122,12 @@ def _fit_one(scaled: DataFrame, k: int, seed: int, max_iter: int, tol: float) ->
     return KMeansFit(k, model, float(model.summary.trainingCost), seed)
 
 
-def _run_parallel(jobs, parallelism: int):
+def _run_parallel(spark, jobs, parallelism: int | None):
     """Run independent Spark ML fits from driver threads (Spark schedules the
-    concurrent jobs; results keep the submission order)."""
+    concurrent jobs; results keep the submission order). ``None`` submits as
+    many at once as the cluster has task slots, at most one per job."""
+    if parallelism is None:
+        parallelism = min(len(jobs), spark.sparkContext.defaultParallelism)
     if parallelism <= 1:
         return [j() for j in jobs]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -137,14 +140,14 @@ def _best(fits: list[KMeansFit]) -> KMeansFit:
 
 
 def fit_kmeans(scaled: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-               max_iter: int = MAX_ITER, tol: float = TOL, parallelism: int = 1) -> KMeansFit:
+               max_iter: int = MAX_ITER, tol: float = TOL, parallelism: int | None = None) -> KMeansFit:
     """Best of ``n_init`` seeded K-Means runs (lowest within-cluster SS).
 
     ``tol`` is relative, as in the reference (see ``center_tolerance``).
     """
     eps = center_tolerance(k, mean_variance(scaled), tol)
     jobs = [lambda s=seed + i: _fit_one(scaled, k, s, max_iter, eps) for i in range(n_init)]
-    return _best(_run_parallel(jobs, parallelism))
+    return _best(_run_parallel(scaled.sparkSession, jobs, parallelism))
 
 
 def silhouette(model: KMeansModel, scaled: DataFrame) -> float:
@@ -154,7 +157,7 @@ def silhouette(model: KMeansModel, scaled: DataFrame) -> float:
 
 
 def k_sweep(scaled: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int = SEED,
-            max_iter: int = MAX_ITER, parallelism: int = 4) -> DataFrame:
+            max_iter: int = MAX_ITER, parallelism: int | None = None) -> DataFrame:
     """(k, inertia, silhouette) for every k: one small row per k.
 
     The len(k_range) x n_init fits are independent jobs on the persisted
@@ -164,9 +167,10 @@ def k_sweep(scaled: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int
     mv = mean_variance(scaled)
     jobs = [lambda k=k, s=seed + i: _fit_one(scaled, k, s, max_iter, center_tolerance(k, mv))
             for k in ks for i in range(n_init)]
-    fits = _run_parallel(jobs, parallelism)
+    fits = _run_parallel(scaled.sparkSession, jobs, parallelism)
     best = [_best([f for f in fits if f.k == k]) for k in ks]
-    sils = _run_parallel([lambda f=f: silhouette(f.model, scaled) for f in best], parallelism)
+    sils = _run_parallel(scaled.sparkSession, [lambda f=f: silhouette(f.model, scaled) for f in best],
+                         parallelism)
     rows = [(int(f.k), float(f.inertia), float(s)) for f, s in zip(best, sils)]
     return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -189,7 +193,7 @@ def stable_order(model: KMeansModel, columns: list[str] = SEGMENT_FEATURES,
 
 
 def segment_model(c360: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-                  max_iter: int = MAX_ITER, parallelism: int = 4) -> PipelineModel:
+                  max_iter: int = MAX_ITER, parallelism: int | None = None) -> PipelineModel:
     """Assembler + scaler + K-Means as one persistable PipelineModel."""
     scaler_model, scaled = prepare(c360)
     fit = fit_kmeans(scaled, k, n_init, seed, max_iter, parallelism=parallelism)
