@@ -23,6 +23,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.concurrency import run_concurrently
 from .dataset import FEATURE_COLS, KEY, TARGET
 from .evaluation import auc
 from .ranking import global_row_number
@@ -91,14 +92,17 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out.drop("features", "features_scaled", "rawPrediction", "probability", "prediction")
 
 
-def cv_auc(table: DataFrame, make_pipeline, n_folds: int = N_FOLDS) -> DataFrame:
+def cv_auc(table: DataFrame, make_pipeline, n_folds: int = N_FOLDS,
+           parallelism: int | None = None) -> DataFrame:
     """(fold, auc): fit on the other folds, exact AUC on the held-out fold.
 
-    The held-out predictions of all folds go through ONE grouped AUC job.
+    The fold fits are independent jobs, submitted concurrently; the held-out
+    predictions of all folds go through ONE grouped AUC job.
     """
+    fits = [lambda f=f: make_pipeline().fit(table.where(F.col("fold") != f)) for f in range(n_folds)]
+    models = run_concurrently(table.sparkSession, fits, parallelism)
     held = None
-    for f in range(n_folds):
-        model = make_pipeline().fit(table.where(F.col("fold") != f))
+    for f, model in enumerate(models):
         pred = score(model, table.where(F.col("fold") == f)).select("fold", TARGET, "score")
         held = pred if held is None else held.unionByName(pred)
     return auc(held, "score", TARGET, group_cols=["fold"])

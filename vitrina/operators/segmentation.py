@@ -12,7 +12,6 @@ Euclidean), never all pairs of rows.
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import with_scalars
+from ..functions.concurrency import run_concurrently
 from . import lookups
 from .ranking import exact_quantiles
 
@@ -122,18 +122,6 @@ def _fit_one(scaled: DataFrame, k: int, seed: int, max_iter: int, tol: float) ->
     return KMeansFit(k, model, float(model.summary.trainingCost), seed)
 
 
-def _run_parallel(spark, jobs, parallelism: int | None):
-    """Run independent Spark ML fits from driver threads (Spark schedules the
-    concurrent jobs; results keep the submission order). ``None`` submits as
-    many at once as the cluster has task slots, at most one per job."""
-    if parallelism is None:
-        parallelism = min(len(jobs), spark.sparkContext.defaultParallelism)
-    if parallelism <= 1:
-        return [j() for j in jobs]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda j: j(), jobs))
-
-
 def _best(fits: list[KMeansFit]) -> KMeansFit:
     """Lowest within-cluster SS; the earliest seed on ties."""
     return min(fits, key=lambda f: (f.inertia, f.seed))
@@ -147,7 +135,7 @@ def fit_kmeans(scaled: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED
     """
     eps = center_tolerance(k, mean_variance(scaled), tol)
     jobs = [lambda s=seed + i: _fit_one(scaled, k, s, max_iter, eps) for i in range(n_init)]
-    return _best(_run_parallel(scaled.sparkSession, jobs, parallelism))
+    return _best(run_concurrently(scaled.sparkSession, jobs, parallelism))
 
 
 def silhouette(model: KMeansModel, scaled: DataFrame) -> float:
@@ -167,9 +155,9 @@ def k_sweep(scaled: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int
     mv = mean_variance(scaled)
     jobs = [lambda k=k, s=seed + i: _fit_one(scaled, k, s, max_iter, center_tolerance(k, mv))
             for k in ks for i in range(n_init)]
-    fits = _run_parallel(scaled.sparkSession, jobs, parallelism)
+    fits = run_concurrently(scaled.sparkSession, jobs, parallelism)
     best = [_best([f for f in fits if f.k == k]) for k in ks]
-    sils = _run_parallel(scaled.sparkSession, [lambda f=f: silhouette(f.model, scaled) for f in best],
+    sils = run_concurrently(scaled.sparkSession, [lambda f=f: silhouette(f.model, scaled) for f in best],
                          parallelism)
     rows = [(int(f.k), float(f.inertia), float(s)) for f, s in zip(best, sils)]
     return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
