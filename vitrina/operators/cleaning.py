@@ -13,11 +13,14 @@ normally. The global median is one value, used as a scalar subquery.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import EMAIL_PATTERN, PHONE_PATTERN, regex_flag
-from ..functions.sizing import bounded_broadcast
+from ..functions.sizing import (MAX_BROADCAST_ROWS, ROW_OVERHEAD_BYTES, bounded_broadcast,
+                                broadcast_byte_limit)
 from .ranking import exact_quantiles
 
 SCORE = "score_credito_interno"
@@ -41,21 +44,37 @@ def _fits_one_pass(distinct: int) -> bool:
     return distinct * DISTINCT_MARGIN <= MEDIAN_MAP_MAX_DISTINCT
 
 
-def median_guard(df: DataFrame, zone: str = "zona_geografica", col: str = SCORE) -> tuple[bool, bool]:
-    """(zone medians in one pass?, global median in one pass?) from ONE scan.
+@dataclass(frozen=True)
+class MedianGuard:
+    """What one scan of the customers tells the cleaning plan."""
+    zone_one_pass: bool      # every zone has few enough distinct scores
+    global_one_pass: bool    # so has the zone-imputed column
+    zones: int               # non-null zones
+    zone_table_bytes: int    # upper bound of the (zone, median) table
+
+
+def median_guard(df: DataFrame, zone: str = "zona_geografica", col: str = SCORE) -> MedianGuard:
+    """Distinct scores per zone and overall, zone count and longest zone name,
+    from ONE scan.
 
-    ``rollup`` gives the distinct scores per zone and over the whole table in
-    the same aggregation. Zone imputation adds at most one new distinct value
-    per zone, so the global bound is the overall count plus the zone count.
+    ``rollup`` gives the per-zone and the whole-table rows in the same
+    aggregation. Zone imputation adds at most one new distinct value per
+    zone, so the global bound is the overall count plus the zone count. The
+    zone median table has one (name, double) row per zone, so its size is
+    bounded by zones x (longest name + fixed widths).
     """
     d = F.approx_count_distinct(col, DISTINCT_RSD)
-    r = (df.rollup(zone).agg(d.alias("d"), F.grouping(zone).alias("g"))
+    r = (df.rollup(zone).agg(d.alias("d"), F.grouping(zone).alias("g"),
+                             F.max(F.octet_length(zone)).alias("len"))
            .agg(F.max(F.when(F.col("g") == 0, F.col("d"))).alias("per_zone"),
                 F.max(F.when(F.col("g") == 1, F.col("d"))).alias("overall"),
-                F.count_if(F.col("g") == 0).alias("zones"))
+                F.count_if((F.col("g") == 0) & F.col(zone).isNotNull()).alias("zones"),
+                F.max(F.when(F.col("g") == 0, F.col("len"))).alias("len"))
            .first())
-    per_zone, overall, zones = int(r["per_zone"] or 0), int(r["overall"] or 0), int(r["zones"] or 0)
-    return _fits_one_pass(per_zone), _fits_one_pass(overall + zones)
+    per_zone, overall = int(r["per_zone"] or 0), int(r["overall"] or 0)
+    zones, longest = int(r["zones"] or 0), int(r["len"] or 0)
+    row_bytes = ROW_OVERHEAD_BYTES + 8 + longest + 8
+    return MedianGuard(_fits_one_pass(per_zone), _fits_one_pass(overall + zones), zones, zones * row_bytes)
 
 
 def _median(df: DataFrame, col: str, group_cols: list[str], alias: str, exact: bool,
@@ -105,9 +124,17 @@ def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
     return zones.join(_zone_medians(df, exact), "zona_geografica", "left")
 
 
-def impute_zone(df: DataFrame, exact: bool = True, one_pass: bool | None = None) -> DataFrame:
-    """Fill a missing score with its zone median; rows of null zone keep null."""
-    zm = bounded_broadcast(_zone_medians(df, exact, one_pass))
+def impute_zone(df: DataFrame, exact: bool = True, guard: MedianGuard | None = None) -> DataFrame:
+    """Fill a missing score with its zone median; rows of null zone keep null.
+
+    With a ``guard`` the zone table's size is already known and bounds the
+    broadcast; without one it is measured (``bounded_broadcast``).
+    """
+    zm = _zone_medians(df, exact, guard.zone_one_pass if guard else None)
+    if guard is None:
+        zm = bounded_broadcast(zm)
+    elif guard.zones <= MAX_BROADCAST_ROWS and guard.zone_table_bytes <= broadcast_byte_limit(df.sparkSession):
+        zm = F.broadcast(zm)
     return (df.join(zm, "zona_geografica", "left")
               .withColumn("score_credito_interno",
                           F.coalesce("score_credito_interno", "mediana_zona"))
@@ -127,9 +154,9 @@ CLEAN_COLUMNS = ["id_cliente", "zona_geografica", "antiguedad_meses", "score_cre
 
 def clean_clientes(df: DataFrame, exact: bool = True) -> DataFrame:
     """Flags instead of contacts, zone then global median for the score."""
-    zone_one_pass, global_one_pass = median_guard(df) if exact else (None, None)
+    guard = median_guard(df) if exact else None
     out = (df.transform(phone_flag)
              .transform(email_flag)
-             .transform(lambda d: impute_zone(d, exact, zone_one_pass))
-             .transform(lambda d: impute_global(d, exact, global_one_pass)))
+             .transform(lambda d: impute_zone(d, exact, guard))
+             .transform(lambda d: impute_global(d, exact, guard.global_one_pass if guard else None)))
     return out.select(*CLEAN_COLUMNS)
