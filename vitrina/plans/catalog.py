@@ -468,6 +468,7 @@ def _explain_row(spark, sf_dir):
     return explain.explain_row(phi, top, base)
 
 # --- next-best-action (2.11) ----------------------------------------------------------
+from ..functions.concurrency import run_concurrently  # noqa: E402
 from ..operators import scoring  # noqa: E402
 from ..streaming import nba_stream  # noqa: E402
 
@@ -521,9 +522,14 @@ def serving_artifacts(spark, sf_dir):
     """
     r = raw(spark, sf_dir)
     c = c360(spark, sf_dir).checkpoint()
-    seg_model = segmentation.segment_model(c, Q_K, n_init=Q_N_INIT)
-    vd, dictionary = dataset.build_visit_dataset(r.interacciones, c)
-    prop_model = propensity.gbt_pipeline(Q_PARAMS).fit(vd)
+
+    def propensity_side():
+        vd, dictionary = dataset.build_visit_dataset(r.interacciones, c)
+        return propensity.gbt_pipeline(Q_PARAMS).fit(vd), dictionary
+
+    # the two models only share the checkpointed Customer 360: fit both at once
+    seg_model, (prop_model, dictionary) = run_concurrently(
+        spark, [lambda: segmentation.segment_model(c, Q_K, n_init=Q_N_INIT), propensity_side])
     return c, seg_model, prop_model, dictionary
 
 
