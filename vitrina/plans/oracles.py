@@ -231,6 +231,14 @@ UNION ALL SELECT 'clientes_clean', count(*), 6 FROM clientes_clean
 UNION ALL SELECT 'customer_360', count(*), 22 FROM customer_360
 UNION ALL SELECT 'visit_dataset', count(*), 22 FROM vd""")
 oracle("head_c360", *C360_CTES)("SELECT * FROM customer_360 ORDER BY id_cliente LIMIT 5")
+# sinks: the written tables, counted (or scanned with a filter) after the write
+oracle("sink_clean", *CLEAN_CTES)("""
+SELECT 'clientes_clean' AS tabla, count(*) AS filas FROM clientes_clean
+UNION ALL SELECT 'transacciones_clean', count(*) FROM transacciones
+UNION ALL SELECT 'interacciones_clean', count(*) FROM interacciones""")
+oracle("sink_c360", *C360_CTES)("SELECT 'customer_360' AS tabla, count(*) AS filas FROM customer_360")
+oracle("scan_c360", *C360_CTES)(
+    "SELECT id_cliente, frequency, monetary_total FROM customer_360 WHERE frequency > 0")
 oracle("fill_numeric", *C360_CTES)("SELECT * FROM customer_360")
 oracle("lookup_client", *C360_CTES)("""
 SELECT a.id_cliente, CASE WHEN c.id_cliente IS NULL THEN 0 ELSE 1 END AS encontrado,
