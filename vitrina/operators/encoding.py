@@ -47,7 +47,9 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame,
     sizes it once, not once per micro-batch).
     """
     if not sized:
-        dictionary = bounded_broadcast(dictionary)
+        # a fitted dictionary comes off the ranking helper's checkpoint, a
+        # saved one from its parquet files: measured without another write
+        dictionary = bounded_broadcast(dictionary, checkpoint=False)
     out = df
     for c in columns:
         d = (dictionary.where(F.col("columna") == c)
