@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import with_scalars
+from ..functions.sizing import bounded_broadcast
 from .ranking import exact_quantiles, prefix_sums_with_totals
 
 # Class names of the classification report and the decision
@@ -38,7 +39,11 @@ def score_counts(df: DataFrame, score: str = "score", label: str = "y",
     # totals: one row per group (e.g. per fold), taken from the helper's
     # partition totals instead of a second aggregation of ``df``
     totals = totals.select(*g, F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"))
-    return cum.join(F.broadcast(totals), g) if g else with_scalars(cum, totals)
+    if not g:
+        return with_scalars(cum, totals)
+    # any grouping is allowed, so the per-group totals are measured before a
+    # broadcast (they derive from the helper's checkpoint: no extra write)
+    return cum.join(bounded_broadcast(totals, checkpoint=False), g)
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "y",

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import with_scalars
 from ..functions.concurrency import run_concurrently
+from ..functions.sizing import bounded_broadcast
 from . import lookups
 from .ranking import exact_quantiles
 
@@ -228,8 +229,9 @@ def segment_box(seg: DataFrame, columns: list[str] = BOX_COLUMNS, whisker: float
                        (F.col("q1") - whisker * (F.col("q3") - F.col("q1"))).alias("_lo"),
                        (F.col("q3") + whisker * (F.col("q3") - F.col("q1"))).alias("_hi"))
     inside = (F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi"))
-    # fences: one row per (segment, variable), a bounded handful -> broadcast
-    stats = (long.where(F.col("x").isNotNull()).join(F.broadcast(fences), keys)
+    # fences: one row per (segment, variable); measured before the broadcast
+    # (derived from the quantile helper's checkpoint: no extra write)
+    stats = (long.where(F.col("x").isNotNull()).join(bounded_broadcast(fences, checkpoint=False), keys)
                  .groupBy(*keys)
                  .agg(F.min(F.when(inside, F.col("x"))).alias("bigote_inf"),
                       F.max(F.when(inside, F.col("x"))).alias("bigote_sup"),
