@@ -60,8 +60,8 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, chec
     it) and the encoder dictionary with its broadcast size already checked.
     """
     run = sinks.new_run_id()
-    profiles = scoring.keyed_profiles(c360, scratch_dir(spark, f"profiles-{run}"),
-                                      "perfiles_" + run.replace("-", "_"))
+    table = "perfiles_" + run.replace("-", "_")
+    profiles = scoring.keyed_profiles(c360, scratch_dir(spark, f"profiles-{run}"), table)
     sized_dictionary = bounded_broadcast(dictionary)
     stream = visit_stream(spark, source_dir, watermark, max_files_per_trigger)
 
@@ -71,7 +71,11 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, chec
                                 sized_dictionary=True)
         write_batch(rec, sink_dir, batch_id)
 
-    q = (stream.writeStream.foreachBatch(score_batch)
-               .option("checkpointLocation", checkpoint_dir)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
+    try:
+        q = (stream.writeStream.foreachBatch(score_batch)
+                   .option("checkpointLocation", checkpoint_dir)
+                   .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        # external table: only the catalog entry goes, the files stay in scratch
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
