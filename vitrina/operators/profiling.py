@@ -53,12 +53,24 @@ def _unpivot(one_row: DataFrame, columns: list[str], value_name: str) -> DataFra
 
 def quality_report(df: DataFrame, completeness_cols: list[str], patterns: dict[str, str],
                    unique_col: str) -> DataFrame:
-    """One row per variable; a metric that does not apply is null."""
-    comp = completeness(df, completeness_cols)
-    val = validity(df, patterns)
-    uniq = uniqueness(df, unique_col)
-    return (comp.join(val, "variable", "left").join(uniq, "variable", "left")
-                .select("variable", "completitud", "validez", "unicidad"))
+    """One row per variable; a metric that does not apply is null.
+
+    Completeness and validity come from ONE aggregation (one scan); only
+    uniqueness needs its own grouping by the id.
+    """
+    n = F.count(F.lit(1))
+    one = df.agg(*[(F.lit(1) - F.count_if(_problem(c)) / n).alias(f"_c_{c}") for c in completeness_cols],
+                 *[F.avg(regex_flag(c, p)).alias(f"_v_{c}") for c, p in patterns.items()])
+    variables = list(completeness_cols) + [c for c in patterns if c not in completeness_cols]
+    none = F.lit(None).cast("double")
+    rows = [F.struct(F.lit(v).alias("variable"),
+                     (F.col(f"_c_{v}").cast("double") if v in completeness_cols else none).alias("completitud"),
+                     (F.col(f"_v_{v}").cast("double") if v in patterns else none).alias("validez"))
+            for v in variables]
+    comp_val = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    uniq = uniqueness(df, unique_col)          # one row
+    return (comp_val.join(F.broadcast(uniq), "variable", "left")
+                    .select("variable", "completitud", "validez", "unicidad"))
 
 
 def distinct_ids(tables: dict[str, DataFrame], column: str = "id_cliente") -> DataFrame:
