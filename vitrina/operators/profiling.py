@@ -90,12 +90,19 @@ def ids_in_all(tables: list[DataFrame], column: str = "id_cliente") -> DataFrame
     return inter.agg(F.count(F.lit(1)).alias("n_ids_en_todas"))
 
 
-def value_counts(columns: dict[str, DataFrame]) -> DataFrame:
-    """(variable, valor, n) for each column; nulls excluded; largest first."""
+def value_counts(tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(variable, valor, n) for each column; nulls excluded; largest first.
+
+    Each table is scanned ONCE: its columns are unpivoted to (variable, valor)
+    and counted in one aggregation (partial per task).
+    """
     out = None
-    for col, df in columns.items():
-        part = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("valor"))
-                  .agg(F.count(F.lit(1)).alias("n")).select(F.lit(col).alias("variable"), "valor", "n"))
+    for df, cols in tables:
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("valor")) for c in cols
+        ])).alias("p")).select("p.variable", "p.valor")
+        part = (pairs.where(F.col("valor").isNotNull()).groupBy("variable", "valor")
+                     .agg(F.count(F.lit(1)).alias("n")))
         out = part if out is None else out.unionByName(part)
     return out.orderBy("variable", F.desc("n"), "valor")
 

@@ -234,13 +234,11 @@ query("id_intersection")(lambda s, d: profiling.ids_in_all(
 @query("value_counts")
 def _value_counts(spark, sf_dir):
     r = raw(spark, sf_dir)
-    return profiling.value_counts({
-        "zona_geografica": r.clientes.select("zona_geografica"),
-        "categoria_producto": r.transacciones.select("categoria_producto"),
-        "medio_pago": r.transacciones.select("medio_pago"),
-        "motivo_visita": r.interacciones.select("motivo_visita"),
-        "compro_en_visita": r.interacciones.select("compro_en_visita"),
-    })
+    return profiling.value_counts([
+        (r.clientes, ["zona_geografica"]),
+        (r.transacciones, ["categoria_producto", "medio_pago"]),
+        (r.interacciones, ["motivo_visita", "compro_en_visita"]),
+    ])
 
 
 query("histogram")(lambda s, d: profiling.histogram(raw(s, d).clientes, "antiguedad_meses")
