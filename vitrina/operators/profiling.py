@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import regex_flag, with_scalars
+from ..functions.columns import regex_flag
 
 BLANK_PATTERN = r"(?U)^\s*$"
 
@@ -107,25 +107,35 @@ def value_counts(tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     return out.orderBy("variable", F.desc("n"), "valor")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
-    """Equal-width bins between min and max; the last bin is closed."""
-    x = F.col(column).cast("double")
-    vals = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
-    stats = vals.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+def histograms(df: DataFrame, columns: list[str], bins: int = 15) -> DataFrame:
+    """Equal-width bins between min and max of each column; the last bin is
+    closed. All columns in two scans: one for the per-column min/max, one
+    for the bin counts (the columns are unpivoted to (variable, value))."""
+    long = (df.select(F.explode(F.array(*[
+                F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("_x")) for c in columns
+            ])).alias("p")).select("p.variable", "p._x")
+              .where(F.col("_x").isNotNull()))
+    # one row per column: bounded by the caller's column list
+    stats = long.groupBy("variable").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    binned = with_scalars(vals, stats).select(
+    binned = long.join(F.broadcast(stats), "variable").select(
+        "variable",
         F.when(F.col("_hi") == F.col("_lo"), F.lit(0))
          .otherwise(F.least(F.floor((F.col("_x") - F.col("_lo")) / width).cast("int"), F.lit(bins - 1)))
          .alias("bin"))
-    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    spine = stats.select("_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (spine.join(counts, "bin", "left")
-                 .select(F.lit(column).alias("variable"), "bin",
+    counts = binned.groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
+    spine = stats.select("variable", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (spine.join(counts, ["variable", "bin"], "left")
+                 .select("variable", "bin",
                          (F.col("_lo") + F.col("bin") * width).alias("desde"),
                          (F.col("_lo") + (F.col("bin") + 1) * width).alias("hasta"),
                          F.coalesce("n", F.lit(0)).alias("n")))
 
 
+def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
+    return histograms(df, [column], bins)
+
+
 def monthly_counts(df: DataFrame, date_col: str, count_col: str) -> DataFrame:
     """Non-null ``count_col`` per calendar month, empty months included."""
     month = F.to_date(F.date_trunc("month", F.col(date_col)))

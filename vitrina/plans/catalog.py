@@ -241,8 +241,8 @@ def _value_counts(spark, sf_dir):
     ])
 
 
-query("histogram")(lambda s, d: profiling.histogram(raw(s, d).clientes, "antiguedad_meses")
-                   .unionByName(profiling.histogram(raw(s, d).clientes, "score_credito_interno")))
+query("histogram")(lambda s, d: profiling.histograms(raw(s, d).clientes,
+                                                    ["antiguedad_meses", "score_credito_interno"]))
 query("monthly_counts")(lambda s, d: profiling.monthly_counts(raw(s, d).transacciones, "fecha_compra",
                                                               "id_transaccion"))
 query("conversion_by_reason")(lambda s, d: profiling.rate_by(raw(s, d).interacciones, "motivo_visita",
