@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from vitrina.functions.columns import level, payday_flag, weekday0
 from vitrina.operators import (customer360, cleaning, dataset, encoding, evaluation, explain, propensity,
                                scoring, segmentation)
-from vitrina.plans import catalog
 from vitrina.session import scratch_dir
 from vitrina.sources import fixtures
 from vitrina.streaming import nba_stream

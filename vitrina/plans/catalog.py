@@ -80,7 +80,6 @@ query("customer_360")(c360)
 # --- sources, sinks, previews (2.1) -------------------------------------------
 from pyspark.sql import functions as F  # noqa: E402
 
-from ..functions.columns import na_normalise  # noqa: E402
 from ..operators import dataset, encoding, lookups  # noqa: E402
 from ..session import scratch_dir  # noqa: E402
 from ..sources import csv as csv_source  # noqa: E402

@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import cleaning, customer360, dataset, drift, propensity, segmentation
 from ..sources import sinks
