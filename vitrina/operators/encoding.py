@@ -7,8 +7,8 @@ helper of ``ranking``, so no column's values meet in one task.
 Apply: one left join per column against its dictionary; a null value gets 0
 (the reference's NaN code turned into 0 by ``fillna``) and an unseen value -1.
 The dictionary is small but data-dependent, so it is broadcast only after its
-row count has been checked (``bounded_broadcast``); the visit side then keeps
-its partitioning instead of being shuffled once per coded column.
+rows and bytes have been measured (``bounded_broadcast``); the visit side then
+keeps its partitioning instead of being shuffled once per coded column.
 """
 
 from __future__ import annotations

@@ -156,8 +156,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     the probe table (groups x probs rows) against the value ranges. Without
     groups the probe table has ``len(probs)`` rows and is broadcast; with
     groups its size depends on the data, so it is broadcast only after its
-    row count is checked (``bounded_broadcast``), else equi-joined on the
-    group keys. Either way no group's values are ever gathered in one task:
+    rows and bytes are measured (``bounded_broadcast``), else equi-joined on
+    the group keys. Either way no group's values are ever gathered in one task:
     a hot group only adds rows to the range-partitioned running totals.
     Returns rows (*groups, p, quantile).
     """
