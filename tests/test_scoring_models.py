@@ -149,3 +149,11 @@ def test_replayed_stream_batch_is_written_once(spark):
     out = spark.read.parquet(f"{base}/sink")
     assert out.where("batch_id = 0").count() == 10
     assert out.where("batch_id = 1").count() == 4
+
+
+def test_importance_report_has_unique_columns_and_ranks_by_auc_drop(spark):
+    import __spark_entry__ as entry
+    df = entry.queries()["importance"](spark, "/root/testdata/sf0.001")
+    assert len(df.columns) == len(set(df.columns))
+    drops = [r["importance"] for r in df.collect()]
+    assert len(drops) == 20 and drops == sorted(drops, reverse=True)

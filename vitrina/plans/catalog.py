@@ -444,8 +444,9 @@ def _model_roundtrip(spark, sf_dir):
 @query("importance")
 def _importance(spark, sf_dir):
     model, tbl = fitted(spark, sf_dir)
-    perm = explain.permutation_importance(model, tbl)
-    return perm.join(propensity.feature_importances(spark, model), "feature")
+    perm = explain.permutation_importance(model, tbl)        # importance = AUC drop
+    gain = propensity.feature_importances(spark, model).withColumnRenamed("importance", "importance_gain")
+    return perm.join(gain, "feature").orderBy(F.desc("importance"), "feature")
 
 
 def _shap(spark, sf_dir):
