@@ -7,8 +7,8 @@ value -> count map per zone, so it is used when a guard job shows every zone
 has few distinct scores; otherwise ``ranking.exact_quantiles`` counts rows
 per (zone, score), takes range-partitioned running totals and picks the
 middle ranks with a join. The per-zone result has one row per zone; it is
-broadcast after its size is measured (``bounded_broadcast``), else joined
-normally. The global median is one value, used as a scalar subquery.
+broadcast when its size is within bounds (the guard scan bounds it, or
+``bounded_broadcast`` measures it), else joined normally. The global median is one value, used as a scalar subquery.
 """
 
 from __future__ import annotations
