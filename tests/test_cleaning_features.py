@@ -126,3 +126,16 @@ def test_na_normalisation_and_csv_reader(spark, tmp_path):
     assert df["b"]["antiguedad_meses"] is None               # bad number -> null
     assert df["b"]["score_credito_interno"] is None
     assert df["b"]["celular_contacto"] == "Null"             # pandas keeps 'Null' as text too
+
+
+def test_median_guard_counts_zones_and_bounds_the_zone_table(spark, monkeypatch):
+    rows = [(f"c{i}", z, 1, float(i % 7), None, None)
+            for i, z in enumerate(["NORTE"] * 30 + ["SUR"] * 5 + [None] * 4)]
+    df = _clientes(spark, rows)
+    g = cleaning.median_guard(df)
+    assert g.zones == 2                                   # the null zone is not a zone
+    assert g.zone_one_pass and g.global_one_pass          # 7 distinct scores
+    assert g.zone_table_bytes == 2 * (cleaning.ROW_OVERHEAD_BYTES + 8 + len("NORTE") + 8)
+    monkeypatch.setattr(cleaning, "MEDIAN_MAP_MAX_DISTINCT", 7)
+    g = cleaning.median_guard(df)
+    assert not g.zone_one_pass and not g.global_one_pass  # 7 x 1.1 margin > 7
