@@ -35,7 +35,7 @@ from vitrina.llm.shared import id_text, written
 CAPACITY = 1024
 END_ID = 2
 #: Pieces of one length and salt, on average at most; it bounds a numbering task.
-PIECES_PER_SALT = 20_000
+PIECES_PER_SALT = 2_000
 PIECE_TYPE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitrina.llm import bpe, dedup, packing, topk
+from vitrina.llm import bpe, dedup, language, packing, pii, quality, topk
 
 
 def vocab_path(name: str = "byte_bpe_50k.json") -> str:
@@ -23,6 +23,14 @@ def op1_exact_dedup(spark, sf_dir):
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents")).drop("n_added")
+
+
+def op3_language_model(spark, sf_dir):
+    return language.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocab_path())
 
@@ -32,12 +40,16 @@ def op6_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_quality(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_topk(spark, sf_dir):
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_bpe, op6_packing, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_language_model, op5_bpe, op6_packing, op7_quality, op10_topk)}
 
 ORACLES = {
     "op1_exact_dedup": """
