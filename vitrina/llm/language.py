@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from vitrina.llm.shared import id_text, mapped, new_folder, pack_arrays, put_bytes, unpack_arrays, written
 
 END = 0x9E3779B97F4A7C15
-#: Tokens that a task counts or scores at a time.
-BLOCK_TOKENS = 3_000_000
+#: Tokens that a task counts and scores at a time (scoring holds more arrays for each token).
+BLOCK_TOKENS, SCORE_TOKENS = 3_000_000, 700_000
 #: Bytes of text for each shard of pairs and of words; least numbers of shards.
 PAIR_SHARD_BYTES, WORD_SHARD_BYTES = 16 << 20, 256 << 20
 LEAST_PAIR_SHARDS, LEAST_WORD_SHARDS = 64, 48
@@ -85,9 +85,8 @@ def token_hashes(text: str, memo: WordHashes) -> np.ndarray:
     return out
 
 
-def token_blocks(batches, size: int | None = None):
+def token_blocks(batches, size: int = BLOCK_TOKENS):
     """(ids, tokens, end of each document) for blocks of whole documents."""
-    size = size or BLOCK_TOKENS
     memo, ids, parts, total = WordHashes(), [], [], 0
     for batch in batches:
         keys, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -342,7 +341,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every document."""
 
     def run(batches):
-        for ids, tokens, ends in token_blocks(batches):
+        for ids, tokens, ends in token_blocks(batches, SCORE_TOKENS):
             known, base, own = model.score(tokens, ends)
             n = np.diff(ends, prepend=0)
             arrays = [pa.array(ids, pa.int64()), pa.array(n), pa.array(known), pa.array(np.full(len(n), model.tokens)), pa.array(base), pa.array(own)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitrina.llm import bpe, dedup, language, packing, pii, quality, topk
+from vitrina.llm import bpe, dedup, language, licences, nearcopies, packing, pii, quality, topk
 
 
 def vocab_path(name: str = "byte_bpe_50k.json") -> str:
@@ -44,12 +44,20 @@ def op7_quality(spark, sf_dir):
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash(spark, sf_dir):
+    return nearcopies.classes(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op9_licences(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark, sf_dir):
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_language_model, op5_bpe, op6_packing, op7_quality, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_language_model, op5_bpe, op6_packing, op7_quality, op8_minhash, op9_licences, op10_topk)}
 
 ORACLES = {
     "op1_exact_dedup": """
