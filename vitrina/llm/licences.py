@@ -141,6 +141,9 @@ def training_rows(docs: DataFrame) -> DataFrame:
     copies = base.select(F.concat_ws(" ", side, F.array_join(kept, " ")).alias("paragraph"), "label", F.pmod(F.xxhash64("paragraph", "copy"), F.lit(2)).alias("half"))
     lines = docs.select("doc_id", F.substring_index("text", "\n", 1).alias("paragraph")).where("paragraph <> ''").where(~F.col("paragraph").rlike(CUE))
     # ordinary lines: the first lines of the documents with the smallest id hashes
+    n = docs.count()
+    if n > 4 * PLAIN_LINES:
+        lines = lines.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(4 * PLAIN_LINES / n * (1 << 30)))
     plain = lines.orderBy(F.xxhash64("doc_id"), "paragraph").limit(PLAIN_LINES).select("paragraph", F.lit(0).alias("label"), F.pmod(F.hash("paragraph"), F.lit(2)).cast("long").alias("half"))
     return copies.unionByName(plain)
 

@@ -40,14 +40,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.llm.language import WordHashes
-from vitrina.llm.shared import id_text, written
+from vitrina.llm.shared import id_text, small_batches, written
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 SLOTS = BANDS * ROWS
 #: Similarity of a link, as numerator and denominator.
 THRESHOLD = (4, 5)
 #: Words that a task handles at a time.
-BLOCK_WORDS = 600_000
+BLOCK_WORDS = 250_000
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -187,7 +187,7 @@ def multisets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for lo, own in word_blocks(batch, "text"):
                 part = batch.slice(lo, len(own))
                 hit = [k for k, d in enumerate(part.column("digest").to_pylist()) if digest(*own[k]) == d]
-                bags = [np.concatenate([own[k][0], own[k][1].astype(np.uint64)]).tobytes() for k in hit]
+                bags = [own[k][0].tobytes() + own[k][1].astype("<u4").tobytes() for k in hit]
                 yield pa.RecordBatch.from_arrays([part.column("tid").take(pa.array(hit, pa.int64())), pa.array(bags, pa.binary())], ["tid", "bag"])
 
     own = docs.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
@@ -195,9 +195,10 @@ def multisets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def overlap(a: bytes, b: bytes) -> tuple[int, int]:
-    """Sum of minima and sum of maxima of two multisets."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    (xs, xc), (ys, yc) = np.split(x, 2), np.split(y, 2)
+    """Sum of minima and sum of maxima of two multisets (8 bytes of hash, then 4 of count, for each shingle)."""
+    n, m = len(a) // 12, len(b) // 12
+    xs, ys = np.frombuffer(a, np.uint64, n), np.frombuffer(b, np.uint64, m)
+    xc, yc = (np.frombuffer(c, "<u4", k, 8 * k).astype(np.int64) for c, k in ((a, n), (b, m)))
     _, i, j = np.intersect1d(xs, ys, assume_unique=True, return_indices=True)
     low = int(np.minimum(xc[i], yc[j]).sum())
     return low, int(xc.sum()) + int(yc.sum()) - low
@@ -210,7 +211,7 @@ def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column("bag_a"), batch.column("bag_b")):
-                low, high = overlap(x.as_buffer(), y.as_buffer())
+                low, high = overlap(x.as_py(), y.as_py())
                 ok.append(low * THRESHOLD[1] >= high * THRESHOLD[0])
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
@@ -244,9 +245,10 @@ def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
     shared = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("tid").alias("pivot")).where("n > 1").select("key", "pivot", "n"), "buckets")
     buckets = written(members.join(shared, "key").select("key", "tid", "pivot", "n"), "members")
     wanted = texts.select("tid", "doc_id", "digest").join(buckets.select("tid").distinct(), "tid")
-    bags = written(multisets(docs, wanted), "bags")
-    tried = [written(buckets.where("tid <> pivot").select(F.col("tid").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")]
-    links = [written(verified(tried[0], bags), "verified")]
+    with small_batches(docs.sparkSession):
+        bags = written(multisets(docs, wanted), "bags")
+        tried = [written(buckets.where("tid <> pivot").select(F.col("tid").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")]
+        links = [written(verified(tried[0], bags), "verified")]
     lo = 1
     while True:
         labels = components(reduce(DataFrame.unionByName, links))
@@ -265,14 +267,16 @@ def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
             return labels
         if not pairs.isEmpty():
             tried.append(pairs)
-            links.append(written(verified(pairs, bags), "verified"))
+            with small_batches(docs.sparkSession):
+                links.append(written(verified(pairs, bags), "verified"))
         lo = hi
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, class_id, class_size, kept, text_key (md5 of the text)."""
     docs = id_text(docs)
-    rows = written(signed(docs).withColumn("row", F.monotonically_increasing_id()), "signed")
+    with small_batches(docs.sparkSession):
+        rows = written(signed(docs).withColumn("row", F.monotonically_increasing_id()), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     texts = rows.groupBy("digest", "bands").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     texts = written(texts.select("digest", "bands", "n", "first", F.col("first.doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("tid")), "texts")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitrina.llm import bpe, dedup, language, licences, nearcopies, packing, pii, quality, topk
+from vitrina.llm import bpe, dedup, language, licences, nearcopies, packing, pii, quality, suffixes, topk
 
 
 def vocab_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,6 +31,10 @@ def op3_language_model(spark, sf_dir):
     return language.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffixes.clean_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocab_path())
 
@@ -57,7 +61,9 @@ def op10_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_language_model, op5_bpe, op6_packing, op7_quality, op8_minhash, op9_licences, op10_topk)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_pii, op3_language_model, op4_suffix_dedup, op5_bpe,
+    op6_packing, op7_quality, op8_minhash, op9_licences, op10_topk)}
 
 ORACLES = {
     "op1_exact_dedup": """

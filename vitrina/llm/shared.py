@@ -12,6 +12,7 @@ import mmap
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -36,6 +37,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Send smaller Arrow batches to Python while a table is written, for tasks that hold several per row."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def remove_folder(spark: SparkSession, uri: str) -> None:
     """Delete a folder of the shared file system (its owner no longer needs it)."""
     jvm = spark.sparkContext._jvm
