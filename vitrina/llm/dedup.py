@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrina.llm.shared import id_text, written
+from vitrina.llm.shared import id_text, keep_rows, written
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 #: A chunk ends behind one of these character pairs (about one position in a hundred of prose).
@@ -92,7 +92,6 @@ def ranked_recipes(normal: DataFrame, recipes: DataFrame, unclear: DataFrame, ha
 
 def keep_exact(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns (of equal rows one)."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    own = docs.withColumn("_sha", F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256))
-    same = own["doc_id"].eqNullSafe(kept["_kept_id"]) & (own["_sha"] == kept["_kept_sha"])
-    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    kept = exact_groups(docs).where("kept")
+    own = docs.withColumn("_key", F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256))
+    return keep_rows(own, kept.select("doc_id", F.col("text_sha256").alias("_key")))

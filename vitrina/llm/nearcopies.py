@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.llm.language import WordHashes
-from vitrina.llm.shared import id_text, small_batches, written
+from vitrina.llm.shared import id_text, keep_rows, small_batches, written
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 SLOTS = BANDS * ROWS
@@ -290,7 +290,6 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns."""
-    kept = classes(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
+    kept = classes(docs).where("kept")
     own = docs.withColumn("_key", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    same = own["doc_id"].eqNullSafe(kept["_kept_id"]) & (own["_key"] == kept["_kept_key"])
-    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return keep_rows(own, kept.select("doc_id", F.col("text_key").alias("_key")))

@@ -62,9 +62,14 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def crc_mod(col, n: int):
-    """crc32 of the id written as decimal text, modulo ``n``."""
-    return F.crc32(col.cast("string").cast("binary")) % F.lit(n)
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id and ``_key`` (a digest of the text) are in ``kept``, of equal rows one.
+
+    One key for join and duplicates: the texts are shuffled and sorted once.
+    """
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("_key")).alias("_key")
+    own = docs.withColumn("_key", key)
+    return own.join(kept.select(key), "_key", "left_semi").dropDuplicates(["_key"]).select(*[c for c in docs.columns if c != "_key"])
 
 
 def _local(uri: str) -> str | None:
