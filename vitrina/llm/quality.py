@@ -34,7 +34,9 @@ BUCKETS, DIM = 1 << 16, 8
 #: Features for the distance to the same word before: one for each power of two, the last for none.
 DISTANCES = 8
 NGRAMS = (2, 3, 4)
-TRAIN_ROWS = 4_000
+TRAIN_ROWS = 3_000
+#: Characters of text that a task handles at a time.
+BLOCK_CHARS = 1_500_000
 EPOCHS, RATE, SEED = 5, 1.0, 11
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -163,7 +165,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -
     chosen = usable.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id").limit(bound)
     # the broadcast side has at most ``bound`` rows of 12 bytes
     rows = id_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
-    return rows.orderBy(F.xxhash64("doc_id"), "text").limit(bound)
+    return rows.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("r")).select("doc_id", "r.*")
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS):
@@ -171,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS):
 
     def features(batches):
         for batch in batches:
-            for y, texts in blocks([batch.column("label").to_pylist(), batch.column("text").to_pylist()]):
+            for y, texts in blocks([batch.column("label").to_pylist(), batch.column("text").to_pylist()], BLOCK_CHARS):
                 found, share = zip(*Block(texts).documents()) if texts else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([s.tobytes() for s in share], pa.binary())], ["label", "found", "share"])
 
@@ -207,7 +209,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS)
 
     def run(batches):
         for batch in batches:
-            for keys, texts in blocks([batch.column(0).to_pylist(), batch.column(1).to_pylist()]):
+            for keys, texts in blocks([batch.column(0).to_pylist(), batch.column(1).to_pylist()], BLOCK_CHARS):
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(scores(texts, model), pa.float64())], ["doc_id", "score"])
 
     scored = id_text(docs).mapInArrow(run, "doc_id long, score double")
@@ -221,7 +223,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> Da
 
     def run(batches):
         for batch in batches:
-            good = [scores(texts, model) >= THRESHOLD for (texts,) in blocks([[t or "" for t in batch.column(at).to_pylist()]])]
+            good = [scores(texts, model) >= THRESHOLD for (texts,) in blocks([[t or "" for t in batch.column(at).to_pylist()]], BLOCK_CHARS)]
             yield batch.filter(pa.array(np.concatenate(good) if good else [], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
