@@ -17,7 +17,7 @@ verified by the exact overlap of their multisets (sum of minima over sum of
 maxima, at least ``THRESHOLD``), and verified links form classes.
 
 Equal multisets are one "text" from the start, so copies cost one row. In a
-band's bucket the first text is compared with all others; buckets whose texts
+band's bucket the text that meets most others is compared with all of them; buckets whose texts
 are then not all in one class go on with the next 3, 12, 48, ... texts as
 pivots, until every pair of a bucket is either in one class or compared. No
 bucket is gathered in one task, and no pair that is linked already is emitted.
@@ -242,21 +242,26 @@ def components(links: DataFrame) -> DataFrame:
 def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
     """(tid, label) of the texts that have a link; ``texts`` has tid, digest, bands, doc_id."""
     members = texts.select("tid", F.explode("bands").alias("key"))
-    shared = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("tid").alias("pivot")).where("n > 1").select("key", "pivot", "n"), "buckets")
-    buckets = written(members.join(shared, "key").select("key", "tid", "pivot", "n"), "members")
+    shared = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    own = written(members.join(shared, "key").select("key", "tid", "n"), "members")
+    # texts that meet many others come first: the original of a group of copies is close to all of them
+    degree = written(own.groupBy("tid").agg(F.sum("n").alias("degree")), "degrees")
+    buckets = written(own.join(degree, "tid").select("key", "tid", "n", "degree"), "buckets")
+    heads = buckets.groupBy("key").agg(F.max(F.struct("degree", (-F.col("tid")).alias("minus"))).alias("head"))
+    heads = written(heads.select("key", (-F.col("head.minus")).alias("pivot")), "heads")
     wanted = texts.select("tid", "doc_id", "digest").join(buckets.select("tid").distinct(), "tid")
     with small_batches(docs.sparkSession):
         bags = written(multisets(docs, wanted), "bags")
-        tried = [written(buckets.where("tid <> pivot").select(F.col("tid").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")]
+        tried = [written(buckets.join(heads, "key").where("tid <> pivot").select(F.col("tid").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")]
         links = [written(verified(tried[0], bags), "verified")]
     lo = 1
     while True:
         labels = components(reduce(DataFrame.unionByName, links))
         # buckets with several classes, and their members in order
-        own = buckets.where(F.col("n") > lo).join(labels, "tid", "left").select("key", "tid", F.coalesce("label", "tid").alias("label"))
+        own = buckets.where(F.col("n") > lo).join(labels, "tid", "left").select("key", "tid", "degree", F.coalesce("label", "tid").alias("label"))
         own = written(own, "labelled")
         split = own.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other").select("key")
-        open_ = own.join(split, "key").withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("tid")) - 1)
+        open_ = own.join(split, "key").withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "tid")) - 1)
         open_ = written(open_, "open")
         hi = lo * 4
         pivots = open_.where((F.col("place") >= lo) & (F.col("place") < hi)).select("key", F.col("tid").alias("b"), F.col("label").alias("label_b"), F.col("place").alias("place_b"))
