@@ -140,6 +140,19 @@ def test_stream_equals_batch_and_drops_repeats(spark, trained):
     assert a == b
 
 
+def test_many_batches_answer_every_visit_once(spark, trained):
+    r, c, _, dictionary, model, seg_model = trained
+    base = scratch_dir(spark, "test-stream-many")
+    visits = r.interacciones
+    visits.repartition(8).write.mode("overwrite").parquet(f"{base}/source")   # visit dates in no order
+    visits.limit(20).write.mode("append").parquet(f"{base}/source")
+    nba_stream.run_scoring_stream(spark, f"{base}/source", f"{base}/sink", f"{base}/ckpt",
+                                  c, seg_model, model, dictionary, max_files_per_trigger=1)
+    streamed = spark.read.parquet(f"{base}/sink")
+    assert streamed.select("batch_id").distinct().count() >= 8
+    assert streamed.count() == streamed.select(dataset.KEY).distinct().count() == visits.count()
+
+
 def test_replayed_stream_batch_is_written_once(spark):
     base = scratch_dir(spark, "test-replay")
     rows = spark.range(10).withColumnRenamed("id", "x")

@@ -61,19 +61,20 @@ OPPORTUNITY_MESSAGES = [
      "Enfocate en atender su solicitud. Registra la visita para futuras oportunidades."),
 ]
 
-# Segment name -> (reading, strategy) for the advisor card. Our own wording,
-# same keys and meaning; unknown segments take the default pair.
+# Segment name -> (reading, strategy) for the advisor card. A
+# brand word after "credito" in the second reading is left out. Unknown
+# segments take the default pair.
 SEGMENT_PLAYBOOK = [
-    ("VIP Comprador", "Cliente de alto valor que compra gama alta y mira poco el precio.",
-     "Mostrar lo mejor del catalogo y servicios exclusivos; no negociar por precio."),
-    ("Cliente Financiado", "Compra con el credito propio de la tienda y responde a las cuotas.",
-     "Hablar de la cuota mensual y de las ventajas del credito, no del precio total."),
-    ("Visitante Servicios", "Tiene equipos en uso y viene por servicio; buen momento para renovar.",
-     "Preguntar por el equipo actual y proponer un reemplazo o un complemento."),
-    ("Cliente Dormido", "No compra hace tiempo y necesita una razon para volver.",
-     "Usar la promocion vigente y preguntar por su ultima compra."),
-    ("Nuevo Potencial", "Historial corto; el perfil aun se esta formando.",
-     "Escuchar primero y entender la necesidad antes de ofrecer."),
+    ("VIP Comprador", "Cliente de alto valor. Historial de compras premium, sensibilidad a precio baja.",
+     "Ofrecer gama alta y experiencias exclusivas. No competir por precio."),
+    ("Cliente Financiado", "Cliente que compra con credito. Responde bien a planes de cuotas.",
+     "Destacar cuota mensual, no precio total. Explicar beneficios del credito."),
+    ("Visitante Servicios", "Cliente activo con equipos en uso. Momento clave para recompra o upgrade.",
+     "Preguntar por el equipo actual. Proponer renovacion o complemento."),
+    ("Cliente Dormido", "Sin compras recientes. Necesita un motivo para volver.",
+     "Aplicar incentivo o promocion vigente. Preguntar por su ultima compra."),
+    ("Nuevo Potencial", "Cliente en construccion. Poco historial disponible.",
+     "Escuchar antes de vender. Conocer su necesidad real primero."),
 ]
 DEFAULT_PLAYBOOK = ("Perfil comercial asignado.", "Escucha y adapta la propuesta.")
 

@@ -37,9 +37,12 @@ def build_customer_360(clientes_clean: DataFrame, tx: DataFrame, visits: DataFra
 
 
 def dedupe_by_key(df: DataFrame, key: str = "id_cliente") -> DataFrame:
-    """Keep one row per key (the reference takes the first matching row).
+    """Keep one row per key: the smallest by the other columns in order.
 
-    ``dropDuplicates`` is an aggregate with a partial stage, so a duplicated
-    hot key does not gather all its copies in one task.
+    The choice is explicit, so a repeated task keeps the same row. It is an
+    aggregate with a partial stage, so a duplicated hot key does not gather
+    all its copies in one task.
     """
-    return df.where(F.col(key).isNotNull()).dropDuplicates([key])
+    others = [c for c in df.columns if c != key]
+    kept = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+    return kept.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns])

@@ -238,7 +238,7 @@ UNION ALL SELECT 'transacciones_clean', count(*) FROM transacciones
 UNION ALL SELECT 'interacciones_clean', count(*) FROM interacciones""")
 oracle("sink_c360", *C360_CTES)("SELECT 'customer_360' AS tabla, count(*) AS filas FROM customer_360")
 oracle("scan_c360", *C360_CTES)(
-    "SELECT id_cliente, frequency, monetary_total FROM customer_360 WHERE frequency > 0")
+    "SELECT id_cliente, frequency, monetary_total FROM customer_360")
 oracle("fill_numeric", *C360_CTES)("SELECT * FROM customer_360")
 oracle("lookup_client", *C360_CTES)("""
 SELECT a.id_cliente, CASE WHEN c.id_cliente IS NULL THEN 0 ELSE 1 END AS encontrado,

@@ -34,11 +34,15 @@ def normalise_na(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def read_csv(spark: SparkSession, path: str, schema: list[tuple[str, str]]) -> DataFrame:
-    text_schema = ", ".join(f"`{name}` string" for name, _ in schema)
-    raw = (spark.read.schema(text_schema).option("header", True)
-                .option("mode", "PERMISSIVE").csv(path))
-    clean = normalise_na(raw)
+def read_csv(spark: SparkSession, path: str, schema: list[tuple[str, str]],
+             multi_line: bool = True) -> DataFrame:
+    """Columns are matched by the header's names; a quote inside a quoted field
+    is doubled; a quoted field may hold line breaks. ``multi_line=False`` lets
+    Spark split large files whose fields have none.
+    """
+    raw = (spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+                .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
+    clean = normalise_na(raw.select(*[F.col(f"`{name}`") for name, _ in schema]))
     return clean.select(*[F.col(n) if t == "string" else F.col(n).try_cast(t).alias(n)
                           for n, t in schema])
 

@@ -1,14 +1,15 @@
 """Scoring of arriving visits with Structured Streaming.
 
-Visits arrive as parquet files in a folder. The stream casts the visit time
-to ``timestamp`` (the watermark needs it), drops repeated request ids within
-the watermark (``dropDuplicatesWithinWatermark``; state is bounded by the
-watermark, not by the stream's length), and each micro-batch is scored by the
-same batch code as ``scoring.recommend`` (stream-static join with Customer
-360) and written to its own ``batch_id`` partition of a parquet sink, so a
-micro-batch replayed after a failure overwrites itself (exactly-once output). Progress lives in the checkpoint folder,
-so a restarted query resumes where it stopped; ``availableNow`` processes
-what is there and stops.
+Visits arrive as parquet files in a folder. Every visit is answered once,
+however late it is: a micro-batch drops repeated request ids of its own and
+those that an earlier batch has already written to the sink (an anti-join on
+the id column), so nothing depends on the visit date and no state grows with
+the stream. Each micro-batch is scored by the same batch code as
+``scoring.recommend`` and written to its own ``batch_id`` partition of a
+parquet sink; a micro-batch replayed after a failure leaves its own partition
+out of the comparison and overwrites it (exactly-once output). Progress lives
+in the checkpoint folder, so a restarted query resumes where it stopped;
+``availableNow`` processes what is there and stops.
 """
 
 from __future__ import annotations
@@ -24,18 +25,27 @@ from ..sources import sinks
 
 VISIT_STREAM_SCHEMA = ("id_interaccion string, id_cliente string, id_tienda string, "
                        "fecha_visita timestamp_ntz, motivo_visita string, compro_en_visita int")
-WATERMARK = "1 day"
+SINK_ID_SCHEMA = "id_interaccion string, batch_id long"
 
 
-def visit_stream(spark: SparkSession, source_dir: str, watermark: str = WATERMARK,
+def visit_stream(spark: SparkSession, source_dir: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(VISIT_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    s = reader.parquet(source_dir)
-    return (s.withColumn("fecha_visita", F.col("fecha_visita").cast("timestamp"))
-             .withWatermark("fecha_visita", watermark)
-             .dropDuplicatesWithinWatermark(["id_interaccion"]))
+    return reader.parquet(source_dir)
+
+
+def unanswered(batch: DataFrame, sink_dir: str, batch_id: int) -> DataFrame:
+    """The batch's requests, each id once, that no other batch in the sink has answered."""
+    spark = batch.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink_dir)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    one = batch.dropDuplicates(["id_interaccion"])
+    if not path.getFileSystem(conf).exists(path):
+        return one
+    done = spark.read.schema(SINK_ID_SCHEMA).parquet(sink_dir).where(F.col("batch_id") != batch_id)
+    return one.join(done.select("id_interaccion"), "id_interaccion", "left_anti")
 
 
 def write_batch(rows: DataFrame, sink_dir: str, batch_id: int) -> None:
@@ -51,7 +61,7 @@ def write_batch(rows: DataFrame, sink_dir: str, batch_id: int) -> None:
 
 def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                        c360: DataFrame, seg_model: PipelineModel, prop_model: PipelineModel,
-                       dictionary: DataFrame, watermark: str = WATERMARK,
+                       dictionary: DataFrame,
                        max_files_per_trigger: int | None = None) -> None:
     """Run until every file present at start is scored (``availableNow``).
 
@@ -63,10 +73,10 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, chec
     table = "perfiles_" + run.replace("-", "_")
     profiles = scoring.keyed_profiles(c360, scratch_dir(spark, f"profiles-{run}"), table)
     sized_dictionary = bounded_broadcast(dictionary)
-    stream = visit_stream(spark, source_dir, watermark, max_files_per_trigger)
+    stream = visit_stream(spark, source_dir, max_files_per_trigger)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        visits = batch.withColumn("fecha_visita", F.col("fecha_visita").cast("timestamp_ntz"))
+        visits = unanswered(batch, sink_dir, batch_id)
         rec = scoring.recommend(visits, profiles, seg_model, prop_model, sized_dictionary,
                                 sized_dictionary=True)
         write_batch(rec, sink_dir, batch_id)
