@@ -109,3 +109,17 @@ def test_kept_documents_and_empty_table(spark, edge_docs, no_docs):
     kept = nc.keep_first(edge_docs)
     assert kept.columns == edge_docs.columns
     assert kept.count() == nc.classes(edge_docs).where("kept").count() == len({frozenset(bag(t).items()) for _, t in EDGE})
+
+
+def test_texts_that_share_only_a_passage_are_not_all_compared(spark, monkeypatch):
+    """Short texts around one passage meet in bands; their rare shingles keep them apart, near copies among them aside."""
+    r = random.Random(4)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(k, " ".join(passage + [f"q{k}x{j}" for j in range(r.randrange(9, 12))])) for k in range(150)]
+    rows += [(200 + k, rows[k][1] + " end") for k in range(20)]
+    seen = []
+    verify = nc.verified
+    monkeypatch.setattr(nc, "verified", lambda pairs, bags: seen.append(pairs.count()) or verify(pairs, bags))
+    got = nc.classes(make_docs(spark, rows)).collect()
+    assert sorted(((x.doc_id, x.class_id, x.class_size) for x in got), key=str) == brute(rows)
+    assert sum(seen) < 10 * len(rows)

@@ -17,10 +17,15 @@ verified by the exact overlap of their multisets (sum of minima over sum of
 maxima, at least ``THRESHOLD``), and verified links form classes.
 
 Equal multisets are one "text" from the start, so copies cost one row. In a
-band's bucket the text that meets most others is compared with all of them; buckets whose texts
-are then not all in one class go on with the next 3, 12, 48, ... texts as
-pivots, until every pair of a bucket is either in one class or compared. No
-bucket is gathered in one task, and no pair that is linked already is emitted.
+band's bucket the text that meets most others is compared with all of them.
+The texts of buckets that are then not all in one class are grouped again by
+each of their rarest shingles, so many that a pair similar enough shares one
+(``rare_first``; a passage that thousands of texts share is not rare, and
+brings none of them together). In each of these groups about 4, 12, 48, ...
+texts are compared with the others, until every pair of a group is in one
+class, is compared, or can't overlap enough by the weights that lie before
+the shared shingle. No group is gathered in one task, and no pair that is
+linked already is emitted.
 
 Defined results: words are split at ASCII white space, A-Z lower-cased; a text
 of one to four words is one shingle; texts without words are equal to each
@@ -32,7 +37,6 @@ class is kept, one with that id; repeated rows are members each.
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -239,6 +243,59 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def rare_first(bags: DataFrame) -> DataFrame:
+    """(w, tid, n, at, stays): the shingles by which a text of weight n can be found, rarest in these texts first.
+
+    Two texts of similarity t overlap in at least t times the greater weight
+    and 2t / (1 + t) times the smaller one. So with one order of all shingles
+    (rarest first), the first shingle that they share lies in each text's
+    first part: ``at``, the weight before it, leaves room for that overlap.
+    ``stays`` marks the shingles that suffice when the text is the smaller of
+    the two.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for tid, bag in zip(batch.column("tid").to_pylist(), batch.column("bag")):
+                raw = bag.as_py()
+                k = len(raw) // 12
+                count = np.frombuffer(raw, "<u4", k, 8 * k).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(raw, np.int64, k)), pa.array(np.full(k, tid)), pa.array(count), pa.array(np.full(k, count.sum()))],
+                    ["w", "tid", "c", "n"])
+
+    with small_batches(bags.sparkSession):
+        tokens = written(bags.select("tid", "bag").mapInArrow(run, "w long, tid long, c long, n long"), "tokens")
+    often = tokens.groupBy("w").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    before = Window.partitionBy("tid").orderBy("df", "w").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = tokens.join(often, "w", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    ordered = ordered.withColumn("at", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    p, q = THRESHOLD
+    found = ordered.where((F.col("df") > 1) & (F.col("at") * q <= F.col("n") * (q - p)))
+    return found.select("w", "tid", "n", "at", (F.col("at") * (p + q) <= F.col("n") * (q - p)).alias("stays"))
+
+
+def compared(pairs: DataFrame, tried: list[DataFrame], bags: DataFrame) -> DataFrame | None:
+    """The links among new pairs, which are added to ``tried``; None if there are none."""
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    for old in tried:
+        pairs = pairs.join(old, ["a", "b"], "left_anti")
+    pairs = written(pairs, "pairs")
+    if pairs.isEmpty():
+        return None
+    tried.append(pairs)
+    with small_batches(bags.sparkSession):
+        found = written(verified(pairs, bags), "verified")
+    return None if found.isEmpty() else found
+
+
+def split_groups(members: DataFrame, key: str, labels: DataFrame) -> DataFrame:
+    """The members (with ``label``) of the groups that lie in several classes."""
+    own = written(members.join(labels, "tid", "left").withColumn("label", F.coalesce("label", "tid")), "labelled")
+    split = own.groupBy(key).agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other")
+    return own.join(split.select(key), key)
+
+
 def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
     """(tid, label) of the texts that have a link; ``texts`` has tid, digest, bands, doc_id."""
     members = texts.select("tid", F.explode("bands").alias("key"))
@@ -252,29 +309,32 @@ def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = texts.select("tid", "doc_id", "digest").join(buckets.select("tid").distinct(), "tid")
     with small_batches(docs.sparkSession):
         bags = written(multisets(docs, wanted), "bags")
-        tried = [written(buckets.join(heads, "key").where("tid <> pivot").select(F.col("tid").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")]
-        links = [written(verified(tried[0], bags), "verified")]
-    lo = 1
+    tried: list[DataFrame] = []
+    links = bags.select(F.col("tid").alias("a"), F.col("tid").alias("b")).limit(0)
+    first = compared(buckets.join(heads, "key").where("tid <> pivot").select(F.col("tid").alias("a"), F.col("pivot").alias("b")), tried, bags)
+    links = links if first is None else first
+    labels = components(links)
+    # what its first text does not bring into one class: a bucket's texts that share rare shingles
+    open_ = split_groups(buckets.where("n > 2").select("key", "tid"), "key", labels).select("tid").distinct()
+    entries = written(rare_first(bags.join(open_, "tid")), "entries")
+    width = entries.groupBy("w").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("stays").cast("long")).alias("width")).where("size > 1 and width > 0")
+    place = F.pmod(F.xxhash64("tid", "w"), F.col("width"))
+    entries = written(entries.join(width.select("w", "width"), "w").withColumn("place", F.when(F.col("stays"), place)), "entries")
+    lo, hi = 0, 4
     while True:
-        labels = components(reduce(DataFrame.unionByName, links))
-        # buckets with several classes, and their members in order
-        own = buckets.where(F.col("n") > lo).join(labels, "tid", "left").select("key", "tid", "degree", F.coalesce("label", "tid").alias("label"))
-        own = written(own, "labelled")
-        split = own.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other").select("key")
-        open_ = own.join(split, "key").withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "tid")) - 1)
-        open_ = written(open_, "open")
-        hi = lo * 4
-        pivots = open_.where((F.col("place") >= lo) & (F.col("place") < hi)).select("key", F.col("tid").alias("b"), F.col("label").alias("label_b"), F.col("place").alias("place_b"))
-        pairs = open_.join(pivots, "key").where("place > place_b and label <> label_b").select(F.col("tid").alias("a"), "b").distinct()
-        pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if open_.where(F.col("place") > lo).isEmpty():
+        own = written(split_groups(entries.where(F.col("width") > lo), "w", labels), "open")
+        if own.isEmpty():
             return labels
-        if not pairs.isEmpty():
-            tried.append(pairs)
-            with small_batches(docs.sparkSession):
-                links.append(written(verified(pairs, bags), "verified"))
-        lo = hi
+        pivots = own.where((F.col("place") >= lo) & (F.col("place") < hi))
+        pivots = pivots.select("w", F.col("tid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"))
+        room = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
+        enough = room * sum(THRESHOLD) >= (F.col("n") + F.col("n_b")) * THRESHOLD[0]
+        pairs = own.join(pivots, "w").where((F.col("label") != F.col("label_b")) & (F.col("n") >= F.col("n_b")) & enough)
+        found = compared(pairs.select(F.col("tid").alias("a"), "b"), tried, bags)
+        if found is not None:
+            links = links.unionByName(found)
+            labels = components(links)
+        lo, hi = hi, hi * 4
 
 
 def classes(docs: DataFrame) -> DataFrame:
