@@ -1,9 +1,9 @@
 """Training table: one row per store visit, 20 features and the target.
 
 The visits are joined to the (deduplicated) Customer 360 on ``id_cliente``.
-C360 arrives hash-partitioned on that key, so only the visit side shuffles;
-if one customer holds a large share of the visits, AQE's skew-join split
-divides that partition (the left side of a left outer join can be split).
+C360 arrives hash-partitioned on that key, so only the visit side shuffles.
+AQE splits a skewed partition only where both sides end in a shuffle, so a
+customer with a large share of the visits is not divided here.
 """
 
 from __future__ import annotations
