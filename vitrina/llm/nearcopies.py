@@ -37,6 +37,7 @@ class is kept, one with that id; repeated rows are members each.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -225,22 +226,24 @@ def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(tid, label): the smallest id connected with each linked id, by alternating large and small stars."""
+    """(tid, label): the smallest id connected with each linked id, by alternating large and small stars.
+
+    Ends when every id that has a smaller neighbour has no other one: each
+    class is then a star around its smallest id.
+    """
     links = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    before = None
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "stars")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        least = written(least, "stars")
+        if least.where("m < u and n > 1").isEmpty():
+            return links.select(F.col("u").alias("tid"), F.col("v").alias("label"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = written(large, "large")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "stars")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         links = written(small, "links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return links.select(F.col("u").alias("tid"), F.col("v").alias("label"))
-        before = now
 
 
 def rare_first(bags: DataFrame) -> DataFrame:
@@ -278,8 +281,8 @@ def rare_first(bags: DataFrame) -> DataFrame:
 def compared(pairs: DataFrame, tried: list[DataFrame], bags: DataFrame) -> DataFrame | None:
     """The links among new pairs, which are added to ``tried``; None if there are none."""
     pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    for old in tried:
-        pairs = pairs.join(old, ["a", "b"], "left_anti")
+    if tried:
+        pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
     pairs = written(pairs, "pairs")
     if pairs.isEmpty():
         return None
@@ -320,9 +323,10 @@ def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
     width = entries.groupBy("w").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("stays").cast("long")).alias("width")).where("size > 1 and width > 0")
     place = F.pmod(F.xxhash64("tid", "w"), F.col("width"))
     entries = written(entries.join(width.select("w", "width"), "w").withColumn("place", F.when(F.col("stays"), place)), "entries")
-    lo, hi = 0, 4
+    lo, hi, own = 0, 4, None
     while True:
-        own = written(split_groups(entries.where(F.col("width") > lo), "w", labels), "open")
+        # without new links the classes are the same, and so are the groups
+        own = written(split_groups(entries.where(F.col("width") > lo), "w", labels), "open") if own is None else own.where(F.col("width") > lo)
         if own.isEmpty():
             return labels
         pivots = own.where((F.col("place") >= lo) & (F.col("place") < hi))
@@ -333,7 +337,7 @@ def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
         found = compared(pairs.select(F.col("tid").alias("a"), "b"), tried, bags)
         if found is not None:
             links = links.unionByName(found)
-            labels = components(links)
+            labels, own = components(links), None
         lo, hi = hi, hi * 4
 
 
