@@ -226,12 +226,13 @@ def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(tid, label): the smallest id connected with each linked id, by alternating large and small stars.
+    """(tid, label): the smallest id connected with each linked id that isn't it, by alternating large and small stars.
 
-    Ends when every id that has a smaller neighbour has no other one: each
-    class is then a star around its smallest id.
+    ``links`` is a written table of distinct pairs (a, b), a > b. Ends when
+    every id that has a smaller neighbour has no other one: each class is then
+    a star around its smallest id.
     """
-    links = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+    links = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
@@ -246,6 +247,18 @@ def components(links: DataFrame) -> DataFrame:
         links = written(small, "links")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links (a, b): classes are joined as wholes, by the links between their labels."""
+    own = links
+    for end in ("a", "b"):
+        own = own.join(labels.withColumnRenamed("tid", end), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    own = own.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    moved = components(written(own, "links"))
+    to = moved.select(F.col("tid").alias("label"), F.col("label").alias("to"))
+    old = labels.join(to, "label", "left").select("tid", F.coalesce("to", "label").alias("label"))
+    return written(old.unionByName(moved), "labels")
+
+
 def rare_first(bags: DataFrame) -> DataFrame:
     """(w, tid, n, at, stays): the shingles by which a text of weight n can be found, rarest in these texts first.
 
@@ -313,10 +326,9 @@ def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
     with small_batches(docs.sparkSession):
         bags = written(multisets(docs, wanted), "bags")
     tried: list[DataFrame] = []
-    links = bags.select(F.col("tid").alias("a"), F.col("tid").alias("b")).limit(0)
     first = compared(buckets.join(heads, "key").where("tid <> pivot").select(F.col("tid").alias("a"), F.col("pivot").alias("b")), tried, bags)
-    links = links if first is None else first
-    labels = components(links)
+    none = members.select("tid", F.col("tid").alias("label")).limit(0)
+    labels = none if first is None else components(first)
     # what its first text does not bring into one class: a bucket's texts that share rare shingles
     open_ = split_groups(buckets.where("n > 2").select("key", "tid"), "key", labels).select("tid").distinct()
     entries = written(rare_first(bags.join(open_, "tid")), "entries")
@@ -336,8 +348,7 @@ def text_classes(texts: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = own.join(pivots, "w").where((F.col("label") != F.col("label_b")) & (F.col("n") >= F.col("n_b")) & enough)
         found = compared(pairs.select(F.col("tid").alias("a"), "b"), tried, bags)
         if found is not None:
-            links = links.unionByName(found)
-            labels, own = components(links), None
+            labels, own = merged(labels, found), None
         lo, hi = hi, hi * 4
 
 
