@@ -4,9 +4,10 @@ Each feature set is ONE ``groupBy('id_cliente').agg(...)``: every aggregate
 here (count, sum, max, mode, collect_set of a bounded category domain) has a
 partial form, so each map task ships at most one row per customer per
 partition and a customer holding a third of all rows costs no more shuffle
-than any other. The reference date (max over the whole table) is a scalar
-aggregate without any shuffle (partial max per task, one final row), used
-as a scalar subquery: Spark runs it once and inlines the value.
+than any other. The reference date (max over the whole table, rows without a
+customer included) is a scalar subquery: Spark runs it once and inlines the
+value. For purchases it is taken from the checkpointed per-customer rows, so
+the purchases are read and joined once.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import decimal_sum, whole_days
+from ..session import ensure_checkpoint_dir
 
 CREDIT_METHOD = "credito_propio_retail"
 
@@ -64,7 +66,10 @@ def tx_aggregates(tx: DataFrame) -> DataFrame:
 
 
 def build_tx_features(tx: DataFrame) -> DataFrame:
-    agg = _with_reference(tx_aggregates(tx), tx, "fecha_compra", "_fecha_ref")
+    # written once: the last date of all purchases is that of the per-customer rows, without a second scan
+    ensure_checkpoint_dir(tx.sparkSession)
+    agg = tx_aggregates(tx).checkpoint()
+    agg = _with_reference(agg, agg, "_ultima_compra", "_fecha_ref")
     return (agg.where(F.col("id_cliente").isNotNull())
                .select(
                    "id_cliente",

@@ -311,9 +311,8 @@ def _drift_sink(spark, sf_dir):
 # --- segmentation (2.7) -------------------------------------------------------------
 from ..operators import segmentation  # noqa: E402
 
-# Small search settings for the registered queries (the pipeline defaults are
-# the reference's: 10 restarts, k = 2..7).
-Q_N_INIT = 2
+# The reference's restarts (10) and k range (2..7).
+Q_N_INIT = segmentation.N_INIT
 Q_K = 5
 
 
@@ -333,7 +332,9 @@ def _kmeans_fit(spark, sf_dir):
 
 def _sweep(spark, sf_dir):
     _, scaled = segmentation.prepare(c360(spark, sf_dir).checkpoint())
-    return segmentation.k_sweep(scaled, n_init=Q_N_INIT)
+    result = segmentation.k_sweep(scaled, n_init=Q_N_INIT)  # a small local table: the fits have run
+    scaled.unpersist()
+    return result
 
 
 query("k_sweep")(_sweep)

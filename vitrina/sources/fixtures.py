@@ -82,12 +82,11 @@ def transacciones(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders").alias("o")
     p = _read(spark, sf_dir, "part").alias("p")
     j = (li.join(o, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
-           .join(p, F.col("l.l_partkey") == F.col("p.p_partkey"))
-           .where(F.col("o.o_custkey") % 10 != 0))
+           .join(p, F.col("l.l_partkey") == F.col("p.p_partkey")))
     return j.select(
         F.concat(F.col("l.l_orderkey").cast("string"), F.lit("-"),
                  F.col("l.l_linenumber").cast("string")).alias("id_transaccion"),
-        _cli(F.col("o.o_custkey")).alias("id_cliente"),
+        F.when(F.col("o.o_custkey") % 10 != 0, _cli(F.col("o.o_custkey"))).alias("id_cliente"),
         F.col("l.l_shipdate").alias("fecha_compra"),
         _case(F.col("p.p_type"), TYPE_TO_CATEGORY, "otros").alias("categoria_producto"),
         F.col("l.l_extendedprice").alias("monto_pago"),
@@ -139,7 +138,7 @@ clientes AS (
 ),
 transacciones AS (
   SELECT concat(CAST(l.l_orderkey AS STRING), '-', CAST(l.l_linenumber AS STRING)) AS id_transaccion,
-    concat('cli_', CAST(o.o_custkey AS STRING)) AS id_cliente, l.l_shipdate AS fecha_compra,
+    CASE WHEN o.o_custkey % 10 <> 0 THEN concat('cli_', CAST(o.o_custkey AS STRING)) END AS id_cliente, l.l_shipdate AS fecha_compra,
     CASE p.p_type WHEN 'ECONOMY' THEN 'refrigeracion' WHEN 'STANDARD' THEN 'refrigeracion'
       WHEN 'SMALL' THEN 'pequenos_electrodomesticos' WHEN 'MEDIUM' THEN 'lavado'
       WHEN 'LARGE' THEN 'coccion' ELSE 'otros' END AS categoria_producto,
@@ -149,7 +148,6 @@ transacciones AS (
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE o.o_custkey % 10 <> 0
 ),
 interacciones AS (
   SELECT concat('int_', CAST(event_id AS STRING)) AS id_interaccion,
