@@ -170,3 +170,35 @@ def test_importance_report_has_unique_columns_and_ranks_by_auc_drop(spark):
     assert len(df.columns) == len(set(df.columns))
     drops = [r["importance"] for r in df.collect()]
     assert len(drops) == 20 and drops == sorted(drops, reverse=True)
+
+
+def test_model_queries_run_the_references_budgets(spark, monkeypatch):
+    from vitrina.plans import catalog, training
+    seen, real = {}, propensity.gbt_pipeline
+
+    def search(table, trials, parallelism, n_folds):
+        seen.update(trials=trials, n_folds=n_folds)
+        return [(p, float(i == 7)) for i, p in enumerate(trials)]
+
+    def pipeline(params=None, seed=propensity.SEED):
+        seen["fitted"] = params
+        return real({"n_estimators": 2}, seed)
+
+    def compare(table, n_trees=100, n_folds=5):
+        seen["compared"] = n_trees
+
+    def shapley(model, table, samples=8):
+        seen["samples"] = samples
+
+    monkeypatch.setattr(propensity, "search", search)
+    monkeypatch.setattr(propensity, "gbt_pipeline", pipeline)
+    monkeypatch.setattr(propensity, "compare_models", compare)
+    monkeypatch.setattr(explain, "shapley", shapley)
+    monkeypatch.setattr(training, "training_flow", lambda spark, raw, base, cfg: seen.update(flow=cfg))
+    catalog.QUERIES["shapley"](spark, SMALL)
+    assert len(seen["trials"]) == 50 and seen["n_folds"] == 5 and seen["samples"] == 8
+    assert seen["trials"] == propensity.sample_params(50) and min(p["n_estimators"] for p in seen["trials"]) >= 50
+    assert seen["fitted"] == seen["trials"][7]
+    catalog.QUERIES["model_compare"](spark, SMALL)
+    catalog.QUERIES["run_summary"](spark, SMALL)
+    assert seen["compared"] == 100 and seen["flow"] == training.FlowConfig()

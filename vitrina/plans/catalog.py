@@ -375,14 +375,11 @@ def _sink_c360_seg(spark, sf_dir):
 
 # --- propensity model (2.8) and explanation (2.10) ---------------------------------
 from ..operators import explain, propensity  # noqa: E402
+from . import training  # noqa: E402
 
-# Query-sized budgets (the pipeline runs the reference's 50 trials x 5 folds
-# with 50..300 trees): few trees, few trials, two Shapley samples.
-Q_PARAMS = {"n_estimators": 20, "max_depth": 3, "learning_rate": 0.1}
-Q_TRIALS = 2
-Q_SEARCH_SPACE = dict(propensity.SEARCH_SPACE, n_estimators=(10, 30, "int"))
-Q_TREES_COMPARE = 20
-Q_SHAP_SAMPLES = 2
+# The reference's budgets: 50 trials x 5 folds over its ranges (50..300 trees);
+# the fitted model has the best trial's parameters.
+Q_FLOW = training.FlowConfig()
 
 
 def model_table(spark, sf_dir):
@@ -391,14 +388,29 @@ def model_table(spark, sf_dir):
     return propensity.add_folds(vd).checkpoint()
 
 
+def search_results(tbl):
+    trials = propensity.sample_params(Q_FLOW.n_trials, Q_FLOW.seed, Q_FLOW.search_space)
+    return propensity.search(tbl, trials, Q_FLOW.parallelism, Q_FLOW.n_folds)
+
+
+def best_params(tbl):
+    return propensity.best_trial(search_results(tbl))[0]
+
+
 def fitted(spark, sf_dir):
     tbl = model_table(spark, sf_dir)
-    return propensity.gbt_pipeline(Q_PARAMS).fit(tbl), tbl
+    return propensity.gbt_pipeline(best_params(tbl), Q_FLOW.seed).fit(tbl), tbl
+
+
+def best_cv(tbl):
+    """(parameters, AUC summary) of the best trial."""
+    params = best_params(tbl)
+    fold_auc = propensity.cv_auc(tbl, lambda: propensity.gbt_pipeline(params, Q_FLOW.seed), Q_FLOW.n_folds)
+    return params, propensity.cv_summary(fold_auc)
 
 
 query("folds")(lambda s, d: model_table(s, d).select(dataset.KEY, dataset.TARGET, "fold"))
-query("cv_auc")(lambda s, d: propensity.cv_summary(propensity.cv_auc(
-    model_table(s, d), lambda: propensity.gbt_pipeline(Q_PARAMS))))
+query("cv_auc")(lambda s, d: best_cv(model_table(s, d))[1])
 
 
 @query("gbt_fit")
@@ -414,9 +426,7 @@ def _score(spark, sf_dir):
 
 
 def _hpo(spark, sf_dir):
-    tbl = model_table(spark, sf_dir)
-    trials = propensity.sample_params(Q_TRIALS, space=Q_SEARCH_SPACE)
-    return propensity.search(tbl, trials, parallelism=2)
+    return search_results(model_table(spark, sf_dir))
 
 
 @query("hpo")
@@ -426,7 +436,7 @@ def _hpo_query(spark, sf_dir):
     return spark.createDataFrame(rows, "number int, params map<string,string>, auc_mean double")
 
 
-query("model_compare")(lambda s, d: propensity.compare_models(model_table(s, d), n_trees=Q_TREES_COMPARE))
+query("model_compare")(lambda s, d: propensity.compare_models(model_table(s, d)))
 
 
 @query("model_roundtrip")
@@ -453,7 +463,7 @@ def _importance(spark, sf_dir):
 
 def _shap(spark, sf_dir):
     model, tbl = fitted(spark, sf_dir)
-    return explain.shapley(model, tbl, samples=Q_SHAP_SAMPLES), model, tbl
+    return explain.shapley(model, tbl), model, tbl
 
 
 query("shapley")(lambda s, d: _shap(s, d)[0])
@@ -525,7 +535,8 @@ def serving_artifacts(spark, sf_dir):
 
     def propensity_side():
         vd, dictionary = dataset.build_visit_dataset(r.interacciones, c)
-        return propensity.gbt_pipeline(Q_PARAMS).fit(vd), dictionary
+        tbl = propensity.add_folds(vd).checkpoint()
+        return propensity.gbt_pipeline(best_params(tbl), Q_FLOW.seed).fit(tbl), dictionary
 
     # the two models only share the checkpointed Customer 360: fit both at once
     seg_model, (prop_model, dictionary) = run_concurrently(
@@ -535,7 +546,7 @@ def serving_artifacts(spark, sf_dir):
 
 @query("nba_segment")
 def _nba_segment(spark, sf_dir):
-    c, seg_model, _, _ = serving_artifacts(spark, sf_dir)
+    seg_model = segmentation.segment_model(c360(spark, sf_dir).checkpoint(), Q_K, n_init=Q_N_INIT)
     looked = _found_requests(spark, sf_dir).where(F.col("encontrado") == 1)
     return segmentation.assign_segments(looked, seg_model).select("id_interaccion", "segmento_id",
                                                                   "segmento_nombre")
@@ -559,15 +570,13 @@ def _nba_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/sink")
 
 # --- run records and the whole flow (2.1: O-S10, O-S11, O-S13) ------------------------
-from . import training  # noqa: E402
-
-
 @query("run_log")
 def _run_log(spark, sf_dir):
     tbl = model_table(spark, sf_dir)
-    cv = propensity.cv_summary(propensity.cv_auc(tbl, lambda: propensity.gbt_pipeline(Q_PARAMS))).first()
+    params, cv = best_cv(tbl)
+    cv = cv.first()
     base = scratch_dir(spark, f"runs-{sinks.new_run_id()}")
-    return sinks.log_run(spark, base, "propension_compra_visita", Q_PARAMS, cv["auc_mean"], cv["auc_std"],
+    return sinks.log_run(spark, base, Q_FLOW.experiment, params, cv["auc_mean"], cv["auc_std"],
                          f"{base}/models/propension")
 
 
@@ -579,6 +588,5 @@ def _trial_log(spark, sf_dir):
 
 @query("run_summary")
 def _run_summary(spark, sf_dir):
-    cfg = training.FlowConfig(n_trials=Q_TRIALS, n_init=1, search_space=Q_SEARCH_SPACE, parallelism=2)
     base = scratch_dir(spark, f"flow-{sinks.new_run_id()}")
-    return training.training_flow(spark, raw(spark, sf_dir), base, cfg)
+    return training.training_flow(spark, raw(spark, sf_dir), base, Q_FLOW)
