@@ -69,3 +69,19 @@ def test_mean_of_vectors_equals_a_plain_loop():
     block = quality.Block(texts)
     plain = [float(share @ value[found]) if len(found) else 0.0 for found, share in block.documents()]
     assert np.allclose(block.means(value), plain, atol=1e-6)
+
+
+def test_four_thousand_labelled_rows_are_used(spark):
+    n = 6_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality", "0 AS toxic")
+    assert quality.training_rows(docs, labels).count() == 4_000
+
+
+def test_counts_keep_their_values_in_few_bytes():
+    texts = ["a " * 70_000 + "b", "", "alpha beta alpha"]
+    block = quality.Block(texts)
+    for (found, count), (same, share) in zip(block.counts(), block.documents()):
+        assert np.array_equal(found, same) and np.array_equal(quality.shares(count), share)
+        assert count.dtype == (np.uint32 if len(found) and count.max() > 65_535 else np.uint8)
+    assert next(block.counts())[1].max() >= 69_999

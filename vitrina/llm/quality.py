@@ -22,6 +22,8 @@ label 1 (0.5 without labels); repeated rows are scored each.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +36,7 @@ BUCKETS, DIM = 1 << 16, 8
 #: Features for the distance to the same word before: one for each power of two, the last for none.
 DISTANCES = 8
 NGRAMS = (2, 3, 4)
-TRAIN_ROWS = 3_000
+TRAIN_ROWS = 4_000
 #: Characters of text that a task handles at a time.
 BLOCK_CHARS = 1_500_000
 EPOCHS, RATE, SEED = 5, 1.0, 11
@@ -114,8 +116,8 @@ class Block:
         count = np.bincount(self.doc, self.size[self.words] + 1, self.n) + np.bincount(self.pair_doc, minlength=self.n)
         return total / np.maximum(count, 1)
 
-    def documents(self):
-        """Distinct buckets of each document and their shares."""
+    def counts(self):
+        """Distinct buckets of each document and their counts, in as few bytes as hold them."""
         first = np.cumsum(self.size) - self.size
         ends, pair_ends = np.cumsum(np.bincount(self.doc, minlength=self.n)), np.cumsum(np.bincount(self.pair_doc, minlength=self.n))
         lo = pair_lo = 0
@@ -123,19 +125,28 @@ class Block:
             words = self.words[lo:hi]
             own = [self.buckets[first[w]: first[w] + self.size[w]] for w in words]
             found, count = np.unique(np.concatenate([*own, self.pairs[pair_lo:pair_hi], self.gaps[lo:hi]]).astype(np.int32), return_counts=True)
-            yield found, (count / max(count.sum(), 1)).astype(np.float32)
+            yield found, count.astype(np.min_scalar_type(int(count.max(initial=0))))
             lo, pair_lo = hi, pair_hi
 
+    def documents(self):
+        """Distinct buckets of each document and their shares."""
+        for found, count in self.counts():
+            yield found, shares(count)
+
+
+def shares(count: np.ndarray) -> np.ndarray:
+    return (count.astype(np.float64) / max(int(count.sum()), 1)).astype(np.float32)
+
 
 def descend(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED):
-    """Bucket vectors, layer and bias after stochastic gradient descent."""
+    """Bucket vectors, layer and bias after stochastic gradient descent; rows are buckets and counts."""
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / DIM, 1 / DIM, (BUCKETS + DISTANCES, DIM)).astype(np.float32)
     layer, bias = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
     steps, n = epochs * len(rows), 0
     for _ in range(epochs):
         for k in draw.permutation(len(rows)):
-            found, share = rows[k]
+            found, share = rows[k][0], shares(rows[k][1])
             now = np.float32(rate * (1 - n / steps))
             n += 1
             mean = share @ vectors[found]
@@ -174,21 +185,26 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS):
     def features(batches):
         for batch in batches:
             for y, texts in blocks([batch.column("label").to_pylist(), batch.column("text").to_pylist()], BLOCK_CHARS):
-                found, share = zip(*Block(texts).documents()) if texts else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([s.tobytes() for s in share], pa.binary())], ["label", "found", "share"])
+                found, count = zip(*Block(texts).counts()) if texts else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([c.tobytes() for c in count], pa.binary())], ["label", "found", "count"])
 
-    def learn(table):
-        y = np.array(table["label"].to_pylist(), np.int64)
-        rows = [(np.frombuffer(a.as_buffer(), np.int32), np.frombuffer(b.as_buffer(), np.float32)) for a, b in zip(table["found"], table["share"])]
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, rows = [], []
+        for batch in batches:
+            y += batch.column("label").to_pylist()
+            for a, b in zip(batch.column("found").to_pylist(), batch.column("count").to_pylist()):
+                found = np.frombuffer(a, np.int32)
+                rows.append((found, np.frombuffer(b, f"u{len(b) // max(len(found), 1) or 1}")))
+        y = np.array(y, np.int64)
         both = 0 < y.sum() < len(y)
         if both:
             vectors, layer, bias = descend(rows, y)
             value, constant = vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0])
         else:
             value, constant = np.zeros(0, np.float32), float("inf") if y.all() else -float("inf")
-        return pa.table({"value": pa.array([value.astype(np.float32).tobytes()], pa.binary()), "constant": [constant]})
+        yield pa.RecordBatch.from_pydict({"value": pa.array([value.astype(np.float32).tobytes()], pa.binary()), "constant": pa.array([constant], pa.float64())})
 
-    rows = training_rows(docs, labels, bound).mapInArrow(features, "label int, found binary, share binary")
+    rows = training_rows(docs, labels, bound).mapInArrow(features, "label int, found binary, count binary")
     model = rows.groupBy().applyInArrow(learn, "value binary, constant double").collect()
     if not model:
         return np.zeros(BUCKETS + DISTANCES, np.float32), 0.0
