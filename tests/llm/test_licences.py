@@ -51,3 +51,19 @@ def test_edge_rows(spark, edge_docs, no_docs, model):
 def test_no_python_in_the_plan(spark, edge_docs, model):
     plan = licences.scan(edge_docs, model)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version {} of the License, or
+(at your option) any later version."""
+
+
+def test_short_names_and_wrapped_notices(spark, model):
+    rows = [(1, "Released under CC0 1.0 Universal."), (2, "x\nCC0 1.0 Universal"), (3, f"Some prose.\n \n{GPL.format(3)}\n\nMore prose."),
+            (4, GPL.format(2)), (5, f"Released under the MIT License.\n{GPL.format(3)}"), (6, "Er kam mit dem Zug.\nMIT IHM KAM NIEMAND."),
+            (7, "She has a license to drive.\nThe warranty of this car ended.\nNobody had the permission."),
+            (8, "Released under the GNU LGPL, version 3."), (9, "Released under the MPL, version 2.0.")]
+    got = {r.doc_id: r.paragraphs for r in licences.scan(make_docs(spark, rows), model).collect()}
+    # the third line of the wrapped header is clear by itself only in version 2
+    assert got == {1: "0:CC0-1.0", 2: "1:CC0-1.0", 3: "2:GPL-3.0", 4: "2:GPL-2.0", 5: "0:MIT,1:GPL-3.0", 6: "", 7: "", 8: "0:LGPL-3.0", 9: "0:MPL-2.0"}

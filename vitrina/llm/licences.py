@@ -1,7 +1,8 @@
 """Licence scan by a trained paragraph classifier, in DataFrame operations only.
 
-Every line of every document is a paragraph. Lines without any cue word of the
-notices are unknown by definition; the others get sparse hashed features (words
+Every line of every document is a paragraph, and so are the lines between two
+blank lines, joined, for notices that are wrapped. Paragraphs without any cue
+word of the notices or name of a family are unknown by definition; the others get sparse hashed features (words
 and word pairs), and a multinomial logistic regression names a licence family
 or "unknown". It is trained on altered copies of template notices, on ordinary
 lines of the corpus and on sentences that use the same words for other things.
@@ -12,7 +13,12 @@ templates confirms it.
 Defined results: a null or empty text has no paragraph; a document's families
 are listed in alphabetical order, its lines (from 0) in text order; two
 families that are equally likely go to the first in the list; repeated rows
-are scanned each; an empty table gives no rows.
+are scanned each; an empty table gives no rows. A line that overlaps another
+family as much as its own is not clear (a part of a wrapped GPL header, say):
+the lines between the blank lines around it, without the clear ones, are joined
+and scored, and a clear result stands at the first of them with a cue. A line
+that isn't clear belongs to a clear notice of such a family between the same
+blank lines; without one it keeps its own.
 """
 
 from __future__ import annotations
@@ -57,6 +63,7 @@ TEMPLATES = {
     "CC0-1.0": [
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
         "Released into the public domain under CC0 1.0 Universal.",
+        "Released under CC0 1.0 Universal.",
         "SPDX-License-Identifier: CC0-1.0",
     ],
     "GPL-2.0": [
@@ -76,6 +83,7 @@ TEMPLATES = {
     ],
     "LGPL-3.0": [
         "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "Released under the GNU LGPL, version 3.",
         "SPDX-License-Identifier: LGPL-3.0-only",
     ],
     "MIT": [
@@ -87,6 +95,7 @@ TEMPLATES = {
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "Released under the MPL, version 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ],
 }
@@ -106,10 +115,13 @@ OTHER = [
     "Copyright law protects original works of authorship.",
     "All license plates must be returned to the office before moving.",
 ]
-CUE = r"(?i)licen[cs]e|copyright|warrant|redistribut|permission|public domain|creative commons|\bGPL|\bCC[ -]?BY"
+#: First parts of the families' names; those that are words of other languages too count only as they are written.
+NAMES = sorted({k.split("-")[0] for k in TEMPLATES} - {"CC", "ISC", "MIT"})
+CUE = rf"(?i:licen[cs]e|copyright|warrant|redistribut|permission|public domain|creative commons|spdx|mozilla|\bCC[ -]?BY|\b(?:{'|'.join(NAMES)}))|\b(?:ISC|MIT)\b"
 #: Features, altered copies of each sentence, ordinary lines (bound), precision asked, overlap asked.
 BUCKETS, COPIES, PLAIN_LINES, PRECISION, OVERLAP = 1 << 13, 60, 3_000, 0.99, 0.5
 LABELS = [UNKNOWN, *TEMPLATES]
+CLEAR = "size(tied) = 1"
 
 
 def words(paragraph: Column) -> Column:
@@ -155,21 +167,29 @@ class Model:
         self.fitted, self.threshold = fitted, threshold
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """Add ``family`` (an index into LABELS), ``probability`` and ``overlap``."""
+        """Add ``family`` (an index into LABELS), ``probability``, ``overlap`` and ``tied`` (the families that overlap as much, its own too)."""
         rows = self.fitted.transform(vectors(rows)).withColumn("p", vector_to_array("probability"))
         rows = rows.withColumn("family", F.col("prediction").cast("int")).withColumn("probability", F.array_max("p"))
-        return rows.withColumn("overlap", overlap(F.col("tokens"), F.col("family"))).drop("p", "rawPrediction", "prediction", "features")
+        rows = rows.withColumn("o", overlaps(F.col("tokens"))).withColumn("overlap", F.element_at("o", F.col("family") + 1))
+        rows = rows.withColumn("tied", F.filter(F.transform("o", lambda x, k: F.when(x >= F.col("overlap"), k)), lambda k: k.isNotNull()))
+        return rows.drop("p", "o", "rawPrediction", "prediction", "features")
 
+    def find(self, rows: DataFrame) -> DataFrame:
+        """The paragraphs that a family is found in."""
+        return self.predict(rows).where((F.col("family") > 0) & (F.col("probability") >= self.threshold) & (F.col("overlap") >= OVERLAP))
 
-def overlap(tokens: Column, family: Column) -> Column:
-    """Largest share of word pairs that a paragraph and a template of the family have in common, of the shorter one."""
+
+def overlaps(tokens: Column) -> Column:
+    """For each family, the largest share of word pairs that a paragraph and a template have in common, of the shorter one."""
     def literal(own):
         return F.array(*(F.array_distinct(pairs(words(F.lit(t)))) for t in own))
 
     templates = F.array(F.array().cast("array<array<string>>"), *(literal(own) for own in TEMPLATES.values()))
     own = F.array_distinct(pairs(tokens))
-    shares = F.transform(F.element_at(templates, family + 1), lambda t: F.size(F.array_intersect(own, t)) / F.greatest(F.least(F.size(own), F.size(t)), F.lit(1)))
-    return F.coalesce(F.array_max(shares), F.lit(0.0))
+    def share(t):
+        return F.size(F.array_intersect(own, t)) / F.greatest(F.least(F.size(own), F.size(t)), F.lit(1))
+
+    return F.transform(templates, lambda family: F.coalesce(F.array_max(F.transform(family, share)), F.lit(0.0)))
 
 
 def fit(docs: DataFrame) -> Model:
@@ -188,16 +208,36 @@ def fit(docs: DataFrame) -> Model:
     return Model(fitted, max(threshold, 0.3))
 
 
+def joined(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row, first, line, paragraph): lines between blank lines, joined without those that are clear by themselves."""
+    clear = found.where(CLEAR).groupBy("row").agg(F.collect_set("line").alias("clear"))
+    blocks = rows.select("row", F.explode("blocks").alias("b")).select("row", "b.*").join(clear, "row", "left")
+    rest = F.filter(F.transform("own", lambda p, i: F.struct((F.col("first") + i).alias("line"), p.alias("paragraph"))),
+                    lambda x: F.coalesce(~F.array_contains("clear", x["line"]), F.lit(True)))
+    blocks = blocks.withColumn("rest", rest).where(F.size("rest") > 1)
+    cues = F.filter("rest", lambda x: x["paragraph"].rlike(CUE))
+    return blocks.select("row", "first", F.get(cues, F.lit(0))["line"].alias("line"), F.array_join(F.transform("rest", lambda x: x["paragraph"]), " ").alias("paragraph")).where("line IS NOT NULL")
+
+
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per document: doc_id, n_paragraphs found, families, paragraphs (line:family)."""
     docs = id_text(docs)
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda p, i: F.struct(i.alias("line"), p.alias("paragraph"))), lambda x: x["paragraph"].rlike(CUE))
-    may = F.when(F.col("text").rlike(CUE), lines).otherwise(F.array().cast("array<struct<line:int,paragraph:string>>"))
-    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", may.alias("lines")), "lines")
+    every = F.transform(F.split("text", "\n"), lambda p, i: F.struct(i.alias("line"), p.alias("paragraph")))
+    may = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.when(F.col("text").rlike(CUE), every).otherwise(F.array().cast("array<struct<line:int,paragraph:string>>")).alias("every"))
+    may = may.withColumn("blank", F.concat(F.array(F.lit(-1)), F.transform(F.filter("every", lambda x: F.trim(F.translate(x["paragraph"], "\t\r", "  ")) == ""), lambda x: x["line"]), F.array(F.size("every"))))
+    cues = F.transform(F.filter("every", lambda x: x["paragraph"].rlike(CUE)), lambda x: x.withField("first", F.array_max(F.filter("blank", lambda b: b < x["line"])) + 1))
+    spans = F.filter(F.zip_with(F.expr("slice(blank, 1, size(blank) - 1)"), F.expr("slice(blank, 2, size(blank))"), lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("last"))), lambda x: x["last"] > x["first"])
+    blocks = F.transform(spans, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"), F.transform(F.slice("every", x["first"] + 1, x["last"] - x["first"] + 1), lambda p: p["paragraph"]).alias("own")))
+    blocks = F.filter(blocks, lambda b: F.exists(b["own"], lambda p: p.rlike(CUE)))
+    rows = written(may.select("row", "doc_id", cues.alias("lines"), blocks.alias("blocks")), "lines")
     model = model or fit(docs)
     names = F.array(*map(F.lit, LABELS))
-    found = model.predict(rows.select("row", F.explode("lines").alias("l")).select("row", "l.*"))
-    found = found.where((F.col("family") > 0) & (F.col("probability") >= model.threshold) & (F.col("overlap") >= OVERLAP))
+    lines = written(model.find(rows.select("row", F.explode("lines").alias("l")).select("row", "l.*")).select("row", "first", "line", "family", "tied"), "found-lines")
+    wrapped = written(model.find(joined(lines, rows)).where(CLEAR).select("row", "first", "line", "family"), "found-blocks")
+    clear = lines.where(CLEAR).drop("tied").unionByName(wrapped)
+    owners = clear.groupBy("row", "first").agg(F.collect_set("family").alias("owners"))
+    alone = lines.where(f"NOT {CLEAR}").join(owners, ["row", "first"], "left").where(~F.coalesce(F.arrays_overlap("tied", "owners"), F.lit(False)))
+    found = clear.unionByName(alone.select(clear.columns))
     per_row = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("line", names[F.col("family")].alias("family")))).alias("found"))
     out = rows.select("row", "doc_id").join(per_row, "row", "left")
     none = F.array().cast("array<struct<line:int,family:string>>")
