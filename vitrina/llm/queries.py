@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitrina.llm import bpe, dedup, language, licences, nearcopies, packing, pii, prefixes, quality, suffixes, topk
+from vitrina.llm import bpe, dedup, doc_rules, language, licences, nearcopies, packing, pii, prefixes, quality, suffixes, topk
 
 
 def vocab_path(name: str = "byte_bpe_50k.json") -> str:
@@ -61,13 +61,18 @@ def op10_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op11_quality_rules(spark, sf_dir):
+    return doc_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_pii, op3_language_model, op4_suffix_dedup, op5_bpe,
-    op6_packing, op7_quality, op8_minhash, op9_licences, op10_topk, op13_prefix_trie)}
+    op6_packing, op7_quality, op8_minhash, op9_licences, op10_topk, op11_quality_rules,
+    op13_prefix_trie)}
 
 ORACLES = {
     "op1_exact_dedup": """
