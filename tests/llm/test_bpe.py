@@ -35,6 +35,27 @@ def test_ids_and_text_equal_the_library(reference):
         lo = hi
 
 
+@pytest.mark.parametrize("template", ["{c}'s ok", "a{c}'re", " {c}1", "{c}{c} {c}", "x {c} ", "1{c}a"])
+def test_every_code_point_equals_the_library(reference, template):
+    points = [*range(1, 0xD800), *range(0xE000, 0x110000, 7), *range(0x10000, 0x20000)]
+    vocab = bpe.vocabulary(vocab_path())
+    for lo in range(0, len(points), 40_000):
+        texts = [template.format(c=chr(p)) for p in points[lo: lo + 40_000]]
+        ids, ends = bpe.encode_block(vocab, texts)
+        want = [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
+        assert ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+LONG = [" " * 2_000_000 + "x", "x" + "\n" * 2_000_000, " \n" * 600_000 + " end", "ab" * 1_000_000, "\u3000" * 800_000 + "'s", "a" + " " * 30_000 + "<|endoftext|>" + " " * 30_000]
+
+
+@pytest.mark.parametrize("k", range(len(LONG)))
+def test_very_long_runs_equal_the_library(reference, k):
+    ids, _ = bpe.encode_block(bpe.vocabulary(vocab_path()), [LONG[k]])
+    assert ids.tolist() == reference.encode(LONG[k], add_special_tokens=False).ids
+
+
 def test_query_rows(spark, edge_docs, no_docs, reference):
     got = bpe.round_trip(edge_docs, vocab_path()).collect()
     want = []

@@ -17,11 +17,11 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from vitrina.llm.shared import id_text
@@ -39,6 +39,33 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+@lru_cache(maxsize=None)
+def library_class(pattern: str) -> str:
+    """The characters that a one-character pattern of the tokenizers library matches, as ranges of a character class.
+
+    Letters, numbers and blanks are those of the library's own Unicode
+    tables: its splitter removes them from a text of all code points.
+    """
+    from tokenizers import Regex, pre_tokenizers
+
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    rest = pre_tokenizers.Split(Regex(f"{pattern}+"), "removed").pre_tokenize_str("".join(map(chr, points)))
+    out, at = [], 0
+    for lo, hi in [*(span for _, span in rest), (len(points), len(points))]:
+        if lo > at:
+            out.append(f"\\U{points[at]:08x}-\\U{points[lo - 1]:08x}")
+        at = hi
+    return "".join(out)
+
+
+@lru_cache(maxsize=1)
+def word_pattern() -> re.Pattern:
+    """``WORDS`` with the library's classes spelled out."""
+    letter, number, blank = (library_class(p) for p in (r"\p{L}", r"\p{N}", r"\s"))
+    out = WORDS.replace(r"[^\s\p{L}\p{N}]", f"[^{blank}{letter}{number}]").replace(r"(?!\S)", f"(?![^{blank}])")
+    return re.compile(out.replace(r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]").replace(r"\s", f"[{blank}]"))
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary file of the tokenizers library."""
 
@@ -64,8 +91,8 @@ class Vocabulary:
         self.merged = np.array([ids[a + b] for a, b in merges], np.int64)
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
-        self.words = regex.compile(WORDS)
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.words = word_pattern()
+        self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it has none."""
