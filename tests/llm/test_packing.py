@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -6,10 +7,11 @@ import numpy as np
 import pytest
 
 from vitrina.llm import packing
+from vitrina.llm.bpe import library_class
 from vitrina.llm.queries import vocab_path
 
-from .conftest import EDGE
-from .test_bpe import random_texts, reference  # noqa: F401
+from .conftest import EDGE, make_docs
+from .test_bpe import LONG, random_texts, reference  # noqa: F401
 
 
 def check_layout(rows, capacity):
@@ -66,6 +68,33 @@ def test_fast_encoder_equals_the_library(reference):  # noqa: F811
         assert encoder.encode_to_numpy(t, allowed_special=set(encoder._special_tokens)).tolist() == reference.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("k", range(len(LONG)))
+def test_very_long_runs_equal_the_library(reference, k):  # noqa: F811
+    assert packing.encode_text(packing.fast_encoder(vocab_path()), LONG[k]).tolist() == reference.encode(LONG[k], add_special_tokens=False).ids
+
+
+def test_blanks_are_the_patterns(monkeypatch):
+    every = "".join(chr(p) for p in [*range(0xD800), *range(0xE000, 0x110000)])
+    assert "".join(re.findall(f"[{packing.BLANK_CHARS}]", every)) == "".join(re.findall(f"[{library_class(chr(92) + 's')}]", every))
+    monkeypatch.setattr(packing, "BLANK_RUNS", re.compile(f"[{packing.BLANK_CHARS}]{{2,}}"))
+    monkeypatch.setattr(packing, "LONG_BLANKS", 1)
+    encoder = packing.fast_encoder(vocab_path())
+    for t in random_texts(600, 5):
+        for plain, special in ((True, set()), (False, encoder.special_tokens_set)):
+            want = encoder.encode(t, allowed_special=special, disallowed_special=())
+            assert packing.encode_text(encoder, t, plain).tolist() == want, t
+
+
+def test_pack_a_text_of_two_million_blanks(spark):
+    rows = [(1, " " * 2_000_000 + "x"), (2, "a"), (3, "\n" * 2_000_000)]
+    got = packing.pack_documents(make_docs(spark, rows), vocab_path()).collect()
+    sizes = Counter()
+    for r in got:
+        sizes[r.doc_id] += r.length
+    assert sizes == {1: len(LONG[0]), 2: 2, 3: sizes[3]} and sizes[3] > 1000
+    check_layout([(r.sequence_id, r.offset, r.length) for r in got], 1024)
+
+
 def test_packed_documents(spark, edge_docs, no_docs, reference, monkeypatch):  # noqa: F811
     monkeypatch.setattr(packing, "PIECES_PER_SALT", 2)
     got = packing.pack_documents(edge_docs, vocab_path()).collect()

@@ -20,6 +20,7 @@ places of equal length; an empty table packs into no sequences.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left
 from functools import lru_cache
@@ -56,6 +57,34 @@ def fast_encoder(vocab_path: str):
     return tiktoken.Encoding("bpe", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=vocab.special)
 
 
+#: A run of blanks of this length or more is split off before the encoder's pattern, which goes back over it, sees it.
+LONG_BLANKS = 10_000
+# The characters that the pattern's \\s matches.
+BLANK_CHARS = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK_RUNS = re.compile(f"[{BLANK_CHARS}]{{{LONG_BLANKS},}}")
+
+
+def encode_text(encoder, text: str, plain: bool = False) -> np.ndarray:
+    """Ids of a text; with ``plain`` the strings of special tokens are ordinary text.
+
+    Of a run of blanks before another character all but the last blank are one
+    word, at a text's end the whole run is; such long runs are merged alone.
+    """
+    special = set() if plain else encoder.special_tokens_set
+
+    def part(piece: str) -> np.ndarray:
+        return encoder.encode_to_numpy(piece, allowed_special=special, disallowed_special=())
+
+    if len(text) < LONG_BLANKS:
+        return part(text)
+    out, at = [], 0
+    for run in BLANK_RUNS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += [part(text[at: run.start()]), np.array(encoder._encode_single_piece(text[run.start(): end]), np.uint32)]
+        at = end
+    return np.concatenate([*out, part(text[at:])]) if out else part(text)
+
+
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces; only the first may be shorter than the capacity."""
     head = n % capacity
@@ -67,12 +96,10 @@ def tokenize(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, end_id:
 
     def run(batches):
         encoder = fast_encoder(vocab_path)
-        special = set(encoder._special_tokens)
         for batch in batches:
             rows, ids_out = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                ids = np.append(encoder.encode_to_numpy(text, allowed_special=special), end_id).astype("<u4")
+                ids = np.append(encode_text(encoder, text.as_py()), end_id).astype("<u4")
                 for k, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
                     own = ids[start: start + length]
                     rows.append((doc_id, k, start, length, zlib.crc32(own.tobytes())))
