@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitrina.llm import bpe, dedup, doc_rules, language, licences, nearcopies, packing, pii, prefixes, quality, suffixes, topk
+from vitrina.llm import alignment, bpe, dedup, doc_rules, language, licences, nearcopies, packing, pii, prefixes, quality, suffixes, topk
 
 
 def vocab_path(name: str = "byte_bpe_50k.json") -> str:
@@ -65,6 +65,10 @@ def op11_quality_rules(spark, sf_dir):
     return doc_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_alignment(spark, sf_dir):
+    return alignment.alignment_scores(table(spark, sf_dir, "documents"), vocab_path(), vocab_path("piece_bpe_32k.model"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -72,7 +76,7 @@ def op13_prefix_trie(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_pii, op3_language_model, op4_suffix_dedup, op5_bpe,
     op6_packing, op7_quality, op8_minhash, op9_licences, op10_topk, op11_quality_rules,
-    op13_prefix_trie)}
+    op12_alignment, op13_prefix_trie)}
 
 ORACLES = {
     "op1_exact_dedup": """

@@ -30,10 +30,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{base}/vitrina-llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
