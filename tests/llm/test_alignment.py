@@ -1,8 +1,6 @@
 import hashlib
 from collections import Counter
 
-import pytest
-
 from vitrina.llm import alignment
 from vitrina.llm.queries import vocab_path
 
@@ -99,22 +97,41 @@ def test_empty_table(spark, no_docs):
 
 def test_given_documents_equal_brute_force_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(alignment, "BLOCK_CHARS", 3_000)
-    monkeypatch.setattr(alignment, "BLOCK_TOKENS", 2_000)
     monkeypatch.setattr(alignment, "HELD_COUNTS", 500)
-    monkeypatch.setattr(alignment, "LONG_GROUP", 4)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert scores(docs.repartition(5)) == expected(rows)
 
 
-@pytest.mark.parametrize("limit", [1, 64])
-def test_long_groups_special_strings_and_odd_characters(spark, monkeypatch, limit):
-    monkeypatch.setattr(alignment, "LONG_GROUP", limit)
-    texts = ["zxqjkvw" * 40, "é" * 300, "ﬁ ligature", "▁ mark", "a  b", "<s> </s> <unk> <0x41> <|endoftext|>", "\U0001f9ff\U00020000 ok", "�", "ÅÅÅ Å", "the the the", "x\x00y", "​", "éé"]
-    rows = list(enumerate(texts))
+ODD = ["zxqjkvw" * 40, "é" * 300, "ﬁ ligature", "▁ mark", "a  b", "<s> </s> <unk> <0x41> <|endoftext|>", "\U0001f9ff\U00020000 ok", "\ufffd", "ÅÅÅ A\u030a", "the the the", "x\x00y", "\u200b", "éé"]
+
+
+def test_special_strings_and_odd_characters(spark):
+    rows = list(enumerate(ODD))
     assert scores(make_docs(spark, rows)) == expected(rows)
 
 
+def test_long_groups_and_small_blocks_give_the_same_links(monkeypatch):
+    pieces = alignment.both_tokenizers(vocab_path(), vocab_path("piece_bpe_32k.model"))
+    texts = ODD + ["", "one two three", "zxqjkvwzxqj" * 90]
+    batch = alignment.align_block(pieces, list(range(len(texts))), texts)
+
+    def found():
+        out = Counter()
+        for lo, _, flats, lasts, docs in alignment.aligned_blocks([batch.filter(batch.column("n_a").to_numpy() > 0)]):
+            group, pair, n = alignment.links(flats, lasts)
+            for d, p, m in zip((docs[group] + lo).tolist(), pair.tolist(), n.tolist()):
+                out[d, p] += m
+        return out
+
+    want = found()
+    assert sum(want.values()) == sum(batch.column("n_links").to_pylist())
+    for long, tokens in ((1, 600_000), (0, 100), (1 << 40, 300)):
+        monkeypatch.setattr(alignment, "LONG_GROUP", long)
+        monkeypatch.setattr(alignment, "BLOCK_TOKENS", tokens)
+        assert found() == want
+
+
 def test_very_long_text(spark):
     rows = [(1, "word " * 40_000 + "end"), (2, "q" * 100_000), (3, "k" * 5 + " " * 30_000 + "k"), (4, "zxqjkvw " * 5_000)]
     assert scores(make_docs(spark, rows)) == expected(rows)

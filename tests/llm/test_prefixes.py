@@ -88,7 +88,6 @@ def test_shards_and_hot_paths_equal_brute_force(spark, monkeypatch, seed, shards
         else:
             rows += [(c, t, draw.choice(["user", "assistant"]), draw.choice("ab") * draw.randint(0, 1 + t)) for t in range(draw.randint(0, 14))]
     monkeypatch.setattr(prefixes, "SHARD_BYTES", 1)
-    monkeypatch.setattr(prefixes, "PIECE_IDS", 7)
     turns = conversations(spark, rows)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(shards))
@@ -98,6 +97,25 @@ def test_shards_and_hot_paths_equal_brute_force(spark, monkeypatch, seed, shards
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_ends_in_pieces(monkeypatch):
+    monkeypatch.setattr(prefixes, "PIECE_IDS", 7)
+    path = b"a" * 16 + (3).to_bytes(8, "big")
+    other = path + b"b" * 16 + (4).to_bytes(8, "big")
+    skeleton = prefixes.Skeleton([(path, 20), (path, 40)])
+    shard = prefixes.Shard(1, skeleton)
+    for c in range(20, 40):
+        shard.add(path, c)
+    assert [p[0] for p in shard.pieces] == [1, 1]
+    rows = shard.finish().to_pylist()
+    assert ",".join(r["ends"] for r in sorted((r for r in rows if r["kind"] == prefixes.PIECE), key=lambda r: r["seq"])) == ",".join(map(str, range(20, 40)))
+    assert {(r["node"], r["n_convs"]) for r in rows if r["kind"] == prefixes.SHARE} == {(0, 20), (1, 20)}
+    local = prefixes.Shard(2, skeleton)
+    for c in range(50, 90):
+        local.add(other, c)
+    (row,) = [r for r in local.finish().to_pylist() if r["kind"] == prefixes.LOCAL]
+    assert row["ends"] == hashlib.sha256(",".join(map(str, range(50, 90))).encode()).hexdigest() and row["n_convs"] == 40
+
+
 def test_long_conversation(spark):
     rows = [(5, t, "user", str(t)) for t in range(700)] + [(6, t, "user", str(t)) for t in range(650)] + [(7, t, "user", str(t % 3)) for t in range(500)]
     assert result(conversations(spark, rows)) == brute(rows)
