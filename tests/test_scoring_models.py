@@ -3,11 +3,10 @@
 import datetime as dt
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from vitrina.functions.columns import level, payday_flag, weekday0
-from vitrina.operators import (customer360, cleaning, dataset, encoding, evaluation, explain, propensity,
+from vitrina.operators import (boosting, customer360, cleaning, dataset, encoding, evaluation, explain, propensity,
                                scoring, segmentation)
 from vitrina.session import scratch_dir
 from vitrina.sources import fixtures
@@ -63,7 +62,7 @@ def trained(spark):
     c = customer360.build_customer_360(cleaning.clean_clientes(r.clientes), r.transacciones, r.interacciones)
     vd, dictionary = dataset.build_visit_dataset(r.interacciones, c)
     tbl = propensity.add_folds(vd).persist()
-    model = propensity.gbt_pipeline({"n_estimators": 15, "max_depth": 3}).fit(tbl)
+    model = propensity.fit(tbl, {"n_estimators": 15, "max_depth": 3})
     seg_model = segmentation.segment_model(c, 4, n_init=2)
     return r, c, tbl, dictionary, model, seg_model
 
@@ -82,8 +81,8 @@ def test_gbt_beats_chance_and_roundtrip(spark, trained):
     a = evaluation.auc(scored, "score", dataset.TARGET).first()["auc"]
     assert a > 0.6
     path = scratch_dir(spark, "test-model")
-    model.write().overwrite().save(path)
-    again = propensity.score(PipelineModel.load(path), tbl)
+    model.save(spark, path)
+    again = propensity.score(boosting.BoostedTrees.load(spark, path), tbl)
     diff = (scored.select(dataset.KEY, F.col("score").alias("a"))
                   .join(again.select(dataset.KEY, F.col("score").alias("b")), dataset.KEY)
                   .agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0])
@@ -92,7 +91,7 @@ def test_gbt_beats_chance_and_roundtrip(spark, trained):
 
 def test_cv_auc_in_range(trained):
     _, _, tbl, *_ = trained
-    s = propensity.cv_summary(propensity.cv_auc(tbl, lambda: propensity.gbt_pipeline({"n_estimators": 5}))).first()
+    s = propensity.cv_summary(propensity.cv_auc(tbl, {"n_estimators": 5})).first()
     assert 0.5 < s["auc_mean"] <= 1 and s["n_folds"] == 5
 
 
@@ -153,6 +152,37 @@ def test_many_batches_answer_every_visit_once(spark, trained):
     assert streamed.count() == streamed.select(dataset.KEY).distinct().count() == visits.count()
 
 
+def test_batches_read_a_constant_number_of_rows_and_a_restart_answers_once(spark, trained):
+    r, c, _, dictionary, model, seg_model = trained
+    base = scratch_dir(spark, "test-stream-rows")
+    visits = r.interacciones
+
+    def run():
+        return nba_stream.run_scoring_stream(spark, f"{base}/source", f"{base}/sink", f"{base}/ckpt", c, seg_model, model, dictionary, max_files_per_trigger=1)
+
+    visits.repartition(20).write.mode("overwrite").parquet(f"{base}/source")
+    progress = [p for p in run() if p["numInputRows"]]
+    rows = [p["numInputRows"] for p in progress]
+    assert len(rows) == 20 and max(rows) <= 1.5 * visits.count() / 20          # its own files, nothing of the sink
+    assert all(p["stateOperators"][0]["numRowsUpdated"] <= p["numInputRows"] for p in progress)
+    visits.limit(50).write.mode("append").parquet(f"{base}/source")            # repeats, after a restart
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in run() if p["stateOperators"]) == 0
+    streamed = spark.read.parquet(f"{base}/sink")
+    assert streamed.count() == streamed.select(dataset.KEY).distinct().count() == visits.count()
+
+
+def test_unknown_customers_are_blanked_in_one_pass(spark, trained):
+    r, c, _, dictionary, model, seg_model = trained
+    known = r.interacciones.where("id_cliente IS NOT NULL").limit(3)
+    odd = known.withColumn("id_cliente", F.lit("nobody")).unionByName(known.limit(1).withColumn("id_cliente", F.lit(None).cast("string")))
+    out = scoring.recommend(odd, c, seg_model, model, dictionary)
+    rows = out.collect()
+    assert len(rows) == 4 and all(r["error"].endswith("no encontrado") for r in rows)
+    assert all(r[k] is None for r in rows for k in ("segmento", "score_compra_hoy", "nivel", "next_best_category", "accion_recomendada"))
+    plan = scoring.recommend(known, c, seg_model, model, dictionary, split_hot=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+
+
 def test_replayed_stream_batch_is_written_once(spark):
     base = scratch_dir(spark, "test-replay")
     rows = spark.range(10).withColumnRenamed("id", "x")
@@ -172,33 +202,25 @@ def test_importance_report_has_unique_columns_and_ranks_by_auc_drop(spark):
     assert len(drops) == 20 and drops == sorted(drops, reverse=True)
 
 
-def test_model_queries_run_the_references_budgets(spark, monkeypatch):
+def test_search_keys_run_the_references_budgets_and_the_others_the_given_parameters(spark, monkeypatch):
+    from vitrina.operators import tpe
     from vitrina.plans import catalog, training
-    seen, real = {}, propensity.gbt_pipeline
-
-    def search(table, trials, parallelism, n_folds):
-        seen.update(trials=trials, n_folds=n_folds)
-        return [(p, float(i == 7)) for i, p in enumerate(trials)]
-
-    def pipeline(params=None, seed=propensity.SEED):
-        seen["fitted"] = params
-        return real({"n_estimators": 2}, seed)
-
-    def compare(table, n_trees=100, n_folds=5):
-        seen["compared"] = n_trees
+    seen, real = {}, propensity.fit_many
 
-    def shapley(model, table, samples=8):
-        seen["samples"] = samples
+    def fit_many(binned, fits):
+        seen.setdefault("fits", []).extend(fits)
+        return real(binned, [boosting.Fit({"n_estimators": 1, "max_depth": 2}, f.fold) for f in fits])
 
-    monkeypatch.setattr(propensity, "search", search)
-    monkeypatch.setattr(propensity, "gbt_pipeline", pipeline)
-    monkeypatch.setattr(propensity, "compare_models", compare)
-    monkeypatch.setattr(explain, "shapley", shapley)
+    monkeypatch.setattr(propensity, "fit_many", fit_many)
     monkeypatch.setattr(training, "training_flow", lambda spark, raw, base, cfg: seen.update(flow=cfg))
-    catalog.QUERIES["shapley"](spark, SMALL)
-    assert len(seen["trials"]) == 50 and seen["n_folds"] == 5 and seen["samples"] == 8
-    assert seen["trials"] == propensity.sample_params(50) and min(p["n_estimators"] for p in seen["trials"]) >= 50
-    assert seen["fitted"] == seen["trials"][7]
-    catalog.QUERIES["model_compare"](spark, SMALL)
+    catalog.QUERIES["hpo"](spark, SMALL)
+    fits = seen.pop("fits")
+    assert len(fits) == 250 and sorted(f.fold for f in fits) == sorted(list(range(5)) * 50)
+    for f in fits:
+        for name, (lo, hi, _) in propensity.SEARCH_SPACE.items():
+            assert lo <= f.params[name] <= hi
+    assert [f.params for f in fits[:50:5]] == tpe.suggest([], 10, propensity.SEARCH_SPACE)
+    catalog.QUERIES["gbt_fit"](spark, SMALL)
+    assert [(f.params, f.fold) for f in seen["fits"]] == [({"n_estimators": 100}, None)]
     catalog.QUERIES["run_summary"](spark, SMALL)
-    assert seen["compared"] == 100 and seen["flow"] == training.FlowConfig()
+    assert seen["flow"] == training.FlowConfig() and training.FlowConfig().n_trials == 50

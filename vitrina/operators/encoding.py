@@ -24,11 +24,17 @@ UNSEEN_CODE = -1
 NULL_CODE = 0
 
 
-def fit_dictionary(df: DataFrame, columns: list[str] = CAT_COLS) -> DataFrame:
-    """Rows (columna, valor, codigo) with values sorted as strings."""
+def fit_dictionary(df: DataFrame, columns: list[str] = CAT_COLS,
+                   others: list[tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """Rows (columna, valor, codigo) with values sorted as strings.
+
+    ``others`` are columns of other tables that go into the same dictionary.
+    """
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in columns
     ])).alias("p")).select("p.columna", "p.valor")
+    for table, c in others or []:
+        pairs = pairs.unionByName(table.select(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")))
     distinct = pairs.where(F.col("valor").isNotNull()).distinct()
     # codes = rank within the column; the range-partitioned helper keeps a
     # column with very many distinct values out of a single window task

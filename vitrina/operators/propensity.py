@@ -1,29 +1,27 @@
 """Visit-level purchase propensity: folds, boosted trees, CV AUC, search.
 
-Model fitting is Spark ML (distributed histogram aggregation per tree level).
-Folds are assigned by a stratified, keyed global rank so each class is split
-evenly (within one row) and the assignment is reproducible in SQL. Per-fold
-AUC is the exact tie-aware AUC computed for all folds in one grouped job.
-The hyper-parameter search is a seeded random search over the reference's
-ranges, evaluated with ``CrossValidator`` on the same fold column
-(``parallelism`` fits several settings at once).
+The boosted trees are grown by ``boosting``: all fits that are asked for
+together (folds, trials x folds) share the scans of one binned table. Folds are
+assigned by a stratified, keyed global rank so each class is split evenly
+(within one row) and the assignment is reproducible in SQL. The AUC of all
+held-out folds of all trials is the exact tie-aware AUC of one grouped job.
+The hyper-parameter search suggests its trials by Parzen estimators (``tpe``)
+in batches; each batch's trials x folds are one shared fit. The compared linear
+model, forest and plain gradient boosting are Spark ML pipelines.
 """
 
 from __future__ import annotations
 
-import math
-import random
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.concurrency import run_concurrently
+from . import tpe
+from .boosting import BoostedTrees, Binned, Fit, bin_table, fit_many, held_out_scores
 from .dataset import FEATURE_COLS, KEY, TARGET
 from .evaluation import auc
 from .ranking import global_row_number
@@ -44,57 +42,58 @@ SEARCH_SPACE = {
 
 
 def add_folds(table: DataFrame, n_folds: int = N_FOLDS, seed: int = SEED,
-              key: str = KEY, label: str = TARGET) -> DataFrame:
-    """``fold`` = (rank within class by md5(key || seed), key) mod n_folds."""
-    hashed = table.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))))
+              key: str = KEY, label: str = TARGET, keys: DataFrame | None = None) -> DataFrame:
+    """``fold`` = (rank within class by md5(key || seed), key) mod n_folds.
+
+    Only (class, hash, key) are ranked and written; the wide rows get their
+    fold by a join on the key. ``keys`` is a narrower table with the same keys
+    and classes (the visits), so that the wide rows are not built for it.
+    """
+    hashed = (table if keys is None else keys).select(label, key, F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))).alias("_h"))
     ranked = global_row_number(hashed, ["_h", key], alias="_r", group_cols=[label])
-    return ranked.withColumn("fold", ((F.col("_r") - 1) % n_folds).cast("int")).drop("_h", "_r")
+    folds = ranked.select(key, ((F.col("_r") - 1) % n_folds).cast("int").alias("fold"))
+    return table.join(folds, key)
 
 
 def assembler(columns: list[str] = FEATURE_COLS) -> VectorAssembler:
     return VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep")
 
 
-def gbt_params(params: dict) -> dict:
-    """Map the reference's boosted-tree parameters onto Spark's GBT.
+def binned_table(table: DataFrame, columns: list[str] = FEATURE_COLS) -> Binned:
+    """The training table in binned blocks; with a ``fold`` column, fits can leave folds out."""
+    return bin_table(table, columns, TARGET, KEY, "fold" if "fold" in table.columns else None)
 
-    There is no L1/L2 leaf penalty in Spark's GBT; ``reg_alpha`` and
-    ``reg_lambda`` are kept in the run record only. Column sampling is per
-    node in Spark (per tree in the reference).
-    """
-    out = {}
-    if "n_estimators" in params:
-        out["maxIter"] = int(params["n_estimators"])
-    if "learning_rate" in params:
-        out["stepSize"] = float(params["learning_rate"])
-    if "max_depth" in params:
-        out["maxDepth"] = int(params["max_depth"])
-    if "min_child_samples" in params:
-        out["minInstancesPerNode"] = int(params["min_child_samples"])
-    if "subsample" in params:
-        out["subsamplingRate"] = float(params["subsample"])
-    if "colsample_bytree" in params:
-        out["featureSubsetStrategy"] = repr(min(1.0, float(params["colsample_bytree"])))
-    return out
 
+def fit(table: DataFrame, params: dict | None = None, seed: int = SEED, binned: Binned | None = None) -> BoostedTrees:
+    """The final model: boosted trees with the given parameters on every row."""
+    return fit_many(binned or binned_table(table), [Fit(params or {}, None, seed)])[0]
 
-def gbt(params: dict | None = None, seed: int = SEED) -> GBTClassifier:
-    return GBTClassifier(labelCol=TARGET, featuresCol="features", seed=seed, **gbt_params(params or {}))
 
+def score(model: BoostedTrees | PipelineModel, df: DataFrame) -> DataFrame:
+    """Add ``score`` = P(class 1)."""
+    if isinstance(model, BoostedTrees):
+        return model.transform(df)
+    out = model.transform(df).withColumn("score", vector_to_array("probability")[1])
+    return out.drop("features", "features_scaled", "rawPrediction", "probability", "prediction")
 
-def gbt_pipeline(params: dict | None = None, seed: int = SEED) -> Pipeline:
-    return Pipeline(stages=[assembler(), gbt(params, seed)])
 
+def trial_aucs(binned: Binned, trials: list[dict], n_folds: int = N_FOLDS, seed: int = SEED) -> DataFrame:
+    """(trial, fold, auc): every trial fitted without each fold, in shared scans, and its exact AUC on that fold."""
+    fits = [Fit(p, f, seed) for p in trials for f in range(n_folds)]
+    held = held_out_scores(binned, fit_many(binned, fits), fits)
+    held = held.withColumn("trial", F.floor(F.col("fit") / n_folds).cast("int"))
+    return auc(held, "score", "y", group_cols=["trial", "fold"])
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``score`` = P(class 1) and drop the model's work columns."""
-    out = model.transform(df).withColumn("score", vector_to_array("probability")[1])
-    return out.drop("features", "features_scaled", "rawPrediction", "probability", "prediction")
+
+def cv_auc(table: DataFrame, params: dict | None = None, n_folds: int = N_FOLDS, seed: int = SEED,
+           binned: Binned | None = None) -> DataFrame:
+    """(fold, auc) of boosted trees with the given parameters."""
+    return trial_aucs(binned or binned_table(table), [params or {}], n_folds, seed).select("fold", "auc")
 
 
-def cv_auc(table: DataFrame, make_pipeline, n_folds: int = N_FOLDS,
-           parallelism: int | None = None) -> DataFrame:
-    """(fold, auc): fit on the other folds, exact AUC on the held-out fold.
+def pipeline_cv_auc(table: DataFrame, make_pipeline, n_folds: int = N_FOLDS,
+                    parallelism: int | None = None) -> DataFrame:
+    """(fold, auc) of a Spark ML pipeline: fit on the other folds, exact AUC on the held-out fold.
 
     The fold fits are independent jobs, submitted concurrently; the held-out
     predictions of all folds go through ONE grouped AUC job.
@@ -114,38 +113,17 @@ def cv_summary(fold_auc: DataFrame) -> DataFrame:
                         F.count(F.lit(1)).alias("n_folds"))
 
 
-def sample_params(n_trials: int, seed: int = SEED, space: dict = SEARCH_SPACE) -> list[dict]:
-    """Seeded random search over the reference's ranges (TPE is not built)."""
-    rng = random.Random(seed)
-    trials = []
-    for _ in range(n_trials):
-        p = {}
-        for name, (lo, hi, kind) in space.items():
-            if kind == "int":
-                p[name] = rng.randint(int(lo), int(hi))
-            elif kind == "log":
-                p[name] = float(10 ** rng.uniform(math.log10(lo), math.log10(hi)))
-            else:
-                p[name] = rng.uniform(lo, hi)
-        trials.append(p)
-    return trials
-
-
-def search(table: DataFrame, trials: list[dict], parallelism: int = 2,
-           n_folds: int = N_FOLDS) -> list[tuple[dict, float]]:
-    """Mean CV AUC of every trial with ``CrossValidator`` on the ``fold`` column."""
-    est = gbt_pipeline()
-    g = est.getStages()[-1]
-    maps = []
-    for p in trials:
-        m = {getattr(g, name): value for name, value in gbt_params(p).items()}
-        maps.append(m)
-    ev = BinaryClassificationEvaluator(labelCol=TARGET, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=n_folds,
-                        foldCol="fold", parallelism=parallelism, seed=SEED)
-    model = cv.fit(table.withColumn("fold", F.col("fold").cast("int")))
-    return list(zip(trials, [float(v) for v in model.avgMetrics]))
+def search(table: DataFrame, n_trials: int = 50, n_folds: int = N_FOLDS, seed: int = SEED,
+           space: dict = SEARCH_SPACE, batch: int = 10, binned: Binned | None = None) -> list[tuple[dict, float]]:
+    """(parameters, mean CV AUC) of every trial, in order; ``batch`` trials are suggested and fitted together."""
+    binned = binned or binned_table(table)
+
+    def values(trials: list[dict]) -> list[float]:
+        means = trial_aucs(binned, trials, n_folds, seed).groupBy("trial").agg(F.avg("auc").alias("v")).collect()
+        found = {r["trial"]: r["v"] for r in means}  # one number a trial
+        return [found[k] if found.get(k) is not None else 0.0 for k in range(len(trials))]
+
+    return tpe.optimise(values, n_trials, space, seed, batch)
 
 
 def best_trial(results: list[tuple[dict, float]]) -> tuple[dict, float]:
@@ -158,7 +136,8 @@ def comparison_models(n_rows: int, n_trees: int = 100, seed: int = SEED) -> dict
     """The reference's model families with default-like settings.
 
     LogisticRegression: C=1 in the reference means regParam = 1/n here; it
-    gets standardised features. Both boosted entries map to Spark's GBT.
+    gets standardised features. The fourth family, histogram boosting, is
+    added by ``compare_models``.
     """
     lr = Pipeline(stages=[assembler(), StandardScaler(inputCol="features", outputCol="features_scaled",
                                                       withMean=True, withStd=True),
@@ -177,16 +156,15 @@ def compare_models(table: DataFrame, n_trees: int = 100, n_folds: int = N_FOLDS)
     models = comparison_models(n, n_trees)
     # the families are independent: their fold fits are submitted together
     folds = run_concurrently(table.sparkSession,
-                             [lambda p=pipe: cv_auc(table, lambda: p, n_folds) for pipe in models.values()])
+                             [lambda p=pipe: pipeline_cv_auc(table, lambda: p, n_folds) for pipe in models.values()])
+    folds.append(cv_auc(table, {"n_estimators": n_trees}, n_folds))
     out = None
-    for name, fold_auc in zip(models, folds):
+    for name, fold_auc in zip([*models, "Histogram Boosting"], folds):
         s = cv_summary(fold_auc).select(F.lit(name).alias("modelo"), "auc_mean", "auc_std")
         out = s if out is None else out.unionByName(s)
     return out.orderBy(F.desc("auc_mean"))
 
 
-def feature_importances(spark, model: PipelineModel, columns: list[str] = FEATURE_COLS) -> DataFrame:
-    """The tree ensemble's split-gain importances, one row per feature."""
-    imp = model.stages[-1].featureImportances.toArray()
-    rows = [(c, float(v)) for c, v in zip(columns, imp)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
+def feature_importances(spark, model: BoostedTrees) -> DataFrame:
+    """The trees' split-gain importances, one row per feature."""
+    return spark.createDataFrame(model.importances(), "feature string, importance double").orderBy(F.desc("importance"), "feature")

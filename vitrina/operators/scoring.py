@@ -2,10 +2,12 @@
 
 The reference answers one request at a time; here a DataFrame of visits is
 scored at once: visits LEFT JOIN the deduplicated Customer 360 (unknown
-customers get an error text instead of an HTTP 404), the saved segmentation
-and propensity pipelines run as ``transform``s, and level, next category and
-action text are built from column expressions and broadcast lookups of fixed,
-tiny dimension tables. Date features come from the visit timestamp, not the
+customers get an error text instead of an HTTP 404; a customer with a large
+share of the visits is split, ``functions.skew``), the saved segmentation and
+propensity models run as ``transform``s over all requests in one pass (the
+answer of an unknown customer is blanked), and level, next category and action
+text are built from column expressions and broadcast lookups of fixed, tiny
+dimension tables. Date features come from the visit timestamp, not the
 wall clock, and the store comes from the visit (unseen store -> -1).
 """
 
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dims
 from ..functions.columns import level
+from ..functions.skew import split_left_join
 from . import lookups
 from .customer360 import dedupe_by_key
 from .dataset import FEATURE_COLS, date_parts
@@ -30,10 +33,15 @@ RECOMMENDATION_COLS = ["id_interaccion", "id_cliente", "motivo_visita", "segment
 SCORE_DIGITS = 3
 
 
-def lookup(visits: DataFrame, c360: DataFrame) -> DataFrame:
-    """Each request with its customer profile; ``error`` when the id is unknown."""
+def lookup(visits: DataFrame, c360: DataFrame, split_hot: bool = True) -> DataFrame:
+    """Each request with its customer profile; ``error`` when the id is unknown.
+
+    ``split_hot=False`` is for the small micro-batches of a stream, which join
+    a profile table that is bucketed on the customer.
+    """
     prof = dedupe_by_key(c360).withColumn("_found", F.lit(True))
-    out = visits.select(*REQUEST_COLS).join(prof, "id_cliente", "left")
+    asked = visits.select(*REQUEST_COLS)
+    out = split_left_join(asked, prof, "id_cliente", "id_interaccion") if split_hot else asked.join(prof, "id_cliente", "left")
     found = F.coalesce(F.col("_found"), F.lit(False))
     return (out.withColumn("encontrado", found.cast("int"))
                .withColumn("error", F.when(~found, F.concat(F.lit("Cliente "), F.coalesce(
@@ -42,10 +50,9 @@ def lookup(visits: DataFrame, c360: DataFrame) -> DataFrame:
 
 
 def serving_features(looked_up: DataFrame, dictionary: DataFrame, sized_dictionary: bool = False) -> DataFrame:
-    """The 20 model features of each found request, coded with the saved
-    dictionary (unseen or missing value -> -1, as at serving time)."""
-    found = looked_up.where(F.col("encontrado") == 1).withColumn("_motivo", F.col("motivo_visita"))
-    with_dates = date_parts(found)
+    """The 20 model features of each request, coded with the saved dictionary
+    (unseen or missing value -> -1, as at serving time)."""
+    with_dates = date_parts(looked_up.withColumn("_motivo", F.col("motivo_visita")))
     coded = apply_dictionary(with_dates, dictionary, CAT_COLS, null_code=-1, sized=sized_dictionary)
     return coded.fillna(0, subset=[c for c in FEATURE_COLS if c not in CAT_COLS])
 
@@ -74,22 +81,15 @@ def finish(df: DataFrame) -> DataFrame:
     return action_text(out)
 
 
-def recommend(visits: DataFrame, c360: DataFrame, seg_model: PipelineModel, prop_model: PipelineModel,
-              dictionary: DataFrame, sized_dictionary: bool = False) -> DataFrame:
-    """The full recommendation row for every request (errors included)."""
-    looked = lookup(visits, c360)
-    feats = serving_features(looked, dictionary, sized_dictionary)
+def recommend(visits: DataFrame, c360: DataFrame, seg_model: PipelineModel, prop_model,
+              dictionary: DataFrame, sized_dictionary: bool = False, split_hot: bool = True) -> DataFrame:
+    """The full recommendation row for every request (errors included), in one pass over the requests."""
+    feats = serving_features(lookup(visits, c360, split_hot), dictionary, sized_dictionary)
     seg = assign_segments(feats, seg_model).withColumnRenamed("segmento_nombre", "segmento")
     scored = propensity_score(prop_model, seg).drop("motivo_visita").withColumnRenamed("_motivo", "motivo_visita")
-    rec = finish(scored).select(*[c for c in RECOMMENDATION_COLS if c != "error"],
-                                F.lit(None).cast("string").alias("error"))
-    missing = looked.where(F.col("encontrado") == 0).select(
-        "id_interaccion", "id_cliente", "motivo_visita", F.lit(None).cast("string").alias("segmento"),
-        F.lit(None).cast("double").alias("score_compra_hoy"), F.lit(None).cast("string").alias("nivel"),
-        F.lit(None).cast("string").alias("next_best_category"),
-        F.lit(None).cast("string").alias("categoria_favorita"),
-        F.lit(None).cast("string").alias("accion_recomendada"), "error")
-    return rec.unionByName(missing)
+    known = F.col("encontrado") == 1
+    asked = ("id_interaccion", "id_cliente", "motivo_visita", "error")
+    return finish(scored).select(*[F.col(c) if c in asked else F.when(known, F.col(c)).alias(c) for c in RECOMMENDATION_COLS])
 
 
 def keyed_profiles(c360: DataFrame, path: str, table: str, buckets: int | None = None) -> DataFrame:

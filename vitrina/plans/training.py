@@ -16,7 +16,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, customer360, dataset, drift, propensity, segmentation
-from ..sources import sinks
+from ..sources import artefacts, sinks
 from ..sources.fixtures import RawTables
 
 
@@ -28,7 +28,7 @@ class FlowConfig:
     n_init: int = segmentation.N_INIT
     k_range: list = field(default_factory=lambda: list(segmentation.K_RANGE))
     seed: int = 42
-    parallelism: int = 4
+    batch: int = 10
     experiment: str = "propension_compra_visita"
     search_space: dict = field(default_factory=lambda: dict(propensity.SEARCH_SPACE))
     create_drift_report: bool = True
@@ -67,26 +67,27 @@ def training_flow(spark: SparkSession, raw: RawTables, base: str,
 
     vd, dictionary = dataset.build_visit_dataset(visits, c360, extra_cols=("fecha_visita",))
     _materialise(spark, dictionary, base, "encoder_dictionary")
-    table = _materialise(spark, propensity.add_folds(vd, cfg.n_folds, cfg.seed), base, "training_table")
+    table = _materialise(spark, propensity.add_folds(vd, cfg.n_folds, cfg.seed, keys=visits), base, "training_table")
     table = table.persist()
 
-    trials = propensity.sample_params(cfg.n_trials, cfg.seed, cfg.search_space)
-    results = propensity.search(table, trials, cfg.parallelism, cfg.n_folds)
+    binned = propensity.binned_table(table)
+    results = propensity.search(table, cfg.n_trials, cfg.n_folds, cfg.seed, cfg.search_space, cfg.batch, binned)
     run_id = sinks.new_run_id()
     sinks.log_trials(spark, base, run_id, results)
     best_params, _ = propensity.best_trial(results)
 
-    fold_auc = propensity.cv_auc(table, lambda: propensity.gbt_pipeline(best_params, cfg.seed), cfg.n_folds)
-    cv = propensity.cv_summary(fold_auc).first()
-    model = propensity.gbt_pipeline(best_params, cfg.seed).fit(table)
+    cv = propensity.cv_summary(propensity.cv_auc(table, best_params, cfg.n_folds, cfg.seed, binned)).first()
+    model = propensity.fit(table, best_params, cfg.seed, binned)
     model_path = sinks.table_path(base, "models/propension")
-    model.write().overwrite().save(model_path)
+    model.save(spark, model_path)
+    artefacts.publish(spark, base, run_id, sinks.table_path(base, "models/segmentation"), model_path,
+                      sinks.table_path(base, "encoder_dictionary"), sinks.table_path(base, "customer_360"))
     sinks.log_run(spark, base, cfg.experiment, best_params, cv["auc_mean"], cv["auc_std"], model_path)
 
     drift_path = None
     if cfg.create_drift_report:
         halves = drift.split_halves(table.withColumnRenamed(dataset.TARGET, "target"),
-                                    ["fecha_visita", dataset.KEY])
+                                    ["fecha_visita", dataset.KEY], visits)
         drift_path = drift.write_drift(drift.drift_table(halves, DRIFT_NUMERIC, DRIFT_CATEGORICAL),
                                        sinks.table_path(base, "drift"))
     table.unpersist()

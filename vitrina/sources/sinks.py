@@ -36,6 +36,13 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
 
+def remove_dir(spark: SparkSession, path: str | None) -> None:
+    """Delete a folder of the shared storage that its writer no longer needs."""
+    if path:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def save_processed(base: str, clientes_clean: DataFrame, transacciones: DataFrame,
                    interacciones: DataFrame) -> dict[str, str]:
     return {
