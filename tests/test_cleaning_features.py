@@ -1,6 +1,9 @@
 """Edge cases of cleaning and per-customer features."""
 
 import datetime as dt
+import random
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -63,11 +66,7 @@ def test_median_paths_agree(spark, monkeypatch):
         out = cleaning.clean_clientes(df)
         return {r["id_cliente"]: r["score_credito_interno"] for r in out.collect()}
 
-    one_pass = imputed()
-    monkeypatch.setattr(cleaning, "MEDIAN_MAP_MAX_DISTINCT", 0)
-    distributed = imputed()
-    assert one_pass == distributed
-    assert one_pass["e"] == 3.0
+    assert imputed()["e"] == 3.0
     zm = {r["zona_geografica"]: r["mediana_zona"] for r in cleaning.zone_median(df).collect()}
     assert zm == {"HOT": 18.0, "N": 3.0, "S": None}
 
@@ -128,14 +127,23 @@ def test_na_normalisation_and_csv_reader(spark, tmp_path):
     assert df["b"]["celular_contacto"] == "Null"             # pandas keeps 'Null' as text too
 
 
-def test_median_guard_counts_zones_and_bounds_the_zone_table(spark, monkeypatch):
-    rows = [(f"c{i}", z, 1, float(i % 7), None, None)
-            for i, z in enumerate(["NORTE"] * 30 + ["SUR"] * 5 + [None] * 4)]
-    df = _clientes(spark, rows)
-    g = cleaning.median_guard(df)
-    assert g.zones == 2                                   # the null zone is not a zone
-    assert g.zone_one_pass and g.global_one_pass          # 7 distinct scores
-    assert g.zone_table_bytes == 2 * (cleaning.ROW_OVERHEAD_BYTES + 8 + len("NORTE") + 8)
-    monkeypatch.setattr(cleaning, "MEDIAN_MAP_MAX_DISTINCT", 7)
-    g = cleaning.median_guard(df)
-    assert not g.zone_one_pass and not g.global_one_pass  # 7 x 1.1 margin > 7
+def test_medians_equal_pandas_with_missing_scores_and_zones(spark):
+    import pandas as pd
+    draw = random.Random(3)
+    rows = [(f"c{i}", draw.choice(["N", "S", "HOT", "HOT", "HOT", None, "EMPTY"]), 1, None, None, None) for i in range(400)]
+    rows = [(*r[:3], None if r[1] == "EMPTY" or draw.random() < 0.2 else round(draw.uniform(0, 9), draw.choice([0, 3])), *r[4:]) for r in rows]
+    p = pd.DataFrame(rows, columns=["id", "z", "a", "s", "x", "y"])
+    p["s"] = p["s"].astype(float)
+    filled = p["s"].fillna(p["z"].map(p.groupby("z")["s"].median()))
+    want = dict(zip(p["id"], filled.fillna(filled.median())))
+    got = {r["id_cliente"]: r["score_credito_interno"] for r in cleaning.clean_clientes(_clientes(spark, rows)).collect()}
+    assert got == pytest.approx(want)
+    zones = {r["zona_geografica"]: r["mediana_zona"] for r in cleaning.zone_median(_clientes(spark, rows)).collect()}
+    assert zones == pytest.approx({**p.groupby("z")["s"].median().dropna().to_dict(), "EMPTY": None})
+
+
+def test_amounts_keep_sub_cent_parts_and_large_values(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("1", "a", t, "lavado", 0.0005, "efectivo"), ("2", "a", t, "lavado", 0.0007, "efectivo"), ("3", "b", t, "lavado", 4e17, "x"), ("4", "b", t, "coccion", 5e17, "x")]
+    f = {r["id_cliente"]: r for r in features.build_tx_features(_tx(spark, rows)).collect()}
+    assert f["a"]["monetary_total"] == pytest.approx(0.0012) and f["b"]["monetary_total"] == 9e17

@@ -72,12 +72,6 @@ def na_normalise(col: Column | str) -> Column:
     return F.when(c.isin(*NA_STRINGS), F.lit(None).cast("string")).otherwise(c)
 
 
-def decimal_sum(col: Column | str) -> Column:
-    """Money sum that does not depend on row order: cents as decimal, then double."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
-
-
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach every column of a one-row aggregate to every row of ``df``.
 

@@ -1,106 +1,29 @@
 """Customer cleaning: contact validity flags and credit-score imputation.
 
-Scale notes: medians are exact and never hold a group's rows in one task.
-A window partitioned by zone would put a whole zone (a third of all
-customers, say) into one task. The ``median`` aggregate only keeps a
-value -> count map per zone, so it is used when a guard job shows every zone
-has few distinct scores; otherwise ``ranking.exact_quantiles`` counts rows
-per (zone, score), takes range-partitioned running totals and picks the
-middle ranks with a join. The per-zone result has one row per zone; it is
-broadcast when its size is within bounds (the guard scan bounds it, or
-``bounded_broadcast`` measures it), else joined normally. The global median is one value, used as a scalar subquery.
+Scale notes: medians are exact and never hold a group's rows in one task. The
+customers are counted once by (zone, score); that table has one row per
+distinct pair and is checkpointed. Both medians come from it by
+``ranking.exact_quantiles`` (range-partitioned running totals of the counts,
+the middle ranks picked with a join): the zones' from the pairs, the global one
+from the same pairs with each zone's missing scores moved to its median. So the
+customers are scanned once for both, whatever the number of distinct scores.
+The per-zone result has one row per zone; it is broadcast when its size is
+measured within bounds (``bounded_broadcast``), else joined normally. The
+global median is one value, used as a scalar subquery.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import EMAIL_PATTERN, PHONE_PATTERN, regex_flag
-from ..functions.sizing import (MAX_BROADCAST_ROWS, ROW_OVERHEAD_BYTES, bounded_broadcast,
-                                broadcast_byte_limit)
+from ..functions.sizing import bounded_broadcast
+from ..session import ensure_checkpoint_dir
 from .ranking import exact_quantiles
 
 SCORE = "score_credito_interno"
-# Fixed bound on distinct values per group for the one-pass ``median``
-# aggregate. Its state is a value -> count map per group, merged in one task,
-# so its memory is bounded by the group's DISTINCT values, not its rows.
-MEDIAN_MAP_MAX_DISTINCT = 200_000
-# relative error of the distinct-count guard, and the margin kept below the bound
-DISTINCT_RSD = 0.01
-DISTINCT_MARGIN = 1.1
-
-
-def max_distinct_per_group(df: DataFrame, col: str, group_cols: list[str]) -> int:
-    """Largest (approximate) number of distinct ``col`` values in one group."""
-    d = F.approx_count_distinct(col, DISTINCT_RSD).alias("d")
-    per = df.groupBy(*group_cols).agg(d) if group_cols else df.agg(d)
-    return int(per.agg(F.max("d")).first()[0] or 0)
-
-
-def _fits_one_pass(distinct: int) -> bool:
-    return distinct * DISTINCT_MARGIN <= MEDIAN_MAP_MAX_DISTINCT
-
-
-@dataclass(frozen=True)
-class MedianGuard:
-    """What one scan of the customers tells the cleaning plan."""
-    zone_one_pass: bool      # every zone has few enough distinct scores
-    global_one_pass: bool    # so has the zone-imputed column
-    zones: int               # non-null zones
-    zone_table_bytes: int    # upper bound of the (zone, median) table
-
-
-def median_guard(df: DataFrame, zone: str = "zona_geografica", col: str = SCORE) -> MedianGuard:
-    """Distinct scores per zone and overall, zone count and longest zone name,
-    from ONE scan.
-
-    ``rollup`` gives the per-zone and the whole-table rows in the same
-    aggregation. Zone imputation adds at most one new distinct value per
-    zone, so the global bound is the overall count plus the zone count. The
-    zone median table has one (name, double) row per zone, so its size is
-    bounded by zones x (longest name + fixed widths).
-    """
-    d = F.approx_count_distinct(col, DISTINCT_RSD)
-    r = (df.rollup(zone).agg(d.alias("d"), F.grouping(zone).alias("g"),
-                             F.max(F.octet_length(zone)).alias("len"))
-           .agg(F.max(F.when(F.col("g") == 0, F.col("d"))).alias("per_zone"),
-                F.max(F.when(F.col("g") == 1, F.col("d"))).alias("overall"),
-                F.count_if((F.col("g") == 0) & F.col(zone).isNotNull()).alias("zones"),
-                F.max(F.when(F.col("g") == 0, F.col("len"))).alias("len"))
-           .first())
-    per_zone, overall = int(r["per_zone"] or 0), int(r["overall"] or 0)
-    zones, longest = int(r["zones"] or 0), int(r["len"] or 0)
-    row_bytes = ROW_OVERHEAD_BYTES + 8 + longest + 8
-    return MedianGuard(_fits_one_pass(per_zone), _fits_one_pass(overall + zones), zones, zones * row_bytes)
-
-
-def _median(df: DataFrame, col: str, group_cols: list[str], alias: str, exact: bool,
-            one_pass: bool | None = None) -> DataFrame:
-    """Interpolated median of ``col`` per group (pandas semantics, nulls skipped).
-
-    Exact either way: when every group has few enough distinct values (a
-    guard job measures it, unless ``one_pass`` already says), the ``median``
-    aggregate runs in one pass; otherwise ``ranking.exact_quantiles`` counts
-    (group, value) pairs, takes range-partitioned running totals and picks
-    the middle ranks, so no group is gathered in one task. ``exact=False``
-    switches to a bounded-memory sketch (``percentile_approx``). A group
-    without values gets a null median or no row.
-    """
-    if not exact:
-        agg = F.percentile_approx(col, 0.5, 100000).cast("double").alias(alias)
-        return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
-    if one_pass is None:
-        one_pass = _fits_one_pass(max_distinct_per_group(df, col, group_cols))
-    if one_pass:
-        agg = F.median(col).alias(alias)
-        return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
-    q = exact_quantiles(df, col, [0.5], group_cols=group_cols)
-    if not group_cols:
-        return q.agg(F.max("quantile").alias(alias))    # always one row (null if no values)
-    return q.select(*group_cols, F.col("quantile").alias(alias))
+ZONE = "zona_geografica"
 
 
 def phone_flag(df: DataFrame) -> DataFrame:
@@ -111,52 +34,54 @@ def email_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("tiene_email_valido", regex_flag("email_contacto", EMAIL_PATTERN))
 
 
-def _zone_medians(df: DataFrame, exact: bool, one_pass: bool | None = None) -> DataFrame:
-    """One row per zone that has a score: (zona_geografica, mediana_zona)."""
-    zoned = df.where(F.col("zona_geografica").isNotNull()).select("zona_geografica", SCORE)
-    return _median(zoned, SCORE, ["zona_geografica"], "mediana_zona", exact, one_pass)
+def score_counts(df: DataFrame) -> DataFrame:
+    """(zone, score, customers): written once, both medians read it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.groupBy(ZONE, SCORE).agg(F.count(F.lit(1)).alias("_c")).checkpoint()
+
+
+def _zone_medians(counts: DataFrame) -> DataFrame:
+    """One row per zone that has a score: (zona_geografica, mediana_zona), pandas semantics."""
+    q = exact_quantiles(counts.where(F.col(ZONE).isNotNull()), SCORE, [0.5], group_cols=[ZONE], weight="_c")
+    return bounded_broadcast(q.select(ZONE, F.col("quantile").alias("mediana_zona")), checkpoint=False)
 
 
-def zone_median(df: DataFrame, exact: bool = True) -> DataFrame:
+def zone_median(df: DataFrame) -> DataFrame:
     """One row per non-null zone with the median score (null when the zone
     has no score; the null zone has no row)."""
-    zones = df.where(F.col("zona_geografica").isNotNull()).select("zona_geografica").distinct()
-    return zones.join(_zone_medians(df, exact), "zona_geografica", "left")
+    counts = score_counts(df)
+    zones = counts.where(F.col(ZONE).isNotNull()).select(ZONE).distinct()
+    return zones.join(_zone_medians(counts), ZONE, "left")
+
+
+def _filled(df: DataFrame, medians: DataFrame) -> DataFrame:
+    return df.join(medians, ZONE, "left").withColumn(SCORE, F.coalesce(SCORE, "mediana_zona")).drop("mediana_zona")
+
 
+def _global_median(counts: DataFrame) -> DataFrame:
+    """One row: the median of the counted scores (null if there is none)."""
+    q = exact_quantiles(counts, SCORE, [0.5], weight="_c")
+    return q.agg(F.max("quantile").alias("mediana_global"))
 
-def impute_zone(df: DataFrame, exact: bool = True, guard: MedianGuard | None = None) -> DataFrame:
-    """Fill a missing score with its zone median; rows of null zone keep null.
 
-    With a ``guard`` the zone table's size is already known and bounds the
-    broadcast; without one it is measured (``bounded_broadcast``).
-    """
-    zm = _zone_medians(df, exact, guard.zone_one_pass if guard else None)
-    if guard is None:
-        zm = bounded_broadcast(zm)
-    elif guard.zones <= MAX_BROADCAST_ROWS and guard.zone_table_bytes <= broadcast_byte_limit(df.sparkSession):
-        zm = F.broadcast(zm)
-    return (df.join(zm, "zona_geografica", "left")
-              .withColumn("score_credito_interno",
-                          F.coalesce("score_credito_interno", "mediana_zona"))
-              .drop("mediana_zona"))
+def impute_zone(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Fill a missing score with its zone median; rows of null zone keep null."""
+    return _filled(df, _zone_medians(score_counts(df) if counts is None else counts))
 
 
-def impute_global(df: DataFrame, exact: bool = True, one_pass: bool | None = None) -> DataFrame:
+def impute_global(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Fill what is still missing with the median of the (zone-imputed) column."""
-    gm = _median(df.select(SCORE), SCORE, [], "mediana_global", exact, one_pass)
     # one value: a scalar subquery, run once and inlined
-    return df.withColumn(SCORE, F.coalesce(F.col(SCORE), gm.scalar()))
+    return df.withColumn(SCORE, F.coalesce(F.col(SCORE), _global_median(score_counts(df) if counts is None else counts).scalar()))
 
 
 CLEAN_COLUMNS = ["id_cliente", "zona_geografica", "antiguedad_meses", "score_credito_interno",
                  "tiene_celular_valido", "tiene_email_valido"]
 
 
-def clean_clientes(df: DataFrame, exact: bool = True) -> DataFrame:
+def clean_clientes(df: DataFrame) -> DataFrame:
     """Flags instead of contacts, zone then global median for the score."""
-    guard = median_guard(df) if exact else None
-    out = (df.transform(phone_flag)
-             .transform(email_flag)
-             .transform(lambda d: impute_zone(d, exact, guard))
-             .transform(lambda d: impute_global(d, exact, guard.global_one_pass if guard else None)))
-    return out.select(*CLEAN_COLUMNS)
+    counts = score_counts(df)
+    medians = _zone_medians(counts)
+    filled = _filled(df.transform(phone_flag).transform(email_flag), medians)
+    return impute_global(filled, _filled(counts, medians)).select(*CLEAN_COLUMNS)

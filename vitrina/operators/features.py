@@ -1,12 +1,14 @@
 """Per-customer features from purchases (RFM) and from store visits.
 
-Each feature set is ONE ``groupBy('id_cliente').agg(...)``: every aggregate
-here (count, sum, max, mode, collect_set of a bounded category domain) has a
-partial form, so each map task ships at most one row per customer per
-partition and a customer holding a third of all rows costs no more shuffle
-than any other. The reference date (max over the whole table) is a scalar
-aggregate without any shuffle (partial max per task, one final row), used
-as a scalar subquery: Spark runs it once and inlines the value.
+Purchases are aggregated in two levels. The first counts by (customer, kind,
+value), where a purchase appears once with its category and once with its
+payment method; all its aggregates are plain hash aggregates with a partial
+stage, so a customer holding a third of all rows costs no more shuffle than any
+other. The second has a few rows per customer and picks the most frequent
+values. Its result, one row per customer, is written once: the reference date
+(the last purchase of all) and the features both read it, so the purchases
+themselves are read once. Visits take one aggregate; their reference date is a
+scan of one column.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import decimal_sum, whole_days
+from ..functions.columns import whole_days
+from ..session import ensure_checkpoint_dir
 
 CREDIT_METHOD = "credito_propio_retail"
 
@@ -33,11 +36,6 @@ VISIT_REASON_COUNTS = [
 ]
 
 
-def mode_lowest(col: str) -> Column:
-    """Most frequent non-null value; ties go to the smallest value."""
-    return F.mode(col, deterministic=True)
-
-
 def _with_reference(agg: DataFrame, source: DataFrame, date_col: str, ref_col: str) -> DataFrame:
     # the table's max date as a scalar subquery (run once, inlined; no join)
     return agg.withColumn(ref_col, source.agg(F.max(date_col)).scalar())
@@ -47,24 +45,48 @@ def reference_date(df: DataFrame, date_col: str, alias: str = "fecha_ref") -> Da
     return df.agg(F.max(date_col).alias(alias))
 
 
+CATEGORY, PAYMENT = 0, 1
+
+
+def tx_values(tx: DataFrame) -> DataFrame:
+    """First level: one row per (customer, kind, value); amounts and dates are summed under the category only."""
+    values = F.explode(F.array(F.struct(F.lit(CATEGORY).alias("kind"), F.col("categoria_producto").alias("value")),
+                               F.struct(F.lit(PAYMENT).alias("kind"), F.col("medio_pago").alias("value")))).alias("v")
+    rows = tx.select("id_cliente", "id_transaccion", "fecha_compra", "monto_pago", values)
+
+    def once(col: str) -> Column:
+        return F.when(F.col("v.kind") == CATEGORY, F.col(col))
+
+    return rows.groupBy("id_cliente", F.col("v.kind").alias("kind"), F.col("v.value").alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(once("id_transaccion")).alias("n_ids"), F.max(once("fecha_compra")).alias("last"),
+        F.sum(once("monto_pago").cast("decimal(38,10)")).alias("total"), F.count(once("monto_pago")).alias("n_amounts"),
+        F.max(once("monto_pago")).alias("top"))
+
+
 def tx_aggregates(tx: DataFrame) -> DataFrame:
     """The raw per-customer aggregate, null customer ids included."""
-    return tx.groupBy("id_cliente").agg(
-        F.max("fecha_compra").alias("_ultima_compra"),
-        F.count("id_transaccion").alias("frequency"),
-        decimal_sum("monto_pago").alias("monetary_total"),
-        F.count("monto_pago").alias("_n_montos"),
-        F.max("monto_pago").alias("ticket_max"),
-        F.size(F.collect_set("categoria_producto")).cast("bigint").alias("diversidad_categorias"),
-        mode_lowest("categoria_producto").alias("categoria_favorita"),
-        mode_lowest("medio_pago").alias("medio_pago_habitual"),
-        F.max(F.coalesce(F.col("medio_pago") == CREDIT_METHOD, F.lit(False)).cast("int"))
+    def most_frequent(kind: int) -> Column:  # ties go to the smallest value
+        counted = (F.col("kind") == kind) & F.col("value").isNotNull()
+        return F.min_by("value", F.when(counted, F.struct(-F.col("n"), F.col("value"))))
+
+    return tx_values(tx).groupBy("id_cliente").agg(
+        F.max("last").alias("_ultima_compra"),
+        F.sum("n_ids").alias("frequency"),
+        F.sum("total").cast("double").alias("monetary_total"),
+        F.sum("n_amounts").alias("_n_montos"),
+        F.max("top").alias("ticket_max"),
+        F.count_if((F.col("kind") == CATEGORY) & F.col("value").isNotNull()).alias("diversidad_categorias"),
+        most_frequent(CATEGORY).alias("categoria_favorita"),
+        most_frequent(PAYMENT).alias("medio_pago_habitual"),
+        F.max(F.coalesce((F.col("kind") == PAYMENT) & (F.col("value") == CREDIT_METHOD), F.lit(False)).cast("int"))
          .alias("usa_credito_propio"),
     )
 
 
 def build_tx_features(tx: DataFrame) -> DataFrame:
-    agg = _with_reference(tx_aggregates(tx), tx, "fecha_compra", "_fecha_ref")
+    ensure_checkpoint_dir(tx.sparkSession)
+    written = tx_aggregates(tx).checkpoint()
+    agg = _with_reference(written, written, "_ultima_compra", "_fecha_ref")
     return (agg.where(F.col("id_cliente").isNotNull())
                .select(
                    "id_cliente",

@@ -23,7 +23,7 @@ subtracted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import with_scalars
@@ -148,31 +148,34 @@ def global_row_number(df: DataFrame, order_cols: list[str], alias: str = "rn",
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                     group_cols: list[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy's default) of ``col``, exactly.
 
     Work is linear: values are counted per distinct value (per group), the
     counts get running totals, and each requested rank is found by joining
     the probe table (groups x probs rows) against the value ranges. Without
-    groups the probe table has ``len(probs)`` rows and is broadcast; with
-    groups its size depends on the data, so it is broadcast only after its
-    rows and bytes are measured (``bounded_broadcast``), else equi-joined on
-    the group keys. Either way no group's values are ever gathered in one task:
+    groups one aggregate picks the values at the ranks; with groups the probe
+    table's size depends on the data, so it is broadcast only after its rows
+    and bytes are measured (``bounded_broadcast``), else equi-joined on the
+    group keys. Either way no group's values are ever gathered in one task:
     a hot group only adds rows to the range-partitioned running totals.
-    Returns rows (*groups, p, quantile).
+    ``weight`` names a column that says how often a row counts. Returns rows
+    (*groups, p, quantile).
     """
     g = list(group_cols or [])
     counts = (df.where(F.col(col).isNotNull())
                 .groupBy(*g, F.col(col).cast("double").alias("v"))
-                .agg(F.count(F.lit(1)).alias("c")))
+                .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("c")))
     cum, totals = prefix_sums_with_totals(counts, ["v"], ["c"], group_cols=g, num_partitions=num_partitions)
     ranges = cum.select(*g, "v", (F.col("cum_c") - F.col("c")).alias("lo"), F.col("cum_c").alias("hi"))
+    if not g:
+        return _quantiles_of_all(ranges, totals, probs)
     probe_p = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
     probes = (totals.where(F.col("tot_c") > 0).select(*g, "tot_c", probe_p)
                     .select(*g, "p", (F.col("p") * (F.col("tot_c") - 1)).alias("h"))
                     .select(*g, "p", "h", F.floor("h").cast("long").alias("j"))
                     .select(*g, "p", "h", "j", (F.col("j") + 1).alias("j1")))
-    pa = (bounded_broadcast(probes, checkpoint=False) if g else F.broadcast(probes)).alias("pa")
+    pa = bounded_broadcast(probes, checkpoint=False).alias("pa")
 
     # ONE pass over the value ranges: a range holding rank j gives the lower
     # value a, the one holding rank j + 1 the upper value b (b is missing
@@ -187,7 +190,27 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
         F.col("pa.j").alias("j"), F.when(in_j, F.col("r.v")).alias("_a"), F.when(in_j1, F.col("r.v")).alias("_b"))
     picked = hits.groupBy(*g, "p").agg(F.max("h").alias("h"), F.max("j").alias("j"),
                                        F.max("_a").alias("a"), F.max("_b").alias("b"))
-    t = F.col("h") - F.col("j")
-    diff = F.col("b") - F.col("a")
-    lerp = F.when(t >= 0.5, F.col("b") - diff * (F.lit(1.0) - t)).otherwise(F.col("a") + diff * t)
-    return picked.select(*g, "p", F.when(F.col("b").isNull(), F.col("a")).otherwise(lerp).alias("quantile"))
+    return picked.select(*g, "p", _between("a", "b", F.col("h") - F.col("j")).alias("quantile"))
+
+
+def _between(low: str, high: str, t: Column) -> Column:
+    """The point t of the way from ``low`` to ``high`` (a missing ``high``: the last value)."""
+    diff = F.col(high) - F.col(low)
+    lerp = F.when(t >= 0.5, F.col(high) - diff * (F.lit(1.0) - t)).otherwise(F.col(low) + diff * t)
+    return F.when(F.col(high).isNull(), F.col(low)).otherwise(lerp)
+
+
+def _quantiles_of_all(ranges: DataFrame, totals: DataFrame, probs: list[float]) -> DataFrame:
+    """(p, quantile) without groups: the values at the wanted ranks by one aggregate over the value ranges, no join."""
+    last = F.coalesce(totals.select("tot_c").scalar(), F.lit(0)) - 1
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("lo") <= rank) & (rank < F.col("hi")), F.col("v")))
+
+    picked = []
+    for p in probs:
+        h = F.lit(float(p)) * last
+        j = F.floor(h).cast("long")
+        picked.append(F.struct(F.lit(float(p)).alias("p"), h.alias("h"), j.alias("j"), at(j).alias("a"), at(j + 1).alias("b")))
+    rows = ranges.agg(F.array(*picked).alias("q"), F.max("hi").alias("n")).where("n IS NOT NULL").select(F.explode("q").alias("q")).select("q.*")
+    return rows.select("p", _between("a", "b", F.col("h") - F.col("j")).alias("quantile"))

@@ -43,7 +43,7 @@ CLEAN_CTES = (ZM, C1, CLEAN)
 TX_AGG = """
 tx_agg AS (
   SELECT id_cliente, max(fecha_compra) AS ultima, count(id_transaccion) AS frequency,
-    CAST(sum(CAST(monto_pago AS DECIMAL(18,2))) AS DOUBLE) AS mt, count(monto_pago) AS nm,
+    round(sum(monto_pago), 4) AS mt, count(monto_pago) AS nm,
     max(monto_pago) AS ticket_max,
     count(DISTINCT categoria_producto) AS diversidad_categorias,
     CAST(max(CASE WHEN coalesce(medio_pago = 'credito_propio_retail', false) THEN 1 ELSE 0 END) AS INTEGER)
