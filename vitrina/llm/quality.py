@@ -16,7 +16,7 @@ difference of its two class scores.
 
 Defined results: a null text is empty; an empty text has the zero vector, so
 its score is the layer's bias alone; labels other than 0 and 1 and null labels
-are not used; with labels of one class or none, every score is the share of
+are not used, of contradicting labels of an id the lower counts; with labels of one class or none, every score is the share of
 label 1 (0.5 without labels); repeated rows are scored each.
 """
 
@@ -169,7 +169,8 @@ def held_out(col):
 def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> DataFrame:
     """(text, label) of at most ``bound`` labelled rows, those with the smallest id hashes."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-    usable = usable.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    usable = usable.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+    usable = usable.groupBy("doc_id").agg(F.min("label").alias("label"))  # of contradicting labels the lower
     n = usable.count()
     if n > 2 * bound:  # about twice the bound, so that no task has many rows to sort
         usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(2 * bound / n * (1 << 30)))
@@ -184,18 +185,20 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS):
 
     def features(batches):
         for batch in batches:
-            for y, texts in blocks([batch.column("label").to_pylist(), batch.column("text").to_pylist()], BLOCK_CHARS):
+            for own, y, texts in blocks([batch.column(c).to_pylist() for c in ("doc_id", "label", "text")], BLOCK_CHARS):
                 found, count = zip(*Block(texts).counts()) if texts else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([c.tobytes() for c in count], pa.binary())], ["label", "found", "count"])
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(y, pa.int32()), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([c.tobytes() for c in count], pa.binary())], ["doc_id", "label", "found", "count"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y, rows = [], []
+        ids, y, rows = [], [], []
         for batch in batches:
+            ids += batch.column("doc_id").to_pylist()
             y += batch.column("label").to_pylist()
             for a, b in zip(batch.column("found").to_pylist(), batch.column("count").to_pylist()):
                 found = np.frombuffer(a, np.int32)
                 rows.append((found, np.frombuffer(b, f"u{len(b) // max(len(found), 1) or 1}")))
-        y = np.array(y, np.int64)
+        by = np.argsort(ids)  # the same order whatever block arrives first
+        y, rows = np.array(y, np.int64)[by], [rows[k] for k in by]
         both = 0 < y.sum() < len(y)
         if both:
             vectors, layer, bias = descend(rows, y)
@@ -204,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS):
             value, constant = np.zeros(0, np.float32), float("inf") if y.all() else -float("inf")
         yield pa.RecordBatch.from_pydict({"value": pa.array([value.astype(np.float32).tobytes()], pa.binary()), "constant": pa.array([constant], pa.float64())})
 
-    rows = training_rows(docs, labels, bound).mapInArrow(features, "label int, found binary, count binary")
+    rows = training_rows(docs, labels, bound).mapInArrow(features, "doc_id long, label int, found binary, count binary")
     model = rows.groupBy().applyInArrow(learn, "value binary, constant double").collect()
     if not model:
         return np.zeros(BUCKETS + DISTANCES, np.float32), 0.0
