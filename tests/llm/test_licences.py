@@ -67,3 +67,28 @@ def test_short_names_and_wrapped_notices(spark, model):
     got = {r.doc_id: r.paragraphs for r in licences.scan(make_docs(spark, rows), model).collect()}
     # the third line of the wrapped header is clear by itself only in version 2
     assert got == {1: "0:CC0-1.0", 2: "1:CC0-1.0", 3: "2:GPL-3.0", 4: "2:GPL-2.0", 5: "0:MIT,1:GPL-3.0", 6: "", 7: "", 8: "0:LGPL-3.0", 9: "0:MPL-2.0"}
+
+
+UNKNOWN_NOTICES = [
+    "Licensed under the Example Corp License, Version 2.0.", "This work is licensed under the GNU Affero General Public License, version 3.",
+    "Licensed under the Blue Whale License, Version 2.0.", "Released under the Sleepy Cat License.", "Licensed under the Initech license.",
+    "This work is licensed under the Acme General Terms, version 3.", "This Source Code Form is subject to the terms of the Globex Public License, v. 2.0.",
+    "Licensed under the Eclipse Public License, version 2.0.", "SPDX-License-Identifier: AGPL-3.0-only", "SPDX-License-Identifier: EPL-2.0",
+    "Use of this software is governed by the Business Source License 1.1.", "Released under the Business Source License, version 1.1.",
+]
+
+
+def test_notices_of_other_licences_are_unknown(spark, model):
+    rows = list(enumerate(UNKNOWN_NOTICES))
+    got = {r.doc_id: r.paragraphs for r in licences.scan(make_docs(spark, rows), model).collect()}
+    assert got == dict.fromkeys(got, "")
+
+
+def test_precision_and_recall_on_notices_with_words_around_them(spark, model):
+    """Every template with words that no training copy has before and behind it."""
+    known = [(k, t) for k, own in licences.TEMPLATES.items() for t in own]
+    rows = [(n, f"Notice for readers: {t} Thank you kindly") for n, (_, t) in enumerate(known)]
+    got = {r.doc_id: r.families for r in licences.scan(make_docs(spark, rows), model).collect()}
+    right = sum(got[n] == k for n, (k, _) in enumerate(known))
+    wrong = sum(got[n] not in ("", k) for n, (k, _) in enumerate(known))
+    assert wrong == 0 and right >= 0.9 * len(known), [(t, got[n]) for n, (k, t) in enumerate(known) if got[n] != k]

@@ -8,7 +8,8 @@ or "unknown". It is trained on altered copies of template notices, on ordinary
 lines of the corpus and on sentences that use the same words for other things.
 The probability asked of a family is calibrated on rows the training didn't
 see; a prediction counts only if comparing word pairs with the family's
-templates confirms it.
+templates confirms it: the notice names the family, and no notice of a licence
+outside the families is as close.
 
 Defined results: a null or empty text has no paragraph; a document's families
 are listed in alphabetical order, its lines (from 0) in text order; two
@@ -115,6 +116,35 @@ OTHER = [
     "Copyright law protects original works of authorship.",
     "All license plates must be returned to the office before moving.",
 ]
+# Notices of licences outside the families: unknown, however much they share with a template.
+FOREIGN = [
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "Licensed under the GNU Affero General Public License, version 3.",
+    "SPDX-License-Identifier: AGPL-3.0-only",
+    "This program is made available under the terms of the Eclipse Public License, version 2.0.",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "Use of this software is governed by the Business Source License 1.1.",
+    "Licensed under the Server Side Public License, version 1.",
+    "Released under the Artistic License, version 2.0.",
+    "Licensed under the Example Corp License, Version 2.0.",
+    "This software is licensed under a proprietary license of the vendor.",
+    "Released under the Example Corp License.",
+]
+# Words that a notice of each family names itself by (lower case); without them no template confirms it.
+NAMED_BY = {
+    "Apache-2.0": r"\bapache\b|\bunless required by applicable law\b",
+    "BSD-3-Clause": r"\bbsd\b|\bredistribution and use\b",
+    "CC-BY-4.0": r"\bcc[ -]?by\b|creative commons",
+    "CC-BY-NC-4.0": r"\bcc[ -]?by[ -]nc\b|non-?commercial",
+    "CC-BY-SA-4.0": r"\bcc[ -]?by[ -]sa\b|share-?alike",
+    "CC0-1.0": r"\bcc0\b|\bwaived all copyright\b",
+    "GPL-2.0": r"\bgpl|\bgnu general\b|\bfree software foundation\b",
+    "GPL-3.0": r"\bgpl|\bgnu general\b|\bfree software foundation\b",
+    "ISC": r"\bisc\b|\bwith or without fee\b",
+    "LGPL-3.0": r"\blgpl|\blesser general\b",
+    "MIT": r"\bmit\b|\bfree of charge\b",
+    "MPL-2.0": r"\bmpl\b|\bmozilla\b",
+}
 #: First parts of the families' names; those that are words of other languages too count only as they are written.
 NAMES = sorted({k.split("-")[0] for k in TEMPLATES} - {"CC", "ISC", "MIT"})
 CUE = rf"(?i:licen[cs]e|copyright|warrant|redistribut|permission|public domain|creative commons|spdx|mozilla|\bCC[ -]?BY|\b(?:{'|'.join(NAMES)}))|\b(?:ISC|MIT)\b"
@@ -144,7 +174,7 @@ def vectors(rows: DataFrame) -> DataFrame:
 def training_rows(docs: DataFrame) -> DataFrame:
     """(paragraph, label, half): altered copies of notices and of other sentences, and ordinary lines."""
     spark = docs.sparkSession
-    known = [(t, LABELS.index(k)) for k, own in TEMPLATES.items() for t in own] + [(t, 0) for t in OTHER]
+    known = [(t, LABELS.index(k)) for k, own in TEMPLATES.items() for t in own] + [(t, 0) for t in OTHER + FOREIGN]
     base = spark.createDataFrame(known, "paragraph string, label int").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
     # a copy loses about a tenth of its words; one half of the copies keeps all
     kept = F.filter(F.split("paragraph", " "), lambda w: (F.col("copy") % 2 == 0) | (F.pmod(F.xxhash64(w, "copy", "paragraph"), F.lit(10)) > 0))
@@ -171,20 +201,26 @@ class Model:
         rows = self.fitted.transform(vectors(rows)).withColumn("p", vector_to_array("probability"))
         rows = rows.withColumn("family", F.col("prediction").cast("int")).withColumn("probability", F.array_max("p"))
         rows = rows.withColumn("o", overlaps(F.col("tokens"))).withColumn("overlap", F.element_at("o", F.col("family") + 1))
+        named = F.element_at(F.array(F.lit(True), *(F.lower("paragraph").rlike(NAMED_BY[k]) for k in TEMPLATES)), F.col("family") + 1)
+        # the family's name is there, and no notice of another licence is closer than the family's own
+        rows = rows.withColumn("confirmed", named & (F.col("overlap") >= OVERLAP) & (F.col("overlap") > F.element_at("o", 1)))
         rows = rows.withColumn("tied", F.filter(F.transform("o", lambda x, k: F.when(x >= F.col("overlap"), k)), lambda k: k.isNotNull()))
         return rows.drop("p", "o", "rawPrediction", "prediction", "features")
 
     def find(self, rows: DataFrame) -> DataFrame:
         """The paragraphs that a family is found in."""
-        return self.predict(rows).where((F.col("family") > 0) & (F.col("probability") >= self.threshold) & (F.col("overlap") >= OVERLAP))
+        return self.predict(rows).where((F.col("family") > 0) & (F.col("probability") >= self.threshold) & F.col("confirmed"))
 
 
 def overlaps(tokens: Column) -> Column:
-    """For each family, the largest share of word pairs that a paragraph and a template have in common, of the shorter one."""
+    """For each label, the largest share of word pairs that a paragraph and a template have in common, of the shorter one.
+
+    The templates of "unknown" are the notices of other licences.
+    """
     def literal(own):
         return F.array(*(F.array_distinct(pairs(words(F.lit(t)))) for t in own))
 
-    templates = F.array(F.array().cast("array<array<string>>"), *(literal(own) for own in TEMPLATES.values()))
+    templates = F.array(literal(FOREIGN), *(literal(own) for own in TEMPLATES.values()))
     own = F.array_distinct(pairs(tokens))
     def share(t):
         return F.size(F.array_intersect(own, t)) / F.greatest(F.least(F.size(own), F.size(t)), F.lit(1))
