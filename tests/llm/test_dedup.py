@@ -56,3 +56,21 @@ def test_kept_documents_and_empty_table(spark, edge_docs, no_docs):
 def test_no_python_in_the_plan(spark, edge_docs):
     plan = dedup.exact_groups(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_rows_stay_whole_whatever_their_columns_are_called(spark):
+    from vitrina.llm import nearcopies
+
+    text = " ".join(WORDS * 3)
+    rows = [(1, "One", "k1", 1, "a"), (2, text, "k2", 2, "b"), (2, text, "k0", 3, "c"), (2, text.upper(), None, 4, "d"), (None, "", "k4", 5, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, row int, key string")
+    for keep in (dedup.keep_exact, nearcopies.keep_first):
+        for parts in (1, 4):
+            out = keep(docs.repartition(parts))
+            assert out.columns == docs.columns
+            got = {r["doc_id"]: tuple(r) for r in out.collect()}
+            assert set(got) == {1, 2, None} and got[1] == rows[0] and got[None] == rows[4]
+            assert got[2] in rows
+    # of equal rows the smallest by the other columns in order
+    same = spark.createDataFrame([r for r in rows[1:3]], docs.schema)
+    assert {tuple(r) for keep in (dedup.keep_exact, nearcopies.keep_first) for r in keep(same.repartition(3)).collect()} == {rows[2]}

@@ -93,5 +93,5 @@ def ranked_recipes(normal: DataFrame, recipes: DataFrame, unclear: DataFrame, ha
 def keep_exact(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns (of equal rows one)."""
     kept = exact_groups(docs).where("kept")
-    own = docs.withColumn("_key", F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256))
-    return keep_rows(own, kept.select("doc_id", F.col("text_sha256").alias("_key")))
+    digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256)
+    return keep_rows(docs, digest, kept.select("doc_id", F.col("text_sha256").alias("digest")))

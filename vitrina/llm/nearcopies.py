@@ -371,5 +371,5 @@ def classes(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns."""
     kept = classes(docs).where("kept")
-    own = docs.withColumn("_key", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    return keep_rows(own, kept.select("doc_id", F.col("text_key").alias("_key")))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return keep_rows(docs, digest, kept.select("doc_id", F.col("text_key").alias("digest")))

@@ -16,8 +16,9 @@ from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from vitrina.session import ensure_checkpoint_dir
 
@@ -62,14 +63,21 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id and ``_key`` (a digest of the text) are in ``kept``, of equal rows one.
+def keep_rows(docs: DataFrame, digest: Column, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id and ``digest`` of the text are in ``kept`` (doc_id, digest).
 
-    One key for join and duplicates: the texts are shuffled and sorted once.
+    Of rows that share both, the smallest by their other plain columns in
+    order stays. The rows travel as one struct, so no column name can clash;
+    one key for join and duplicates: the texts are shuffled and sorted once.
     """
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("_key")).alias("_key")
-    own = docs.withColumn("_key", key)
-    return own.join(kept.select(key), "_key", "left_semi").dropDuplicates(["_key"]).select(*[c for c in docs.columns if c != "_key"])
+    def key(doc_id: Column, text: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), text).alias("key")
+
+    own = docs.select(key(F.col("doc_id"), digest), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    order = [F.col("row").getField(f.name) for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name not in ("doc_id", "text")]
+    wanted = kept.select(key(F.col("doc_id"), F.col("digest")))
+    one = own.join(wanted, "key", "left_semi").groupBy("key").agg(F.min_by("row", F.struct(F.lit(0), *order)).alias("row"))
+    return one.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def _local(uri: str) -> str | None:
