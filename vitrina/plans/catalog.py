@@ -10,8 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import cleaning, customer360, features
-from ..sources import fixtures
+from pyspark.sql import functions as F
+
+from ..operators import asof, cleaning, customer360, dataset, encoding, features, lookups
+from ..session import scratch_dir
+from ..sources import csv as csv_source
+from ..sources import fixtures, sinks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -39,9 +43,41 @@ def c360(spark, sf_dir) -> DataFrame:
 
 
 # --- sources ------------------------------------------------------------------
-query("src_clientes")(lambda s, d: fixtures.clientes(s, d))
-query("src_transacciones")(lambda s, d: fixtures.transacciones(s, d))
-query("src_interacciones")(lambda s, d: fixtures.interacciones(s, d))
+RAW_KEYS = {"clientes": "id_cliente", "transacciones": "id_transaccion", "interacciones": "id_interaccion"}
+
+
+def csv_folder(spark: SparkSession, sf_dir: str, names=tuple(RAW_KEYS), spoil=None) -> str:
+    """The raw tables written as CSV files (as text, with missing-value words, columns in another order)."""
+    folder = scratch_dir(spark, f"csv-{sinks.new_run_id()}")
+    for name in names:
+        df = getattr(fixtures, name)(spark, sf_dir)
+        fixtures.write_csv(spoil(name, df) if spoil else df, f"{folder}/{name}.csv", RAW_KEYS[name])
+    return folder
+
+
+def from_csv(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    folder = csv_folder(spark, sf_dir, (name,))
+    return csv_source.read_checked(spark, f"{folder}/{name}.csv", csv_source.RAW_FILES[name], name)[0]
+
+
+query("src_clientes")(lambda s, d: from_csv(s, d, "clientes"))
+query("src_transacciones")(lambda s, d: from_csv(s, d, "transacciones"))
+query("src_interacciones")(lambda s, d: from_csv(s, d, "interacciones"))
+
+
+@query("raw_load")
+def _raw_load(spark, sf_dir):
+    """Rows that load and rows that don't, by table and column, from files in which some customers' scores and some visits' dates are no such values."""
+    def spoil(name, df):
+        if name == "clientes":
+            return df.withColumn("score_credito_interno", F.when(F.col("antiguedad_meses") % 7 == 0, F.lit("alto")).otherwise(F.col("score_credito_interno").cast("string")))
+        if name == "interacciones":
+            return df.withColumn("fecha_visita", F.when(F.col("id_tienda") == "t3", F.lit("ayer")).otherwise(F.col("fecha_visita").cast("string")))
+        return df
+
+    tables, bad = csv_source.load_raw(spark, csv_folder(spark, sf_dir, spoil=spoil))
+    good = [getattr(tables, name).agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("tabla"), F.lit("").alias("columna"), "filas") for name in RAW_KEYS]
+    return good[0].unionByName(good[1]).unionByName(good[2]).unionByName(csv_source.bad_row_counts(bad))
 
 # --- cleaning -----------------------------------------------------------------
 query("clean_phone")(lambda s, d: cleaning.phone_flag(fixtures.clientes(s, d))
@@ -78,20 +114,15 @@ query("visit_features")(lambda s, d: features.build_visit_features(fixtures.inte
 query("customer_360")(c360)
 
 # --- sources, sinks, previews (2.1) -------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators import dataset, encoding, lookups  # noqa: E402
-from ..session import scratch_dir  # noqa: E402
-from ..sources import csv as csv_source  # noqa: E402
-from ..sources import sinks  # noqa: E402
 from . import rules  # noqa: E402
 
 
+@query("na_normalise")
 def _na_normalise(spark, sf_dir):
-    return csv_source.normalise_na(fixtures.clientes(spark, sf_dir))
-
-
-query("na_normalise")(_na_normalise)
+    """The customers with missing-value words in the places of their nulls, normalised."""
+    clientes = fixtures.clientes(spark, sf_dir)
+    clean = csv_source.normalise_na(fixtures.with_na_words(clientes, "id_cliente"))
+    return clean.select(*[F.col(f.name).cast(f.dataType) for f in clientes.schema.fields])
 
 
 def visit_table(spark, sf_dir, extra_cols=()):
@@ -200,6 +231,17 @@ def _ordinal_apply(spark, sf_dir):
 
 
 query("visit_dataset")(lambda s, d: visit_table(s, d)[0])
+query("visit_asof")(lambda s, d: asof.visit_asof(raw(s, d).interacciones, raw(s, d).transacciones))
+
+
+@query("visit_dataset_asof")
+def _visit_dataset_asof(spark, sf_dir):
+    """The training table without its look into the future: histories up to, not including, each visit."""
+    r = raw(spark, sf_dir)
+    before = asof.visit_asof(r.interacciones, r.transacciones)
+    return asof.without_leak(visit_table(spark, sf_dir)[0], before)
+
+
 query("target_rate")(lambda s, d: dataset.target_rate(visit_table(s, d)[0]))
 
 # --- profiling and quality (2.13) ----------------------------------------------

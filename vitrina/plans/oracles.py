@@ -129,6 +129,33 @@ def oracle(key: str, *ctes: str):
 oracle("src_clientes")("SELECT * FROM clientes")
 oracle("src_transacciones")("SELECT * FROM transacciones")
 oracle("src_interacciones")("SELECT * FROM interacciones")
+oracle("raw_load")("""
+SELECT 'clientes' AS tabla, '' AS columna, count(*) FILTER (antiguedad_meses % 7 <> 0) AS filas FROM clientes
+UNION ALL SELECT 'transacciones', '', count(*) FROM transacciones
+UNION ALL SELECT 'interacciones', '', count(*) FILTER (id_tienda <> 't3') FROM interacciones
+UNION ALL SELECT 'clientes', 'score_credito_interno', count(*) FROM clientes WHERE antiguedad_meses % 7 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'interacciones', 'fecha_visita', count(*) FROM interacciones WHERE id_tienda = 't3' HAVING count(*) > 0
+""")
+oracle("visit_asof")("""
+, ev AS (
+  SELECT id_cliente, CAST(fecha_visita AS TIMESTAMP) AS ts, 1 AS kind, id_interaccion AS event, 1 AS v, compro_en_visita AS b,
+    CASE WHEN motivo_visita = 'servicio_tecnico' THEN 1 ELSE 0 END AS s, CASE WHEN motivo_visita = 'cotizacion' THEN 1 ELSE 0 END AS q,
+    CASE WHEN motivo_visita = 'reclamo' THEN 1 ELSE 0 END AS r, 0 AS p, NULL AS m FROM interacciones
+  UNION ALL
+  SELECT id_cliente, CAST(fecha_compra AS TIMESTAMP), 0, id_transaccion, 0, 0, 0, 0, 0, 1, monto_pago FROM transacciones
+), w AS (
+  SELECT *, coalesce(sum(v) OVER past, 0) AS nv, coalesce(sum(b) OVER past, 0) AS nb, coalesce(sum(s) OVER past, 0) AS ns,
+    coalesce(sum(q) OVER past, 0) AS nq, coalesce(sum(r) OVER past, 0) AS nr, coalesce(sum(p) OVER past, 0) AS np,
+    coalesce(sum(CAST(m AS DECIMAL(38, 4))) OVER past, 0) AS nm, count(m) OVER past AS nc
+  FROM ev WHERE id_cliente IS NOT NULL
+  WINDOW past AS (PARTITION BY id_cliente ORDER BY ts NULLS FIRST, kind, event ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT event AS id_interaccion, CAST(nv AS BIGINT) AS total_visitas, CASE WHEN nv = 0 THEN 0.0 ELSE CAST(nb AS DOUBLE) / nv END AS tasa_conversion_hist,
+  CAST(ns AS BIGINT) AS visitas_servicio_tecnico, CAST(nq AS BIGINT) AS visitas_cotizacion, CAST(nr AS BIGINT) AS visitas_reclamo,
+  CAST(np AS BIGINT) AS frequency, CAST(nm AS DOUBLE) AS monetary_total, CASE WHEN nc = 0 THEN 0.0 ELSE CAST(nm AS DOUBLE) / nc END AS monetary_avg
+FROM w WHERE kind = 1
+UNION ALL SELECT id_interaccion, 0, 0.0, 0, 0, 0, 0, 0.0, 0.0 FROM interacciones WHERE id_cliente IS NULL
+""")
 oracle("clean_phone")(f"SELECT id_cliente, celular_contacto, {PHONE_SQL} AS tiene_celular_valido FROM clientes")
 oracle("clean_email")(f"SELECT id_cliente, email_contacto, {EMAIL_SQL} AS tiene_email_valido FROM clientes")
 oracle("zone_median", ZM)("SELECT * FROM zm")

@@ -121,6 +121,25 @@ def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(clientes(spark, sf_dir), transacciones(spark, sf_dir), interacciones(spark, sf_dir))
 
 
+# Missing-value words that take the nulls' places in the written files.
+NA_CYCLE = ("NA", "", "NULL", "nan", "N/A", "<NA>")
+
+
+def with_na_words(df: DataFrame, key: str) -> DataFrame:
+    """All columns as text, each null as one of the missing-value words, by a hash of the row's key."""
+    words = F.array(*map(F.lit, NA_CYCLE))
+    word = F.element_at(words, F.pmod(F.hash(key), F.lit(len(NA_CYCLE))).cast("int") + 1)
+    return df.select(*[F.coalesce(F.col(c).cast("string"), word).alias(c) for c in df.columns])
+
+
+def write_csv(df: DataFrame, path: str, key: str) -> str:
+    """``df`` as CSV files: columns in reverse order, missing-value words, and a note with quotes and line breaks behind each row."""
+    note = F.concat(F.lit('dijo "hola",\n'), F.col(key), F.lit("\nadiós"))
+    out = with_na_words(df, key).select(*reversed(df.columns)).withColumn("notas", note)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    return path
+
+
 # The same three views as SQL text, used as CTEs by the DuckDB oracles.
 FIXTURE_CTES = """
 clientes AS (
