@@ -2,18 +2,24 @@
 silhouette, stable segment names, per-segment profile / box statistics and a
 2-D map.
 
-Spark ML fits K-Means with distributed passes (one aggregation of centroid
-sums per iteration), so the data never leaves the executors; only the k
-centres (k x 10 numbers) reach the driver. The scaled frame is persisted once
-for the whole sweep. Silhouette is Spark's linear-cost form (squared
-Euclidean), never all pairs of rows.
+All K-Means fits that are asked for together, every (k, restart) of a sweep,
+share the scans of the scaled customers. One pass assigns each customer to the
+nearest centre of every fit and sums them by (fit, cluster) in the task; the
+sums meet in one aggregate keyed (fit, cluster), and only they (k x 10 numbers a
+fit) reach the driver. Fits that have converged drop out of the next pass. The
+first centres are drawn by k-means++, also for all fits at once: a customer's
+chance follows its squared distance to the centres so far, by a hash of its id,
+so a repeated task draws the same. The scaled frame is persisted once for the
+whole sweep. Silhouette is Spark's linear-cost form (squared Euclidean), never
+all pairs of rows.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -77,11 +83,8 @@ def feature_stages(columns: list[str] = SEGMENT_FEATURES):
 def prepare(c360: DataFrame, columns: list[str] = SEGMENT_FEATURES) -> tuple[PipelineModel, DataFrame]:
     """Fit the scaler; return it and the persisted (id, features) frame.
 
-    The frame is materialised here, before any fit: the sweep submits
-    several K-Means jobs at once, and a lazily persisted frame would be
-    computed by each of them until the first one had filled the cache.
-    Pass a checkpointed ``c360``, since the scaler fit and the transform
-    both read it.
+    The frame is materialised here, before any fit reads it. Pass a
+    checkpointed ``c360``, since the scaler fit and the transform both read it.
     """
     filled = c360.fillna(0, subset=columns)
     model = Pipeline(stages=feature_stages(columns)).fit(filled)
@@ -93,34 +96,134 @@ def prepare(c360: DataFrame, columns: list[str] = SEGMENT_FEATURES) -> tuple[Pip
 @dataclass
 class KMeansFit:
     k: int
-    model: KMeansModel
-    inertia: float
     seed: int
+    centres: np.ndarray
+    inertia: float = float("inf")
+
+    def model(self, spark) -> KMeansModel:
+        """A Spark model with these centres: K-Means of the centres alone, which are their own clusters."""
+        from pyspark.ml.linalg import Vectors
+
+        rows = spark.createDataFrame([(Vectors.dense(c),) for c in self.centres], ["features"]).coalesce(1)
+        return KMeans(k=self.k, initMode="random", maxIter=1, seed=1, featuresCol="features", predictionCol="cluster").fit(rows)
 
 
 def mean_variance(scaled: DataFrame) -> float:
     """Mean population variance of the feature columns (one summary job)."""
+    if scaled.isEmpty():
+        return 0.0
     s = scaled.select(Summarizer.metrics("variance", "count").summary(F.col("features")).alias("s")).first()["s"]
     n = int(s["count"])
     return float(s["variance"].toArray().mean() * (n - 1) / n) if n > 1 else 0.0
 
 
-def center_tolerance(k: int, mean_var: float, tol: float = TOL) -> float:
-    """Spark's per-centre tolerance that matches the reference's relative ``tol``.
-
-    The reference stops when the SUM over centres of squared centre shifts is
-    at most ``tol x mean feature variance``; Spark stops when EVERY centre
-    moved by at most its ``tol`` (a distance). A per-centre distance of
-    sqrt(tol x mean_var / k) keeps the sum within the reference's bound.
+def _points(batch: pa.RecordBatch) -> np.ndarray:
+    x = batch.column("x")
+    return x.flatten().to_numpy().reshape(len(x), -1)
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of rows to centres."""
+    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0)
+
+
+def _draw(mark: np.ndarray, seed: int, turn: int) -> np.ndarray:
+    """A number in (0, 1] for each row, from a hash of its id, the seed and the turn."""
+    h = mark.view(np.uint64) ^ np.uint64((seed * 1_000_003 + turn) * 0x9E3779B97F4A7C15 % (1 << 64))
+    for _ in range(2):
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((h ^ (h >> np.uint64(32))) >> np.uint64(11)).astype(np.float64) / (1 << 53) + 2.0 ** -54
+
+
+def _next_centres(points: DataFrame, fits: list[KMeansFit], turn: int) -> dict[int, list[float]]:
+    """One k-means++ draw for every fit: the row with the least exponential key, weighted by its squared distance."""
+    wanted = [(f, fit.seed, fit.centres) for f, fit in enumerate(fits) if fit.k > turn]
+
+    def run(batches):
+        best: dict[int, tuple[float, np.ndarray]] = {}
+        for batch in batches:
+            x, mark = _points(batch), batch.column("mark").to_numpy()
+            if not len(x):
+                continue
+            for f, seed, centres in wanted:
+                weight = _distances(x, centres).min(1) if len(centres) else np.ones(len(x))
+                with np.errstate(divide="ignore"):
+                    key = -np.log(_draw(mark, seed, turn)) / weight
+                k = int(np.argmin(key))
+                if np.isfinite(key[k]) and (f not in best or key[k] < best[f][0]):
+                    best[f] = (key[k], x[k])
+        if best:
+            yield pa.RecordBatch.from_pydict({"fit": pa.array(list(best), pa.int32()), "key": pa.array([b[0] for b in best.values()], pa.float64()),
+                                              "x": pa.array([b[1].tolist() for b in best.values()], pa.list_(pa.float64()))})
+
+    rows = points.mapInArrow(run, "fit int, key double, x array<double>").groupBy("fit").agg(F.min_by("x", "key").alias("x")).collect()
+    return {r["fit"]: list(r["x"]) for r in rows}
+
+
+def _sums(points: DataFrame, fits: list[KMeansFit], active: list[int]) -> dict[tuple[int, int], tuple[int, float, np.ndarray]]:
+    """(rows, squared distances, sums) of every cluster of the active fits, in one pass."""
+    own = [(f, fits[f].centres) for f in active]
+    d = fits[active[0]].centres.shape[1]
+
+    def run(batches):
+        total: dict[int, np.ndarray] = {f: np.zeros((len(c), d + 2)) for f, c in own}
+        for batch in batches:
+            x = _points(batch)
+            if not len(x):
+                continue
+            for f, centres in own:
+                dist = _distances(x, centres)
+                near = dist.argmin(1)
+                part = np.zeros((len(x), len(centres)))
+                part[np.arange(len(x)), near] = 1
+                total[f][:, 0] += part.sum(0)
+                total[f][:, 1] += np.bincount(near, dist[np.arange(len(x)), near], len(centres))
+                total[f][:, 2:] += part.T @ x
+        rows = [(f, k, t[k]) for f, t in total.items() for k in range(len(t)) if t[k, 0]]
+        yield pa.RecordBatch.from_pydict({"fit": pa.array([r[0] for r in rows], pa.int32()), "cluster": pa.array([r[1] for r in rows], pa.int32()),
+                                          "s": pa.array([r[2].tolist() for r in rows], pa.list_(pa.float64()))})
+
+    parts = points.mapInArrow(run, "fit int, cluster int, s array<double>")
+    rows = parts.groupBy("fit", "cluster").agg(*[F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(d + 2)]).collect()
+    return {(r["fit"], r["cluster"]): (int(r["s0"]), r["s1"], np.array([r[f"s{j + 2}"] for j in range(d)])) for r in rows}
+
+
+def fit_many(scaled: DataFrame, wanted: list[tuple[int, int]], max_iter: int = MAX_ITER, tol: float = TOL,
+             start: list[np.ndarray] | None = None) -> list[KMeansFit]:
+    """K-Means for every (k, seed), all in shared passes over the persisted frame.
+
+    A fit ends when the sum of its squared centre shifts is at most ``tol``
+    times the mean feature variance (the reference's rule); an emptied cluster
+    keeps its centre. ``start`` gives first centres instead of drawing them.
     """
-    return math.sqrt(tol * mean_var / k) if mean_var > 0 else tol
-
-
-def _fit_one(scaled: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> KMeansFit:
-    """One seeded K-Means run; ``tol`` is Spark's absolute per-centre distance."""
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
-    model = km.fit(scaled)
-    return KMeansFit(k, model, float(model.summary.trainingCost), seed)
+    points = scaled.select(F.xxhash64("id_cliente").alias("mark"), vector_to_array("features").alias("x"))
+    limit = tol * mean_variance(scaled)
+    fits = [KMeansFit(k, seed, np.zeros((0, 0)) if start is None else np.array(start[i], float)) for i, (k, seed) in enumerate(wanted)]
+    if start is None:
+        for turn in range(max((f.k for f in fits), default=0)):
+            found = _next_centres(points, fits, turn)
+            for i, f in enumerate(fits):
+                if f.k > turn and (i in found or len(f.centres)):  # fewer different rows than k: a centre stands twice
+                    row = np.array(found[i] if i in found else f.centres[-1])
+                    f.centres = np.vstack([f.centres, row]) if len(f.centres) else row[None]
+    active = [i for i, f in enumerate(fits) if len(f.centres)]
+    for _ in range(max_iter):
+        if not active:
+            break
+        sums = _sums(points, fits, active)
+        for i in list(active):
+            f = fits[i]
+            moved = np.array([sums[i, c][2] / sums[i, c][0] if (i, c) in sums else f.centres[c] for c in range(f.k)])
+            shift = float(((moved - f.centres) ** 2).sum())
+            f.centres = moved
+            if shift <= limit:
+                active.remove(i)
+    able = [i for i, f in enumerate(fits) if len(f.centres)]
+    if able:
+        cost = _sums(points, fits, able)
+        for i in able:
+            fits[i].inertia = float(sum(v[1] for (f, _), v in cost.items() if f == i))
+    return fits
 
 
 def _best(fits: list[KMeansFit]) -> KMeansFit:
@@ -129,14 +232,9 @@ def _best(fits: list[KMeansFit]) -> KMeansFit:
 
 
 def fit_kmeans(scaled: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-               max_iter: int = MAX_ITER, tol: float = TOL, parallelism: int | None = None) -> KMeansFit:
-    """Best of ``n_init`` seeded K-Means runs (lowest within-cluster SS).
-
-    ``tol`` is relative, as in the reference (see ``center_tolerance``).
-    """
-    eps = center_tolerance(k, mean_variance(scaled), tol)
-    jobs = [lambda s=seed + i: _fit_one(scaled, k, s, max_iter, eps) for i in range(n_init)]
-    return _best(run_concurrently(scaled.sparkSession, jobs, parallelism))
+               max_iter: int = MAX_ITER, tol: float = TOL) -> KMeansFit:
+    """Best of ``n_init`` seeded K-Means runs (lowest within-cluster SS)."""
+    return _best(fit_many(scaled, [(k, seed + i) for i in range(n_init)], max_iter, tol))
 
 
 def silhouette(model: KMeansModel, scaled: DataFrame) -> float:
@@ -149,19 +247,16 @@ def k_sweep(scaled: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int
             max_iter: int = MAX_ITER, parallelism: int | None = None) -> DataFrame:
     """(k, inertia, silhouette) for every k: one small row per k.
 
-    The len(k_range) x n_init fits are independent jobs on the persisted
-    scaled frame, submitted ``parallelism`` at a time.
+    All len(k_range) x n_init fits run in shared passes; the silhouettes of
+    the best fits are independent jobs, ``parallelism`` at a time.
     """
-    ks = list(k_range)
-    mv = mean_variance(scaled)
-    jobs = [lambda k=k, s=seed + i: _fit_one(scaled, k, s, max_iter, center_tolerance(k, mv))
-            for k in ks for i in range(n_init)]
-    fits = run_concurrently(scaled.sparkSession, jobs, parallelism)
+    ks, spark = list(k_range), scaled.sparkSession
+    fits = fit_many(scaled, [(k, seed + i) for k in ks for i in range(n_init)], max_iter)
     best = [_best([f for f in fits if f.k == k]) for k in ks]
-    sils = run_concurrently(scaled.sparkSession, [lambda f=f: silhouette(f.model, scaled) for f in best],
-                         parallelism)
+    models = [f.model(spark) for f in best]
+    sils = run_concurrently(spark, [lambda m=m: silhouette(m, scaled) for m in models], parallelism)
     rows = [(int(f.k), float(f.inertia), float(s)) for f, s in zip(best, sils)]
-    return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
 def best_k(sweep: DataFrame) -> DataFrame:
@@ -182,12 +277,12 @@ def stable_order(model: KMeansModel, columns: list[str] = SEGMENT_FEATURES,
 
 
 def segment_model(c360: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-                  max_iter: int = MAX_ITER, parallelism: int | None = None) -> PipelineModel:
+                  max_iter: int = MAX_ITER) -> PipelineModel:
     """Assembler + scaler + K-Means as one persistable PipelineModel."""
     scaler_model, scaled = prepare(c360)
-    fit = fit_kmeans(scaled, k, n_init, seed, max_iter, parallelism=parallelism)
+    fit = fit_kmeans(scaled, k, n_init, seed, max_iter)
     scaled.unpersist()
-    return PipelineModel(stages=list(scaler_model.stages) + [fit.model])
+    return PipelineModel(stages=list(scaler_model.stages) + [fit.model(c360.sparkSession)])
 
 
 def assign_segments(c360: DataFrame, model: PipelineModel, stable: bool = True,

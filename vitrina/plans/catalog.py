@@ -359,7 +359,7 @@ def _kmeans_fit(spark, sf_dir):
     _, scaled = segmentation.prepare(c)
     fit = segmentation.fit_kmeans(scaled, Q_K, n_init=Q_N_INIT)
     centres = [(i, float(fit.inertia), [float(v) for v in ctr])
-               for i, ctr in enumerate(fit.model.clusterCenters())]
+               for i, ctr in enumerate(fit.centres)]
     scaled.unpersist()
     return spark.createDataFrame(centres, "cluster int, inertia double, centro array<double>")
 

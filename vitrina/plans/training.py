@@ -61,7 +61,7 @@ def training_flow(spark: SparkSession, raw: RawTables, base: str,
     best_k = int(segmentation.best_k(sweep).first()["k"])
     km = segmentation.fit_kmeans(scaled, best_k, cfg.n_init, cfg.seed)
     scaled.unpersist()
-    seg_model = PipelineModel(stages=list(scaler_model.stages) + [km.model])
+    seg_model = PipelineModel(stages=list(scaler_model.stages) + [km.model(spark)])
     seg_model.write().overwrite().save(sinks.table_path(base, "models/segmentation"))
     _materialise(spark, segmentation.assign_segments(c360, seg_model), base, "customer_360_seg")
 
