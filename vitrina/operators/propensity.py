@@ -77,6 +77,12 @@ def score(model: BoostedTrees | PipelineModel, df: DataFrame) -> DataFrame:
     return out.drop("features", "features_scaled", "rawPrediction", "probability", "prediction")
 
 
+def held_out(binned: Binned, params: dict, n_folds: int = N_FOLDS, seed: int = SEED) -> DataFrame:
+    """(fit, fold, y, score): every row scored by the model that didn't see its fold."""
+    fits = [Fit(params, f, seed) for f in range(n_folds)]
+    return held_out_scores(binned, fit_many(binned, fits), fits)
+
+
 def trial_aucs(binned: Binned, trials: list[dict], n_folds: int = N_FOLDS, seed: int = SEED) -> DataFrame:
     """(trial, fold, auc): every trial fitted without each fold, in shared scans, and its exact AUC on that fold."""
     fits = [Fit(p, f, seed) for p in trials for f in range(n_folds)]

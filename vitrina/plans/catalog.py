@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import with_scalars
 from ..operators import asof, cleaning, customer360, dataset, encoding, features, lookups
 from ..session import scratch_dir
 from ..sources import csv as csv_source
@@ -342,6 +343,15 @@ def _drift_sink(spark, sf_dir):
     drift.write_drift(drift_results(spark, sf_dir), path)
     return spark.read.parquet(path)
 
+@query("drift_tables")
+def _drift_tables(spark, sf_dir):
+    """Drift between two tables with text categories: cash purchases against all others."""
+    tx = raw(spark, sf_dir).transacciones
+    cash = F.coalesce(F.col("medio_pago") == "efectivo", F.lit(False))
+    both = drift.between(tx.where(cash), tx.where(~cash), ["monto_pago", "categoria_producto", "medio_pago"])
+    return drift.drift_table(both, ["monto_pago"], ["categoria_producto", "medio_pago"]).select(
+        "columna", "test", F.bround("statistic", drift.STAT_DIGITS).alias("statistic"))
+
 # --- segmentation (2.7) -------------------------------------------------------------
 from ..operators import segmentation  # noqa: E402
 
@@ -452,6 +462,24 @@ def _hpo_query(spark, sf_dir):
     return spark.createDataFrame(rows, "number int, params map<string,string>, auc_mean double")
 
 
+@query("model_eval")
+def _model_eval(spark, sf_dir):
+    """AUC, average precision and lift of the top decile of the fitted model: on its own rows and on held-out folds."""
+    tbl = model_table(spark, sf_dir)
+    binned = propensity.binned_table(tbl)
+    own = propensity.score(propensity.fit(tbl, Q_PARAMS, Q_FLOW.seed, binned), tbl).select(F.col(dataset.TARGET).alias("y"), "score")
+    samples = {"dentro": own, "fuera": propensity.held_out(binned, Q_PARAMS, Q_FLOW.n_folds, Q_FLOW.seed).select("y", "score")}
+    out = None
+    for name, scored in samples.items():
+        scored = scored.checkpoint()
+        row = evaluation.auc(scored)
+        for more in (evaluation.average_precision(scored), evaluation.top_lift(evaluation.deciles(scored))):
+            row = with_scalars(row, more)
+        row = row.select(F.lit(name).alias("muestra"), "auc", "average_precision", "lift_top")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 query("model_compare")(lambda s, d: propensity.compare_models(model_table(s, d)))
 
 

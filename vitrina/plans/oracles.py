@@ -136,6 +136,19 @@ UNION ALL SELECT 'interacciones', '', count(*) FILTER (id_tienda <> 't3') FROM i
 UNION ALL SELECT 'clientes', 'score_credito_interno', count(*) FROM clientes WHERE antiguedad_meses % 7 = 0 HAVING count(*) > 0
 UNION ALL SELECT 'interacciones', 'fecha_visita', count(*) FROM interacciones WHERE id_tienda = 't3' HAVING count(*) > 0
 """)
+oracle("drift_tables")("""
+, t AS (SELECT coalesce(medio_pago = 'efectivo', false) AS ref, monto_pago, categoria_producto, medio_pago FROM transacciones),
+k AS (SELECT monto_pago AS v, CAST(count(*) FILTER (ref) AS DOUBLE) AS r, CAST(count(*) FILTER (NOT ref) AS DOUBLE) AS c
+      FROM t WHERE monto_pago IS NOT NULL GROUP BY monto_pago),
+d AS (SELECT sum(r) OVER (ORDER BY v) / (SELECT sum(r) FROM k) - sum(c) OVER (ORDER BY v) / (SELECT sum(c) FROM k) AS gap FROM k),
+l AS (SELECT 'categoria_producto' AS columna, categoria_producto AS v, ref FROM t UNION ALL SELECT 'medio_pago', medio_pago, ref FROM t),
+g AS (SELECT columna, v, CAST(count(*) FILTER (ref) AS DOUBLE) AS r, CAST(count(*) FILTER (NOT ref) AS DOUBLE) AS c
+      FROM l WHERE v IS NOT NULL GROUP BY columna, v),
+n AS (SELECT *, r * sum(c) OVER (PARTITION BY columna) / sum(r) OVER (PARTITION BY columna) AS e FROM g)
+SELECT 'monto_pago' AS columna, 'ks' AS test, round(max(abs(gap)), 9) AS statistic FROM d
+UNION ALL SELECT columna, 'chi2', round(sum(CASE WHEN e = 0 THEN CASE WHEN c = 0 THEN 0.0 ELSE CAST('inf' AS DOUBLE) END ELSE (c - e) * (c - e) / e END), 9)
+FROM n GROUP BY columna
+""")
 oracle("visit_asof")("""
 , ev AS (
   SELECT id_cliente, CAST(fecha_visita AS TIMESTAMP) AS ts, 1 AS kind, id_interaccion AS event, 1 AS v, compro_en_visita AS b,
