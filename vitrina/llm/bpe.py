@@ -48,12 +48,15 @@ def library_class(pattern: str) -> str:
     """
     from tokenizers import Regex, pre_tokenizers
 
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    rest = pre_tokenizers.Split(Regex(f"{pattern}+"), "removed").pre_tokenize_str("".join(map(chr, points)))
+    def point(place: int) -> int:  # the code point at a place of the text, which has no surrogates
+        return place if place < 0xD800 else place + 0x800
+
+    n = 0x110000 - 0x800
+    rest = pre_tokenizers.Split(Regex(f"{pattern}+"), "removed").pre_tokenize_str("".join(chr(point(k)) for k in range(n)))
     out, at = [], 0
-    for lo, hi in [*(span for _, span in rest), (len(points), len(points))]:
+    for lo, hi in [*(span for _, span in rest), (n, n)]:
         if lo > at:
-            out.append(f"\\U{points[at]:08x}-\\U{points[lo - 1]:08x}")
+            out.append(f"\\U{point(at):08x}-\\U{point(lo - 1):08x}")
         at = hi
     return "".join(out)
 
@@ -91,7 +94,6 @@ class Vocabulary:
         self.merged = np.array([ids[a + b] for a, b in merges], np.int64)
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
-        self.words = word_pattern()
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -102,11 +104,12 @@ class Vocabulary:
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text in order; a special token's string stays whole."""
+        words = word_pattern()
         if self.specials is None or not any(s in text for s in self.special):
-            return self.words.findall(text)
+            return words.findall(text)
         out = []
         for k, part in enumerate(self.specials.split(text)):
-            out += [part] if k % 2 else self.words.findall(part)
+            out += [part] if k % 2 else words.findall(part)
         return out
 
 
