@@ -190,6 +190,11 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return copies.unionByName(plain)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 class Model:
     """A fitted regression and the probability asked of a family."""
 
@@ -197,19 +202,27 @@ class Model:
         self.fitted, self.threshold = fitted, threshold
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """Add ``family`` (an index into LABELS), ``probability``, ``overlap`` and ``tied`` (the families that overlap as much, its own too)."""
+        """Add ``family`` (an index into LABELS), ``probability``, ``confirmed`` (the paragraph names the family, overlaps a template of
+        it and no other licence's notice as much) and ``tied`` (the families that overlap as much, its own too)."""
         rows = self.fitted.transform(vectors(rows)).withColumn("p", vector_to_array("probability"))
         rows = rows.withColumn("family", F.col("prediction").cast("int")).withColumn("probability", F.array_max("p"))
-        rows = rows.withColumn("o", overlaps(F.col("tokens"))).withColumn("overlap", F.element_at("o", F.col("family") + 1))
-        named = F.element_at(F.array(F.lit(True), *(F.lower("paragraph").rlike(NAMED_BY[k]) for k in TEMPLATES)), F.col("family") + 1)
-        # the family's name is there, and no notice of another licence is closer than the family's own
-        rows = rows.withColumn("confirmed", named & (F.col("overlap") >= OVERLAP) & (F.col("overlap") > F.element_at("o", 1)))
-        rows = rows.withColumn("tied", F.filter(F.transform("o", lambda x, k: F.when(x >= F.col("overlap"), k)), lambda k: k.isNotNull()))
-        return rows.drop("p", "o", "rawPrediction", "prediction", "features")
+        own = F.col("family") + 1
+        named = F.element_at(F.array(F.lit(True), *(F.lower("paragraph").rlike(NAMED_BY[k]) for k in TEMPLATES)), own)
+
+        def close(o):
+            return (F.element_at(o, own) >= OVERLAP) & (F.element_at(o, own) > F.element_at(o, 1))
+
+        def as_close(o):
+            return F.filter(F.transform(o, lambda x, k: F.when(x >= F.element_at(o, own), k)), lambda k: k.isNotNull())
+
+        # overlaps are computed once in each column: a filter on ``confirmed`` asks for them last
+        rows = rows.withColumn("confirmed", (F.col("family") > 0) & (F.col("probability") >= self.threshold) & named & let(overlaps(F.col("tokens")), close))
+        rows = rows.withColumn("tied", let(overlaps(F.col("tokens")), as_close))
+        return rows.drop("p", "rawPrediction", "prediction", "features")
 
     def find(self, rows: DataFrame) -> DataFrame:
         """The paragraphs that a family is found in."""
-        return self.predict(rows).where((F.col("family") > 0) & (F.col("probability") >= self.threshold) & F.col("confirmed"))
+        return self.predict(rows).where("confirmed")
 
 
 def overlaps(tokens: Column) -> Column:
