@@ -124,3 +124,9 @@ def test_a_rare_kind_is_found_in_a_small_table_too(spark):
     got = {x["doc_id"]: x["spans"] for x in pii.find(make_docs(spark, rows)).collect()}
     assert sum("secret:20:40" in got[5000 + k] for k in range(9)) >= 6  # four of them are in the training half
     assert not any("secret" in got[k] for k, _ in plain)
+
+
+def test_training_uses_the_proposals_of_all_documents(spark):
+    docs = make_docs(spark, [(k, f"mail me at user{k}@example.org") for k in range(5_000)])
+    rows = pii.training_rows(docs).where("k = 0 and label = 1").agg({"n": "sum", "k": "count"}).first()
+    assert rows["sum(n)"] == 5_000 and rows["count(k)"] < 100  # equal proposals are one row with their number

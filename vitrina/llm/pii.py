@@ -2,10 +2,12 @@
 
 High-recall generators propose overlapping spans of several kinds. Boosted
 trees score each proposal from its format (digits, separators, checksums) and
-its context (cue words, the character before it). The trees are trained on a
-bounded sample of documents whose proposals are labelled by the strict
-patterns below, together with altered copies that break a check; thresholds
-are calibrated per kind on the other half of the sample. Scoring needs no
+its context (cue words, the character before it). The trees are trained on the
+proposals of half of all documents, labelled by the strict patterns below,
+together with altered copies that break a check; thresholds are calibrated per
+kind on the other half. Proposals of equal features and label are one weighted
+row, so the training table grows with the formats that occur, not with the
+documents. Scoring needs no
 shuffle: the trees become one SQL expression over the proposals of a row.
 
 Strict ("base") matches always stay. A selected proposal is added where it
@@ -15,7 +17,7 @@ Defined results: a null or empty text has no spans; positions are code points,
 the end is exclusive; base spans are leftmost and not overlapping per kind; a
 match that fails its check is dropped without a retry; equal scores go to the
 earlier kind, then the earlier span; repeated rows are treated each; without
-proposals of both labels in the sample there is no model and only base spans
+proposals of both labels to train on there is no model and only base spans
 are returned.
 """
 
@@ -53,8 +55,8 @@ SECRET_FORMAT = r"^AKIA[0-9A-Z]{16}$"
 SECRET_CUE = r"(?i)(?:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?$"
 CUE = r"(?i)(?:mail|phone|tel|call|fax|mobile|card|visa|ip|host|server|address|password|passwd|secret|token|key)\W*$"
 CONTEXT = 24
-#: Documents of the training sample (its bound), boosting rounds, depth, precision asked of a threshold.
-SAMPLE_DOCS, ROUNDS, DEPTH, PRECISION = 4_000, 16, 4, 0.99
+#: Boosting rounds, depth, precision asked of a threshold.
+ROUNDS, DEPTH, PRECISION = 16, 4, 0.99
 LEAST_SUPPORT = 20
 #: Margin asked of a kind that has fewer than ``LEAST_SUPPORT`` proposals of such a margin to calibrate on (a probability of 0.88).
 DEFAULT_MARGIN = 1.0
@@ -207,13 +209,9 @@ def altered(c) -> Column:
     return F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"), t.alias("t"), left.alias("left"))
 
 
-def training_rows(docs: DataFrame, bound: int) -> DataFrame:
-    """(features, k, label, half) of the proposals in at most about ``bound`` documents that have any."""
+def training_rows(docs: DataFrame) -> DataFrame:
+    """(f, k, label, half, n): features of the proposals in all documents, and how many proposals share them."""
     with_any = docs.where(F.col("text").rlike(ANY)).select("doc_id", "text")
-    n = with_any.count()
-    if n > bound:  # the documents with the smallest hashes of their ids
-        part = int(bound / n * (1 << 30))
-        with_any = with_any.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < part)
     rows = with_any.select("doc_id", F.explode(proposals(F.col("text"))).alias("c"))
     label = strict_label(F.col("c"))
     twice = F.explode(F.array(F.struct(F.col("c").alias("c"), F.lit(False).alias("changed")), F.struct(altered(F.col("c")).alias("c"), F.lit(True).alias("changed")))).alias("x")
@@ -221,8 +219,9 @@ def training_rows(docs: DataFrame, bound: int) -> DataFrame:
     # an altered copy that still passes its check is no counter-example
     ok = F.when(F.col("c.k") == 1, valid("ip", F.col("c.t"))).when(F.col("c.k") == 2, luhn(F.col("c.t"))).otherwise(False)
     rows = rows.where(~(F.col("changed") & ok))
-    return rows.select(F.array(*features(F.col("c"))).alias("f"), F.col("c.k").alias("k"), (F.col("strict") & ~F.col("changed")).cast("double").alias("label"),
+    each = rows.select(F.array(*features(F.col("c"))).alias("f"), F.col("c.k").alias("k"), (F.col("strict") & ~F.col("changed")).cast("double").alias("label"),
                        F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half"))
+    return each.groupBy("f", "k", "label", "half").agg(F.count(F.lit(1)).alias("n"))
 
 
 def tree_column(node, f: Column) -> Column:
@@ -243,17 +242,17 @@ class Model:
         return sum((tree_column(t, f) * w for t, w in zip(self.trees, self.weights)), F.lit(0.0))
 
 
-def fit(docs: DataFrame, bound: int = SAMPLE_DOCS) -> Model | None:
-    """Trees and thresholds from the sample of (doc_id, text); None without proposals of both labels."""
-    rows = written(training_rows(docs, bound), "proposals")
+def fit(docs: DataFrame) -> Model | None:
+    """Trees and thresholds from all rows of (doc_id, text); None without proposals of both labels."""
+    rows = written(training_rows(docs), "proposals")
     present = {r["label"] for r in rows.where("half = 0").select("label").distinct().collect()}
     if len(present) < 2:
         return None
-    train = rows.where("half = 0").select(array_to_vector("f").alias("features"), "label")
-    fitted = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=7, maxBins=32).fit(train)
+    train = rows.where("half = 0").select(array_to_vector("f").alias("features"), "label", F.col("n").cast("double").alias("weight"))
+    fitted = GBTClassifier(weightCol="weight", maxIter=ROUNDS, maxDepth=DEPTH, seed=7, maxBins=32).fit(train)
     model = Model([t._java_obj.rootNode() for t in fitted.trees], list(fitted.treeWeights), {})
     margin = rows.where("half = 1").withColumn("m", F.floor(model.margin(F.col("f")) * 20))
-    bins = margin.groupBy("k", "m").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")).collect()  # a few hundred rows
+    bins = margin.groupBy("k", "m").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("good")).collect()  # a few hundred rows
     for k in range(len(KINDS)):
         n = good = 0
         model.thresholds[k] = None
@@ -324,19 +323,19 @@ def same_kind(k: int):
     return lambda x: x["k"] == k
 
 
-def find(docs: DataFrame, bound: int = SAMPLE_DOCS) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_<kind> of the base spans, base_sha256, spans, n_added."""
     docs = id_text(docs)
-    out = all_spans(docs, fit(docs, bound))
+    out = all_spans(docs, fit(docs))
     counts = [F.size(F.filter("base", same_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(BASE_KINDS)]
     return out.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
                       (F.size("spans") - F.size("base")).alias("n_added"))
 
 
-def redact(docs: DataFrame, bound: int = SAMPLE_DOCS) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """The documents with each span's text replaced by its kind in brackets; other columns stay (n_chars follows)."""
     own = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    spans = all_spans(own, fit(own.select("doc_id", "text"), bound))
+    spans = all_spans(own, fit(own.select("doc_id", "text")))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     text = F.col("text")
 
