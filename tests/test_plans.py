@@ -15,6 +15,12 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_purchases_are_added_up_before_they_are_repeated(spark):
+    r = catalog.raw(spark, SMALL)
+    plan = _plan(features.tx_aggregates(r.transacciones))
+    assert plan.index("Generate") < plan.rindex("HashAggregate")  # the plan is printed from its last step
+
+
 def test_customer_360_has_no_cross_join_and_reads_purchases_once(spark):
     r = catalog.raw(spark, SMALL)
     plan = _plan(features.tx_aggregates(r.transacciones))
