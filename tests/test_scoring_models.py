@@ -224,3 +224,34 @@ def test_search_keys_run_the_references_budgets_and_the_others_the_given_paramet
     assert [(f.params, f.fold) for f in seen["fits"]] == [({"n_estimators": 100}, None)]
     catalog.QUERIES["run_summary"](spark, SMALL)
     assert seen["flow"] == training.FlowConfig() and training.FlowConfig().n_trials == 50
+
+
+def test_the_flows_final_model_grows_with_its_folds_and_its_parts_side_by_side(spark, monkeypatch):
+    import threading
+    from vitrina.operators import segmentation
+    from vitrina.plans import training
+    from vitrina.sources import fixtures, sinks
+    calls, both = [], threading.Barrier(2, timeout=300)
+
+    def fit_many(binned, fits, own=propensity.fit_many):
+        if not calls:
+            both.wait()  # the sweep has begun too
+        calls.append([f.fold for f in fits])
+        return own(binned, fits)
+
+    def k_sweep(*a, own=segmentation.k_sweep):
+        both.wait()
+        return own(*a)
+
+    monkeypatch.setattr(propensity, "fit_many", fit_many)
+    monkeypatch.setattr(segmentation, "k_sweep", k_sweep)
+    cfg = training.FlowConfig(n_trials=2, n_init=1, k_range=[2, 3], batch=2, search_space={"n_estimators": (2, 4, "int"), "max_depth": (2, 3, "int")})
+    base = scratch_dir(spark, f"flow-{sinks.new_run_id()}")
+    row = training.training_flow(spark, fixtures.load_raw(spark, SMALL), base, cfg).first()
+    assert calls == [[0, 1, 2, 3, 4] * 2, [0, 1, 2, 3, 4, None]]
+    table = sinks.read_table(spark, base, "training_table")
+    trials = sinks.read_table(spark, base, "trials").collect()
+    assert len(trials) == 2 and row["best_k"] in (2, 3) and row["drift_report_path"]
+    model = boosting.BoostedTrees.load(spark, row["model_path"])
+    want = propensity.cv_summary(propensity.cv_auc(table, {k: int(model.params[k]) for k in cfg.search_space})).first()
+    assert (row["auc_mean"], row["auc_std"]) == pytest.approx((want["auc_mean"], want["auc_std"]))
