@@ -66,6 +66,26 @@ def test_asof_counts_only_what_came_before(spark):
     assert all(got[v][c] == 0 for v in ("v4", "v5") for c in asof.ASOF_COLS)
 
 
+def test_training_table_without_leak_has_all_histories_as_of_the_visit(spark):
+    from vitrina.operators.dataset import FEATURE_COLS, TARGET
+
+    t = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    kinds = "id_interaccion string, id_cliente string, id_tienda string, fecha_visita timestamp_ntz, motivo_visita string, compro_en_visita int"
+    seen = [("v1", "a", "t", t(1), "cotizacion", 1), ("v2", "a", "t", t(6, 12), "reclamo", 0), ("v3", "a", "t", t(20), "cotizacion", 0), ("v3", "b", "t", t(20), "cotizacion", 0),
+            ("v4", None, "t", t(9), "cotizacion", 1), ("v4", None, "t", t(9), "cotizacion", 1), (None, "b", "t", t(30), "cotizacion", 1), ("v6", "b", "t", None, "cotizacion", 1)]
+    visits = spark.createDataFrame(seen, kinds)
+    tx = spark.createDataFrame(
+        [("p1", "a", t(2), "x", 10.0, "e"), ("p2", "a", t(4), "y", 5.0, "e"), ("p3", "a", t(6, 12), "x", 1.0, "e"), ("p4", "a", t(10), None, 7.0, "e"), ("p5", "a", t(25), "z", 7.0, "e"),
+         ("p6", None, t(1), "x", 3.0, "e"), ("p7", "b", t(28), "y", 3.0, "e"), ("p8", "b", None, "w", 3.0, "e")],
+        "id_transaccion string, id_cliente string, fecha_compra timestamp_ntz, categoria_producto string, monto_pago double, medio_pago string")
+    # a training table whose histories are wrong throughout
+    table = visits.select("id_interaccion", *asof.WHOSE, *[F.lit(99).alias(c) for c in FEATURE_COLS], TARGET)
+    out = asof.without_leak(table, asof.visit_histories(visits, tx))
+    assert out.columns == ["id_interaccion", *FEATURE_COLS, TARGET]
+    got = sorted(((r["id_interaccion"] or "", r["recency_dias"], r["diversidad_categorias"], r["frequency"], r["total_visitas"]) for r in out.collect()))
+    assert got == [("", 2, 2, 2, 2), ("v1", 0, 0, 0, 0), ("v2", 0, 2, 3, 1), ("v3", 0, 1, 1, 1), ("v3", 10, 2, 4, 2), ("v4", 0, 0, 0, 0), ("v4", 0, 0, 0, 0), ("v6", 0, 1, 1, 0)]
+
+
 @pytest.fixture(scope="module")
 def published(spark):
     return catalog.publish_artefacts(spark, SMALL)
