@@ -89,3 +89,16 @@ def test_dedupe_keeps_one_row_per_key_on_bucketed_table(spark):
         assert prof.count() == customer360.dedupe_by_key(c).count()
     finally:
         spark.sql("DROP TABLE IF EXISTS perfiles_test_dupes")
+
+
+def test_run_log_grows_its_final_model_beside_the_folds(spark, monkeypatch):
+    from vitrina.operators import propensity
+
+    grown, own = [], propensity.fit_many
+    monkeypatch.setattr(propensity, "fit_many", lambda binned, fits: grown.append(fits) or own(binned, fits))
+    monkeypatch.setattr(catalog, "Q_PARAMS", {"n_estimators": 3, "max_depth": 2})
+    (run,) = catalog.QUERIES["run_log"](spark, SMALL).collect()
+    assert [[f.fold for f in fits] for fits in grown] == [[0, 1, 2, 3, 4, None]]
+    table = catalog.model_table(spark, SMALL)
+    (cv,) = propensity.cv_summary(propensity.cv_auc(table, catalog.Q_PARAMS)).collect()
+    assert abs(run["auc_mean"] - cv["auc_mean"]) < 1e-12 and abs(run["auc_std"] - cv["auc_std"]) < 1e-12
